@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_MODULES = ["reports"]
+_MODULES = ["reports", "columns", "matching", "rows", "star"]
 
 
 def registered() -> dict[str, tuple[Query, str | None]]:

@@ -1,7 +1,8 @@
 """The driver tables in the roles of plays, catalogue, users and stored rows.
 
 Every role has a DataFrame function and the SQL text of the same relation, so that a query and its
-SQL start from the same rows and share nothing after that.
+SQL start from the same rows and share nothing after that. Timestamps finer than a millisecond are
+cut, not rounded, on their way to epoch milliseconds.
 """
 
 from __future__ import annotations
@@ -42,7 +43,7 @@ def plays(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 PLAYS = """
   SELECT l_suppkey AS userId, l_orderkey AS sessionId, l_linenumber AS itemInSession,
-         epoch_ms(l_shipdate) + l_linenumber * 300 AS ts,
+         epoch_us(l_shipdate) // 1000 + l_linenumber * 300 AS ts,
          CASE WHEN l_returnflag = 'A' THEN 'paid' ELSE 'free' END AS level,
          l_linestatus AS location, l_returnflag AS userAgent,
          'First ' || l_suppkey AS firstName, 'Last ' || l_suppkey AS lastName,
@@ -118,7 +119,7 @@ VISITS = """
   SELECT o_custkey AS userId, 'First ' || o_custkey AS firstName, 'Last ' || o_custkey AS lastName,
          o_orderstatus AS gender, o_orderpriority AS level,
          CASE WHEN o_orderstatus = 'P' THEN 'Home' ELSE 'NextSong' END AS page,
-         epoch_ms(o_orderdate) AS ts
+         epoch_us(o_orderdate) // 1000 AS ts
   FROM orders
 """
 
@@ -139,7 +140,7 @@ def clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
 CLICKS = """
   SELECT event_id, user_id AS userId,
          CASE WHEN event_type = 'purchase' THEN 'NextSong' ELSE event_type END AS page,
-         epoch_ms(ts) AS ts, value AS length, props AS song
+         epoch_us(ts) // 1000 AS ts, value AS length, props AS song
   FROM events
 """
 

@@ -18,8 +18,9 @@ def preprocess_events(events: DataFrame) -> DataFrame:
 
 
 def _typed(events: DataFrame) -> DataFrame:
+    """The same events, typed, with whatever column the order of writes goes by."""
     return parse_text(
-        preprocess_events(events),
+        drop_blank(events, "artist"),
         {"sessionId": "int", "itemInSession": "int", "userId": "int", "length": "double"},
     )
 

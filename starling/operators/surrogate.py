@@ -16,39 +16,43 @@ _POSITION_BITS = 33
 
 def surrogate_key(
     df: DataFrame,
-    order_by: Iterable[str | Column],
+    order_by: Iterable[str | Column] | None = None,
     name: str = "id",
     dense: bool = True,
     start: int = 1,
 ) -> DataFrame:
-    """Number the rows ``start, start + 1, ...`` in ``order_by``, or hash ``order_by`` if not dense.
-
-    A dense number is the row's position in its range-sorted slice plus the sizes of the slices
-    before. The sorted rows are written once to the shared scratch folder, since range boundaries
-    are sampled and a second evaluation might cut the slices elsewhere. Only the slice sizes, one
-    row per slice, meet in one place.
+    """Number the rows ``start, start + 1, ...``, or hash ``order_by`` if not ``dense``.
+
+    A dense number is the row's position in its task's slice plus the sizes of the slices before.
+    The rows are written once to the shared scratch folder with slice and position, so that the
+    numbers stay the same however often the result is evaluated; only the slice sizes, one row per
+    task, meet in one place. Without ``order_by`` rows keep their tasks, as is enough for an id.
+    With it they are range-sorted first, which takes a written copy to draw the range boundaries
+    from; rows equal in ``order_by`` share a slice, so order by something close to unique.
     """
-    order = [F.col(c) if isinstance(c, str) else c for c in order_by]
+    order = [F.col(c) if isinstance(c, str) else c for c in order_by or ()]
     if not dense:
         return df.select(hash_key(*order).alias(name), "*")
 
-    path = scratch_path(df.sparkSession, "numbered")
-    columns = df.columns
-    row_id = F.monotonically_increasing_id()
+    spark, columns = df.sparkSession, df.columns
+    if order:
+        unsorted = scratch_path(spark, "unsorted")
+        df.write.parquet(unsorted)
+        df = spark.read.parquet(unsorted).orderBy(*order)
+    path = scratch_path(spark, "numbered")
     (
-        df.orderBy(*order)
-        .withColumn(_POSITION, row_id)
+        df.withColumn(_POSITION, F.monotonically_increasing_id())
         .withColumn(_SLICE, F.shiftright(F.col(_POSITION), _POSITION_BITS))
         .withColumn(_POSITION, F.col(_POSITION).bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)))
         .write.parquet(path)
     )
-    rows = df.sparkSession.read.parquet(path)
+    rows = spark.read.parquet(path)
     sizes = rows.groupBy(_SLICE).agg(F.count(F.lit(1)).alias(_ROWS))
     before = Window.partitionBy(F.lit(0)).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
         F.col(_SLICE), F.coalesce(F.sum(_ROWS).over(before), F.lit(0)).alias(_OFFSET)
     )
-    # One row per slice of the sort above, i.e. at most spark.sql.shuffle.partitions rows.
+    # Bounded by the number of tasks that wrote the rows: one row of two numbers for each.
     numbered = rows.join(F.broadcast(offsets), _SLICE)
     return numbered.select(
         (F.col(_OFFSET) + F.col(_POSITION) + F.lit(start)).alias(name), *columns

@@ -156,7 +156,7 @@ def _play_columns(start_time: Column, session: str = "sessionId") -> list[Column
     ]
 
 
-_PLAY_ORDER = [
+PLAY_ORDER = [
     "start_time", "user_id", "song_id", "artist_id", "session_id", "level", "location", "user_agent",
 ]
 STORED_PLAY_KEY = ["user_id", "song_id", "artist_id", "start_time"]
@@ -173,6 +173,7 @@ def build_songplays(
     rounding: str = "half_up",
     surrogate: bool = True,
     next_id: int = 1,
+    number_by: Order = None,
     replicate_under: int | None = None,
 ) -> DataFrame:
     """songplay_id, start_time, user_id, level, song_id, artist_id, session_id, location, user_agent
@@ -181,7 +182,8 @@ def build_songplays(
     ``entries`` is the catalogue (title, artist_name, duration, song_id, artist_id) where it exists
     already. Otherwise ``lake`` and ``relational`` derive it from the song and artist dimensions,
     the other two match the staged songs. ``warehouse`` and ``relational`` number their rows from
-    ``next_id``; ``surrogate=False`` leaves the id out.
+    ``next_id`` upwards, in the order ``number_by`` or else in any order, which is cheaper;
+    ``surrogate=False`` leaves the id out.
     """
     _check(variant)
     if entries is None:
@@ -198,11 +200,16 @@ def build_songplays(
         "scheduled": _scheduled_plays,
         "relational": _relational_plays,
     }[variant](
-        plays, entries, existing=existing, order=list(order_by or _PLAY_ORDER), rounding=rounding,
-        surrogate=surrogate, next_id=next_id, replicate_under=replicate_under,
+        plays, entries, existing=existing, order=list(order_by or PLAY_ORDER), rounding=rounding,
+        number=(surrogate, number_by, next_id), replicate_under=replicate_under,
     )
 
 
+def _numbered(rows: DataFrame, number: tuple[bool, Order, int]) -> DataFrame:
+    surrogate, number_by, next_id = number
+    return surrogate_key(rows, number_by, "songplay_id", start=next_id) if surrogate else rows
+
+
 def _lake_plays(plays, entries, *, order, replicate_under, **_):
     matched = match_plays(plays, entries, "inner", "exact", replicate_under=replicate_under)
     # This variant stores the position in the session as session_id.
@@ -215,12 +222,12 @@ def _lake_plays(plays, entries, *, order, replicate_under, **_):
     )
 
 
-def _warehouse_plays(plays, entries, *, existing, order, surrogate, next_id, replicate_under, **_):
+def _warehouse_plays(plays, entries, *, existing, number, replicate_under, **_):
     matched = match_plays(plays, entries, "inner", "lower", replicate_under=replicate_under)
     rows = matched.select(*_play_columns(epoch_s("ts")))
     if existing is not None:
         rows = only_new(rows, existing, STORED_PLAY_KEY)
-    return surrogate_key(rows, order, "songplay_id", start=next_id) if surrogate else rows
+    return _numbered(rows, number)
 
 
 def _scheduled_plays(plays, entries, *, rounding, replicate_under, **_):
@@ -233,9 +240,7 @@ def _scheduled_plays(plays, entries, *, rounding, replicate_under, **_):
     return rows.select(md5_key("session_id", "start_time").alias("songplay_id"), *rows.columns)
 
 
-def _relational_plays(
-    plays, entries, *, existing, order, surrogate, next_id, replicate_under, **_
-):
+def _relational_plays(plays, entries, *, existing, order, number, replicate_under, **_):
     options = dict(first_match=True, replicate_under=replicate_under)
     hits = match_plays(plays, entries, "inner", "exact", **options)
     misses = match_plays(plays, entries, "left_anti", "exact", **options)
@@ -244,5 +249,4 @@ def _relational_plays(
     # hits go through the keyed insert.
     unique = absent_rows(existing, hits.select(*columns), UNIQUE_PLAY_KEY, order)
     ids = [F.lit(None).cast(hits.schema[c].dataType).alias(c) for c in ("song_id", "artist_id")]
-    rows = unique.unionByName(misses.select("*", *ids).select(*columns))
-    return surrogate_key(rows, order, "songplay_id", start=next_id) if surrogate else rows
+    return _numbered(unique.unionByName(misses.select("*", *ids).select(*columns)), number)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import epoch_s
 from ..plans import build_artists, build_songplays, build_songs, build_time, build_users
+from ..plans.builders import PLAY_ORDER
 from .columns import parts_sql
 from .matching import EXACT, LOWER, ROUNDED, first_sql
 from .stand_ins import (
@@ -77,7 +78,9 @@ def _facts(variant):
         if variant in ("warehouse", "relational"):
             before = log.where(F.col("ts") < CUTOFF_MS)
             existing = build_songplays(before, catalogue, variant=variant, surrogate=False)
-        return build_songplays(log, catalogue, existing, variant, rounding="half_up")
+        return build_songplays(
+            log, catalogue, existing, variant, rounding="half_up", number_by=PLAY_ORDER
+        )
     return query
 
 

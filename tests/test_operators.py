@@ -1,0 +1,224 @@
+import datetime as dt
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from starling import operators as O
+
+PLAY = "artist string, song string, length double, userId int, sessionId int"
+SONG = "song_id string, title string, artist_id string, artist_name string, duration double"
+
+
+@pytest.fixture(scope="module")
+def plays(spark):
+    return spark.createDataFrame(
+        [
+            ("Elena", "Setanta", 269.58322, 1, 10),   # exact
+            ("ELENA", "setanta", 269.58322, 2, 10),   # other case
+            ("Elena", "Setanta", 269.61000, 3, 10),   # other fraction
+            ("Elena", "Setanta", 269.58322, 4, None),  # no session
+            ("Twins", "Echo", 100.0, 5, 11),           # two entries
+            ("Nobody", "Nothing", 1.0, 6, 12),         # no entry
+            (None, None, None, 7, 13),                 # not a song
+        ],
+        PLAY,
+    )
+
+
+@pytest.fixture(scope="module")
+def songs(spark):
+    return spark.createDataFrame(
+        [
+            ("S1", "Setanta", "A1", "Elena", 269.58322),
+            ("S3", "Echo", "A3", "Twins", 100.0),
+            ("S2", "Echo", "A2", "Twins", 100.0),
+            ("S9", None, "A9", None, None),
+        ],
+        SONG,
+    )
+
+
+def ids(df):
+    return rows(df, "userId", "song_id")
+
+
+def test_match_exact_inner(plays, songs):
+    assert ids(O.match_plays(plays, songs)) == [(1, "S1"), (4, "S1"), (5, "S2"), (5, "S3")]
+
+
+def test_match_lower_ignores_case_and_duration(plays, songs):
+    got = ids(O.match_plays(plays, songs, keys="lower"))
+    assert got == [(1, "S1"), (2, "S1"), (3, "S1"), (4, "S1"), (5, "S2"), (5, "S3")]
+
+
+def test_match_rounded(plays, songs):
+    got = ids(O.match_plays(plays, songs, "inner", "rounded"))
+    assert got == [(1, "S1"), (3, "S1"), (4, "S1"), (5, "S2"), (5, "S3")]
+
+
+def test_left_guard_keeps_the_play_without_ids(plays, songs):
+    got = ids(O.match_plays(plays, songs, "left", left_guard=["sessionId"]))
+    assert (4, None) in got and (1, "S1") in got and (6, None) in got and (7, None) in got
+    assert len(got) == 8
+
+
+def test_first_match_never_fans_out(plays, songs):
+    got = ids(O.match_plays(plays, songs, "left", first_match=True))
+    assert len(got) == 7 and (5, "S2") in got and (5, "S3") not in got
+    last = O.match_plays(plays, songs, "left", first_match=True, tie_break=[F.desc("song_id")])
+    assert (5, "S3") in ids(last)
+
+
+def test_hits_and_misses_partition_the_log(plays, songs):
+    hits = O.match_plays(plays, songs, "inner", first_match=True)
+    misses = O.match_plays(plays, songs, "left_anti", first_match=True)
+    assert sorted(r["userId"] for r in hits.collect() + misses.collect()) == [1, 2, 3, 4, 5, 6, 7]
+    assert misses.columns == plays.columns
+
+
+def test_match_output_has_no_helper_columns(plays, songs):
+    for keys in ("exact", "lower", "rounded"):
+        got = O.match_plays(plays, songs, "left", keys)
+        assert got.columns == [*plays.columns, "song_id", "artist_id"]
+
+
+def test_match_agrees_when_replicated_or_not(plays, songs):
+    small = O.match_plays(plays, songs, "left", replicate_under=1 << 20)
+    large = O.match_plays(plays, songs, "left", replicate_under=1)
+    assert ids(small) == ids(large)
+
+
+def test_replicate_hints_only_what_fits(spark):
+    df = spark.range(1000).select(F.col("id"), F.lit("x" * 50).alias("text"))
+    fits = O.replicate(df, 1 << 20)._jdf.queryExecution().analyzed().toString()
+    too_big = O.replicate(df, 10_000)._jdf.queryExecution().analyzed().toString()
+    assert "UnresolvedHint" in fits or "ResolvedHint" in fits
+    assert "Hint" not in too_big
+
+
+def test_catalogue_takes_the_dimension_name(spark, songs):
+    artists = spark.createDataFrame([("A1", "Elena"), ("A2", "Gemini")], "artist_id string, name string")
+    got = rows(O.catalogue(songs.drop("artist_name"), artists), "song_id", "artist_name")
+    assert got == [("S1", "Elena"), ("S2", "Gemini")]
+
+
+def test_only_new_does_not_dedup_and_ignores_null(spark):
+    batch = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b"), (None, "c")], "k int, v string")
+    stored = spark.createDataFrame([(2,), (None,)], "k int")
+    assert rows(O.only_new(batch, stored, ["k"])) == [(None, "c"), (1, "a"), (1, "a")]
+
+
+@pytest.mark.parametrize(
+    "stored, expected",
+    [([2], [1, 3]), ([2, None], []), ([], [None, 1, 2, 3])],
+)
+def test_not_in_is_null_aware(spark, stored, expected):
+    batch = spark.createDataFrame([(1,), (2,), (3,), (None,)], "k int")
+    existing = spark.createDataFrame([(v,) for v in stored], "k int")
+    assert [r[0] for r in rows(O.not_in(batch, existing, "k"))] == expected
+    batch.createOrReplaceTempView("b")
+    existing.createOrReplaceTempView("e")
+    sql = spark.sql("SELECT k FROM b WHERE k NOT IN (SELECT k FROM e)")
+    assert rows(sql) == rows(O.not_in(batch, existing, "k"))
+
+
+def test_not_in_plain_keeps_null(spark):
+    batch = spark.createDataFrame([(1,), (2,), (None,)], "k int")
+    existing = spark.createDataFrame([(2,), (None,)], "k int")
+    assert [r[0] for r in rows(O.not_in(batch, existing, "k", null_aware=False))] == [None, 1]
+
+
+def test_dedup_first_and_last(spark):
+    df = spark.createDataFrame([(1, 5, "x"), (1, 3, "y"), (2, 1, "z"), (None, 2, "n"), (None, 1, "m")],
+                               "k int, o int, v string")
+    assert rows(O.dedup(df, ["k"], ["o"])) == [(None, 1, "m"), (1, 3, "y"), (2, 1, "z")]
+    assert rows(O.dedup(df, ["k"], ["o"], keep="last")) == [(None, 2, "n"), (1, 5, "x"), (2, 1, "z")]
+
+
+@pytest.fixture(scope="module")
+def users(spark):
+    schema = "user_id int, level string, ts int"
+    stored = spark.createDataFrame([(1, "free", 0), (None, "free", 0)], schema)
+    batch = spark.createDataFrame(
+        [(1, "paid", 5), (2, "paid", 9), (2, "free", 3), (None, "x", 1), (None, "x", 1)], schema)
+    return stored, batch
+
+
+def test_insert_if_absent_keeps_stored_rows_and_null_keys(users):
+    stored, batch = users
+    got = rows(O.insert_if_absent(stored, batch, ["user_id"], ["ts"]))
+    assert got == [(None, "free", 0), (None, "x", 1), (None, "x", 1), (1, "free", 0), (2, "free", 3)]
+
+
+def test_insert_if_absent_with_equal_nulls(users):
+    stored, batch = users
+    got = rows(O.insert_if_absent(stored, batch, ["user_id"], ["ts"], nulls_distinct=False))
+    assert got == [(None, "free", 0), (1, "free", 0), (2, "free", 3)]
+
+
+def test_insert_if_absent_is_idempotent_without_null_keys(users):
+    stored, batch = users
+    batch = batch.dropna(subset=["user_id"])
+    once = O.insert_if_absent(stored, batch, ["user_id"], ["ts"])
+    assert rows(O.insert_if_absent(once, batch, ["user_id"], ["ts"])) == rows(once)
+
+
+def test_upsert_modes(users):
+    stored, batch = users
+    assert rows(O.upsert(stored, batch, ["user_id"], ["ts", "level"])) == [
+        (None, "x", 1), (1, "paid", 5), (2, "paid", 9)]
+    assert (1, "free", 0) in rows(O.upsert(stored, batch, ["user_id"], ["ts"], mode="first"))
+    with pytest.raises(ValueError):
+        O.upsert(stored, batch, ["user_id"], ["ts"], mode="both")
+
+
+def test_upsert_is_idempotent(users):
+    stored, batch = users
+    once = O.upsert(stored, batch, ["user_id"], ["ts", "level"])
+    assert rows(O.upsert(once, batch, ["user_id"], ["ts", "level"])) == rows(once)
+
+
+def test_counts_and_top_k(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 1), ("b", 2), ("c", 3), ("c", 4), (None, 5)],
+                               "g string, user_id int")
+    assert rows(O.plays_by(df, ["g"])) == [(None, 1), ("a", 2), ("b", 1), ("c", 2)]
+    assert rows(O.users_by(df, ["g"])) == [(None, 1), ("a", 1), ("b", 1), ("c", 2)]
+    assert rows(O.users_by(df, ["g"], approximate=True)) == rows(O.users_by(df, ["g"]))
+    assert [tuple(r) for r in O.top_k(df, "g", 3).collect()] == [("a", 2), ("c", 2), ("b", 1)]
+    counts = O.count_where(df, {"a": F.col("g") == "a", "n": F.col("g").isNull()}).first()
+    assert tuple(counts) == (2, 1)
+    assert O.count_where(df, F.col("g") == "c").first()["n"] == 2
+    assert O.profile(df).first()["n_rows"] == 6
+
+
+def test_filters(spark):
+    df = spark.createDataFrame(
+        [("NextSong", "a", 1), ("Home", "", 2), ("NextSong", None, 3)], "page string, artist string, n int")
+    assert rows(O.only_plays(df), "n") == [(1,), (3,)]
+    assert rows(O.drop_blank(df, "artist"), "n") == [(1,)]
+    assert rows(O.not_null_rows(df, ["page", "artist"]), "n") == [(1,), (2,)]
+    assert rows(O.eq(df, "page", "Home"), "n") == [(2,)]
+    assert O.project_positions(df, {2: "c", 0: "a"}).columns == ["c", "a"]
+    assert O.rename(df, {"n": "m"}).columns == ["page", "artist", "m"]
+
+
+def test_for_date_is_half_open(spark):
+    df = spark.sql("SELECT explode(array(timestamp_ntz'2018-11-01 00:00:00', "
+                   "timestamp_ntz'2018-11-01 23:59:59.999', timestamp_ntz'2018-11-02 00:00:00')) AS start_time")
+    assert O.for_date(df, "2018-11-01").count() == 2
+    assert O.for_date(df, dt.date(2018, 11, 2)).count() == 1
+
+
+def test_lookup_orders_by_clustering_key(spark):
+    df = spark.createDataFrame([(1, 3, "c"), (1, 1, "a"), (2, 1, "x")], "u int, i int, s string")
+    assert [r["s"] for r in O.lookup(df, ["i"], u=1).collect()] == ["a", "c"]
+
+
+def test_coerce_and_parse_text(spark):
+    from starling.schemas import _struct
+    df = spark.createDataFrame([("39", "x"), ("", "y")], "userId string, song string")
+    typed = O.coerce(df, _struct("userId int, length double"))
+    assert rows(typed) == [(None, None), (39, None)]
+    assert O.parse_text(df, {"userId": "int"}).schema["userId"].dataType.simpleString() == "int"
+    assert rows(O.parse_text(typed, {"userId": "bigint"}).select("userId")) == [(None,), (39,)]

@@ -28,15 +28,9 @@ def epoch_s(c: Column | str) -> Column:
 
 def to_epoch_ms(c: Column | str) -> Column:
     """The inverse of :func:`epoch_ms`; anything finer than a millisecond is cut off."""
-    ts = _col(c)
-    day = F.unix_date(ts.cast("date")).cast("bigint")
-    second = F.extract(F.lit("SECOND"), ts)
-    return (
-        day * F.lit(86_400_000)
-        + F.hour(ts).cast("bigint") * F.lit(3_600_000)
-        + F.minute(ts).cast("bigint") * F.lit(60_000)
-        + F.floor(second * 1000).cast("bigint")
-    )
+    since_epoch = _col(c) - F.expr(_EPOCH)
+    # A thousandfold interval has one second for every millisecond.
+    return (since_epoch * F.lit(1000)).cast("interval second").cast("bigint")
 
 
 def weekday(ts: Column | str, base: str = "mon0") -> Column:

@@ -112,9 +112,13 @@ def star_join(
 
 
 def only_new(batch: DataFrame, existing: DataFrame, keys: Iterable[str]) -> DataFrame:
-    """Batch rows whose key is not stored yet; a NULL in the key never counts as stored."""
+    """Batch rows whose key is not stored yet; a NULL in the key never counts as stored.
+
+    Stored keys are made distinct first. That combines before the shuffle which the join needs
+    anyway, and keeps a key that is stored very often from filling one partition.
+    """
     keys = list(keys)
-    return batch.join(existing.select(*keys), keys, "left_anti")
+    return batch.join(existing.select(*keys).distinct(), keys, "left_anti")
 
 
 def not_in(
@@ -129,7 +133,7 @@ def not_in(
     shuffles at any size, where SQL's NOT IN would broadcast ``existing`` whole.
     """
     stored = existing.select(F.col(existing_key or key).alias("__stored"))
-    known = stored.where(F.col("__stored").isNotNull())
+    known = stored.where(F.col("__stored").isNotNull()).distinct()
     if not null_aware:
         return batch.join(known, batch[key] == known["__stored"], "left_anti")
     is_empty = stored.agg(F.count(F.lit(1)) == 0).scalar()

@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import hash_key
-from ..session import scratch_path
+from ..session import scratch_path, scratch_scope
 
 _SLICE, _POSITION, _ROWS, _OFFSET = (f"__starling_{n}" for n in ("slice", "pos", "rows", "offset"))
 # monotonically_increasing_id() keeps the row's position in its partition in the low 33 bits.
@@ -35,17 +35,14 @@ def surrogate_key(
         return df.select(hash_key(*order).alias(name), "*")
 
     spark, columns = df.sparkSession, df.columns
-    if order:
-        unsorted = scratch_path(spark, "unsorted")
-        df.write.parquet(unsorted)
-        df = spark.read.parquet(unsorted).orderBy(*order)
     path = scratch_path(spark, "numbered")
-    (
-        df.withColumn(_POSITION, F.monotonically_increasing_id())
-        .withColumn(_SLICE, F.shiftright(F.col(_POSITION), _POSITION_BITS))
-        .withColumn(_POSITION, F.col(_POSITION).bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)))
-        .write.parquet(path)
-    )
+    if order:
+        with scratch_scope(spark):
+            unsorted = scratch_path(spark, "unsorted")
+            df.write.parquet(unsorted)
+            _write_positions(spark.read.parquet(unsorted).orderBy(*order), path)
+    else:
+        _write_positions(df, path)
     rows = spark.read.parquet(path)
     sizes = rows.groupBy(_SLICE).agg(F.count(F.lit(1)).alias(_ROWS))
     before = Window.partitionBy(F.lit(0)).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
@@ -57,3 +54,12 @@ def surrogate_key(
     return numbered.select(
         (F.col(_OFFSET) + F.col(_POSITION) + F.lit(start)).alias(name), *columns
     )
+
+
+def _write_positions(df: DataFrame, path: str) -> None:
+    (
+        df.withColumn(_POSITION, F.monotonically_increasing_id())
+        .withColumn(_SLICE, F.shiftright(F.col(_POSITION), _POSITION_BITS))
+        .withColumn(_POSITION, F.col(_POSITION).bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)))
+        .write.parquet(path)
+    )

@@ -38,6 +38,14 @@ def _not_stored(rows: DataFrame, existing: DataFrame | None, key: str) -> DataFr
     return rows if existing is None else not_in(rows, existing, key)
 
 
+def _first_per_key(
+    existing: DataFrame | None, rows: DataFrame, key: str, order: list
+) -> DataFrame:
+    # The key of a dimension may not be NULL. A row without one is left for the quality gate to
+    # find, and treating NULL as a value spares a second scan of the input.
+    return absent_rows(existing, rows, [key], order, nulls_distinct=False)
+
+
 def build_songs(
     staged_songs: DataFrame,
     existing: DataFrame | None = None,
@@ -55,7 +63,7 @@ def build_songs(
         return _not_stored(distinct(songs), existing, "song_id")
     if variant == "scheduled":
         return distinct(songs.withColumn("duration", drop_fraction("duration", rounding)))
-    return absent_rows(existing, songs, ["song_id"], order)
+    return _first_per_key(existing, songs, "song_id", order)
 
 
 def build_artists(
@@ -87,7 +95,7 @@ def build_artists(
         return _not_stored(distinct(artists), existing, "artist_id")
     if variant == "scheduled":
         return distinct(artists)
-    return absent_rows(existing, artists, ["artist_id"], order)
+    return _first_per_key(existing, artists, "artist_id", order)
 
 
 def build_users(
@@ -115,7 +123,7 @@ def build_users(
     if variant == "scheduled":
         return distinct(events.select(*users))
     order = list(order_by or ["ts", "first_name", "last_name", "gender", "level"])
-    return absent_rows(existing, events.select(*users, "ts"), ["user_id"], order).drop("ts")
+    return _first_per_key(existing, events.select(*users, "ts"), "user_id", order).drop("ts")
 
 
 def build_time(
@@ -135,10 +143,9 @@ def build_time(
     if variant == "warehouse":
         times = distinct(plays.select(epoch_s("ts").alias("start_time")))
         return time_parts(_not_stored(times, existing, "start_time"), base="sun0")
-    times = absent_rows(
-        existing, distinct(plays.select(F.col("ts").alias("start_time"))),
-        ["start_time"], ["start_time"],
-    )
+    times = plays.select(F.col("ts").alias("start_time"))
+    times = distinct(times) if existing is None else only_new(
+        distinct(times), existing, ["start_time"])
     parts = time_parts(times.withColumn("__at", epoch_ms("start_time")), "__at", base="mon0")
     return parts.drop("__at")
 
@@ -241,9 +248,9 @@ def _scheduled_plays(plays, entries, *, rounding, replicate_under, **_):
 
 
 def _relational_plays(plays, entries, *, existing, order, number, replicate_under, **_):
-    options = dict(first_match=True, replicate_under=replicate_under)
-    hits = match_plays(plays, entries, "inner", "exact", **options)
-    misses = match_plays(plays, entries, "left_anti", "exact", **options)
+    options = dict(keys="exact", replicate_under=replicate_under)
+    hits = match_plays(plays, entries, "inner", first_match=True, **options)
+    misses = match_plays(plays, entries, "left_anti", **options)
     columns = _play_columns(F.col("ts"))
     # A play without a song has a NULL in its unique key and conflicts with nothing, so only the
     # hits go through the keyed insert.

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import schemas
 from ..functions import epoch_s
 from ..operators import catalogue, for_date, null_key_checks, run_checks
-from ..sinks import append, atomic_load, ensure_loads, read_loads, refresh
+from ..session import scratch_scope
+from ..sinks import atomic_load, ensure_loads, read_loads, refresh
 from ..sources import read_table, register_all, stage_json
 from .builders import build_artists, build_songplays, build_songs, build_time, build_users
 
@@ -23,7 +27,9 @@ class JobConfig:
     """Where a job reads and writes, and by which rules it builds.
 
     ``event_paths`` locates the event fields by JSON path, in column order. ``date`` restricts the
-    fact of a ``scheduled`` run to one day.
+    fact of a ``scheduled`` run to one day. A catalogue that measures up to ``replicate_under``
+    bytes is copied to every executor, so that the log is matched where it lies; a larger one is
+    shuffled together with the log.
     """
 
     events: str
@@ -33,29 +39,49 @@ class JobConfig:
     event_paths: tuple[str, ...] | None = None
     rounding: str = "half_up"
     date: str | None = None
+    replicate_under: int = 128 << 20
 
 
 def staged(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     return {name: read_table(spark, root, name) for name in (EVENTS, ENTRIES)}
 
 
+def _together(spark: SparkSession, loads: list[Callable[[], object]]) -> None:
+    """Run loads that do not depend on each other at the same time, so that the tail of one leaves
+    no executor idle. All of them end before the first error is raised."""
+    in_session = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(len(loads)) as pool:
+        futures = [pool.submit(in_session(load)) for load in loads]
+    for future in futures:
+        future.result()
+
+
 def stage_all(spark: SparkSession, cfg: JobConfig) -> dict[str, DataFrame]:
     """Parse both inputs once into typed Parquet; later steps read from that only the columns and
     row groups they need."""
     events = stage_json(spark, cfg.events, schemas.STAGED_EVENTS, cfg.event_paths)
-    refresh(events, cfg.root, EVENTS)
-    refresh(stage_json(spark, cfg.songs, schemas.STAGED_SONGS), cfg.root, ENTRIES)
+    songs = stage_json(spark, cfg.songs, schemas.STAGED_SONGS)
+    _together(spark, [partial(refresh, events, cfg.root, EVENTS),
+                      partial(refresh, songs, cfg.root, ENTRIES)])
     return staged(spark, cfg.root)
 
 
-def load_all(spark: SparkSession, cfg: JobConfig) -> list[str]:
-    """Load the star schema from what is staged, table by table and each all-or-nothing.
+def load_all(spark: SparkSession, cfg: JobConfig) -> None:
+    """Load the star schema from what is staged, each table all-or-nothing.
 
-    The order is fact, users, songs, artists, time; where the fact is matched against the
-    dimensions (``lake``, ``relational``) songs and artists come first.
+    The fact comes first and then the dimensions, side by side; where the fact is matched against
+    the dimensions (``lake``, ``relational``) it comes last.
     """
     inputs = staged(spark, cfg.root)
-    return _LOADERS[cfg.variant](spark, inputs[EVENTS], inputs[ENTRIES], cfg)
+    with scratch_scope(spark):
+        _LOADERS[cfg.variant](spark, inputs[EVENTS], inputs[ENTRIES], cfg)
+
+
+def _fact(events, songs, cfg, **options) -> DataFrame:
+    return build_songplays(
+        events, songs, variant=cfg.variant, rounding=cfg.rounding,
+        replicate_under=cfg.replicate_under, **options,
+    )
 
 
 def _stored_entries(spark: SparkSession, root: str) -> DataFrame:
@@ -67,37 +93,42 @@ def _next_id(fact: DataFrame | None) -> int:
     return (last or 0) + 1
 
 
+def _add_to_dimensions(spark, events, songs, cfg) -> None:
+    def add(name, build, source):
+        rows = build(source, read_loads(spark, cfg.root, name), variant=cfg.variant)
+        atomic_load(rows, cfg.root, name)
+
+    _together(spark, [
+        partial(add, "users", build_users, events), partial(add, "songs", build_songs, songs),
+        partial(add, "artists", build_artists, songs), partial(add, "time", build_time, events),
+    ])
+
+
 def _load_lake(spark, events, songs, cfg):
     by_month = {"partition_by": ["year", "month"]}
-    atomic_load(build_songs(songs), cfg.root, "songs", True, partition_by=["year"])
-    atomic_load(build_artists(songs), cfg.root, "artists", True)
-    fact = build_songplays(events, songs, entries=_stored_entries(spark, cfg.root))
-    atomic_load(fact, cfg.root, "songplays", True, **by_month)
-    atomic_load(build_users(events), cfg.root, "users", True)
-    atomic_load(build_time(events), cfg.root, "time", True, **by_month)
-    return ["songs", "artists", "songplays", "users", "time"]
+    full = partial(atomic_load, root=cfg.root, recreate=True)
+    _together(spark, [
+        partial(full, build_songs(songs), name="songs", partition_by=["year"]),
+        partial(full, build_artists(songs), name="artists"),
+        partial(full, build_users(events), name="users"),
+        partial(full, build_time(events), name="time", **by_month),
+    ])
+    fact = _fact(events, songs, cfg, entries=_stored_entries(spark, cfg.root))
+    full(fact, name="songplays", **by_month)
 
 
 def _load_warehouse(spark, events, songs, cfg):
     stored = read_loads(spark, cfg.root, "songplays")
-    fact = build_songplays(
-        events, songs, stored, variant="warehouse", next_id=_next_id(stored)
-    )
+    fact = _fact(events, songs, cfg, existing=stored, next_id=_next_id(stored))
     atomic_load(fact, cfg.root, "songplays")
-    for name, build, source in (
-        ("users", build_users, events), ("songs", build_songs, songs),
-        ("artists", build_artists, songs), ("time", build_time, events),
-    ):
-        rows = build(source, read_loads(spark, cfg.root, name), variant="warehouse")
-        atomic_load(rows, cfg.root, name)
-    return list(TABLES)
+    _add_to_dimensions(spark, events, songs, cfg)
 
 
 def _load_scheduled(spark, events, songs, cfg):
     day = events if cfg.date is None else for_date(
         events.withColumn("start_time", epoch_s("ts")), cfg.date
     ).drop("start_time")
-    fact = build_songplays(day, songs, variant="scheduled", rounding=cfg.rounding)
+    fact = _fact(day, songs, cfg)
     atomic_load(fact, cfg.root, "songplays")
     dims = {
         "users": build_users(events, variant="scheduled"),
@@ -105,25 +136,19 @@ def _load_scheduled(spark, events, songs, cfg):
         "artists": build_artists(songs, variant="scheduled", rounding=cfg.rounding),
         "time": build_time(read_table(spark, cfg.root, "songplays"), variant="scheduled"),
     }
-    for name, rows in dims.items():
-        atomic_load(rows, cfg.root, name, recreate=True)
-    return list(TABLES)
+    _together(spark, [
+        partial(atomic_load, rows, cfg.root, name, recreate=True) for name, rows in dims.items()
+    ])
 
 
 def _load_relational(spark, events, songs, cfg):
-    for name, build, source in (
-        ("songs", build_songs, songs), ("artists", build_artists, songs),
-        ("time", build_time, events), ("users", build_users, events),
-    ):
-        rows = build(source, read_loads(spark, cfg.root, name), variant="relational")
-        append(rows, cfg.root, name)
+    _add_to_dimensions(spark, events, songs, cfg)
     stored = read_loads(spark, cfg.root, "songplays")
-    fact = build_songplays(
-        events, songs, stored, variant="relational",
-        entries=_stored_entries(spark, cfg.root), next_id=_next_id(stored),
+    fact = _fact(
+        events, songs, cfg, existing=stored, next_id=_next_id(stored),
+        entries=_stored_entries(spark, cfg.root),
     )
-    append(fact, cfg.root, "songplays")
-    return ["songs", "artists", "time", "users", "songplays"]
+    atomic_load(fact, cfg.root, "songplays")
 
 
 _LOADERS = {

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import lru_cache
 
 from pyspark.sql import SparkSession
@@ -22,6 +25,15 @@ DEFAULTS = {
 }
 
 
+def shuffle_partitions(input_bytes: int, target_bytes: int = 128 << 20) -> int:
+    """Shuffle partitions that hold about ``target_bytes`` each when all of the input is shuffled.
+
+    Set it as ``spark.sql.shuffle.partitions``: it is where run-time merging starts from, so a
+    number that is too high costs little and one that is too low spills.
+    """
+    return max(200, -(-input_bytes // target_bytes))
+
+
 def build_session(app: str = "starling", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the library's defaults; ``conf`` keys use ``__`` in place of dots."""
     builder = SparkSession.builder.appName(app)
@@ -47,6 +59,32 @@ def scratch_root(spark: SparkSession) -> str:
     return _local_scratch(spark.sparkContext.applicationId)
 
 
+_scope: ContextVar[list[str] | None] = ContextVar("scratch_scope", default=None)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that no earlier run has used."""
-    return f"{scratch_root(spark)}/starling/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/starling/{label}-{uuid.uuid4().hex}"
+    scope = _scope.get()
+    if scope is not None:
+        scope.append(path)
+    return path
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a path on whatever file system it is on."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Scratch paths taken inside are deleted at the end, by when their rows must be written."""
+    paths: list[str] = []
+    token = _scope.set(paths)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        for path in paths:
+            drop_path(spark, path)

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from .. import plans as P
 from ..session import scratch_path
+from ..sinks import write_csv
+from ..sources import read_csv_dir
 from .stand_ins import PLAYS, plays
 
 # Rows of one key are written in this order; it leaves no ties.
@@ -54,6 +56,19 @@ def lookup_song(spark, sf):
     return P.song_listeners(history, "red plate")
 
 
+def serving_from_csv(spark, sf):
+    """CSV files, preprocessed into another CSV, from which a serving table is built."""
+    raw, clean = scratch_path(spark, "raw"), scratch_path(spark, "clean")
+    log = plays(spark, sf)
+    gapped = log.withColumn("artist", F.when(F.col("userAgent") != "R", F.col("artist")))
+    write_csv(gapped.where("location = 'F'"), raw + "/2018/one")
+    write_csv(gapped.where("location <> 'F'"), raw + "/2018/two")
+    write_csv(P.preprocess_events(read_csv_dir(spark, raw)), clean)
+    return P.build_song_session_history(
+        read_csv_dir(spark, clean), ["userId", "song", "artist", "length"]
+    )
+
+
 def _last(keys):
     return f"""
       SELECT * FROM ({PLAYS})
@@ -82,6 +97,12 @@ QUERIES = {
     "hist_session": (hist_session, _SESSION),
     "hist_user": (hist_user, _USER),
     "hist_song": (hist_song, _SONG),
+    "serving_from_csv": (serving_from_csv, f"""
+        SELECT CAST(sessionId AS INTEGER) AS session_id, itemInSession AS item_in_session, artist,
+               song, length
+        FROM ({PLAYS}) WHERE userAgent <> 'R'
+        QUALIFY row_number() OVER (PARTITION BY sessionId, itemInSession
+          ORDER BY userId DESC, song DESC, artist DESC, length DESC) = 1"""),
     "lookup_session": (lookup_session, f"""
         SELECT artist, song, length FROM ({_SESSION})
         WHERE session_id = 338 AND item_in_session = 5"""),

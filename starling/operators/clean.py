@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import LongType, StringType, StructType
 
 # Columns kept by the preprocessing step (fixed values).
 EVENT_FIELDS = [
@@ -61,10 +61,14 @@ def lookup(table: DataFrame, order_by: Iterable[str | Column] = (), **key) -> Da
 
 
 def for_date(df: DataFrame, date: dt.date | str, ts_col: str = "start_time") -> DataFrame:
-    """Rows of one calendar day, as a half-open range so that a scan can skip other days."""
+    """Rows of one calendar day (UTC), as a half-open range on the column itself, so that a scan can
+    skip other days. The column is a timestamp or holds epoch milliseconds."""
     day = dt.date.fromisoformat(date) if isinstance(date, str) else date
-    start, stop = (F.lit(f"{d} 00:00:00").cast("timestamp_ntz")
-                   for d in (day, day + dt.timedelta(days=1)))
+    days = [day, day + dt.timedelta(days=1)]
+    if isinstance(df.schema[ts_col].dataType, LongType):
+        start, stop = (F.lit((d - dt.date(1970, 1, 1)).days * 86_400_000) for d in days)
+    else:
+        start, stop = (F.lit(f"{d} 00:00:00").cast("timestamp_ntz") for d in days)
     return df.where((F.col(ts_col) >= start) & (F.col(ts_col) < stop))
 
 

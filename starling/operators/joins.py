@@ -136,7 +136,13 @@ def not_in(
     known = stored.where(F.col("__stored").isNotNull()).distinct()
     if not null_aware:
         return batch.join(known, batch[key] == known["__stored"], "left_anti")
-    is_empty = stored.agg(F.count(F.lit(1)) == 0).scalar()
-    has_null = stored.agg(F.count_if(F.col("__stored").isNull()) > 0).scalar()
-    candidates = batch.where((F.col(key).isNotNull() | is_empty) & ~has_null)
+    flags = stored.agg(
+        F.struct(
+            (F.count(F.lit(1)) == 0).alias("empty"),
+            (F.count_if(F.col("__stored").isNull()) > 0).alias("has_null"),
+        ).alias("flags")
+    ).scalar()
+    candidates = batch.where(
+        (F.col(key).isNotNull() | flags.getField("empty")) & ~flags.getField("has_null")
+    )
     return candidates.join(known, candidates[key] == known["__stored"], "left_anti")

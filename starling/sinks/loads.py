@@ -35,6 +35,14 @@ def _kind(load: str) -> str:
     return load.split("-")[1]
 
 
+def loaded_before(spark: SparkSession, root: str, name: str, tag: str) -> str | None:
+    """The committed load with this tag, if there is one."""
+    for load in committed_loads(spark, root, name):
+        if load.split("-", 2)[2] == tag:
+            return load
+    return None
+
+
 def current_loads(spark: SparkSession, root: str, name: str) -> list[str]:
     loads = committed_loads(spark, root, name)
     last_full = max((i for i, load in enumerate(loads) if _kind(load) == "full"), default=0)
@@ -55,16 +63,19 @@ def read_loads(
     return reader.parquet(*[f"{table}/load={load}" for load in loads]).drop("load")
 
 
+def read_load(spark: SparkSession, root: str, name: str, load: str) -> DataFrame:
+    """The rows of one load."""
+    return spark.read.parquet(f"{root.rstrip('/')}/{name}/load={load}")
+
+
 def _commit(
     df: DataFrame, root: str, name: str, kind: str, tag: str | None = None,
     check: Callable[[DataFrame], None] | None = None, **layout,
 ) -> str:
     spark = df.sparkSession
+    if tag is not None and (done := loaded_before(spark, root, name, tag)):
+        return done
     loads = committed_loads(spark, root, name)
-    if tag is not None:
-        done = [load for load in loads if load.split("-", 2)[2] == tag]
-        if done:
-            return done[0]
     number = int(loads[-1].split("-")[0]) + 1 if loads else 1
     load = f"{number:010d}-{kind}-{tag or uuid.uuid4().hex}"
     table = f"{root.rstrip('/')}/{name}"
@@ -96,11 +107,12 @@ def atomic_load(
     name: str,
     recreate: bool = False,
     check: Callable[[DataFrame], None] | None = None,
+    tag: str | None = None,
     **layout,
 ) -> str:
     """Load all or nothing; an error (also one raised by ``check`` on the new rows) goes on to the
-    caller and leaves the table as it was."""
-    return _commit(df, root, name, "full" if recreate else "append", None, check, **layout)
+    caller and leaves the table as it was. A load with a ``tag`` is done once."""
+    return _commit(df, root, name, "full" if recreate else "append", tag, check, **layout)
 
 
 def load_absent(
@@ -114,11 +126,8 @@ def load_absent(
     **layout,
 ) -> str:
     """Insert-if-absent into a table. Stored rows are not rewritten; only their keys are read."""
-    if tag is not None:
-        done = [x for x in committed_loads(batch.sparkSession, root, name)
-                if x.split("-", 2)[2] == tag]
-        if done:
-            return done[0]
+    if tag is not None and (done := loaded_before(batch.sparkSession, root, name, tag)):
+        return done
     existing = read_loads(batch.sparkSession, root, name)
     fresh = absent_rows(existing, batch, keys, order_by, nulls_distinct)
     return append(fresh, root, name, tag, **layout)

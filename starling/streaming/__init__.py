@@ -1,5 +1,5 @@
 """Incremental ingest."""
 
-from .ingest import ingest_new_files
+from .ingest import each_new_batch, ingest_new_files
 
-__all__ = ["ingest_new_files"]
+__all__ = ["each_new_batch", "ingest_new_files"]

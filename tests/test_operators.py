@@ -208,6 +208,8 @@ def test_for_date_is_half_open(spark):
                    "timestamp_ntz'2018-11-01 23:59:59.999', timestamp_ntz'2018-11-02 00:00:00')) AS start_time")
     assert O.for_date(df, "2018-11-01").count() == 2
     assert O.for_date(df, dt.date(2018, 11, 2)).count() == 1
+    ms = spark.createDataFrame([(1541030400000,), (1541116799999,), (1541116800000,)], "ts bigint")
+    assert O.for_date(ms, "2018-11-01", "ts").count() == 2
 
 
 def test_lookup_orders_by_clustering_key(spark):

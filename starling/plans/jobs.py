@@ -11,9 +11,11 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import schemas
+from ..functions import epoch_s
 from ..operators import catalogue, for_date, null_key_checks, run_checks
 from ..session import scratch_scope
 from ..sinks import append, atomic_load, ensure_loads, read_load, read_loads, refresh
+from ..sinks.loads import current_loads
 from ..sources import read_table, register_all, stage_json
 from ..sources.staging import as_text, located, typed
 from ..streaming import each_new_batch
@@ -95,9 +97,31 @@ def _stored_entries(spark: SparkSession, root: str) -> DataFrame:
     return catalogue(read_table(spark, root, "songs"), read_table(spark, root, "artists"))
 
 
-def _next_id(fact: DataFrame | None) -> int:
-    last = None if fact is None else fact.agg(F.max("songplay_id").alias("last")).first()["last"]
-    return (last or 0) + 1
+def _next_id(spark: SparkSession, cfg: JobConfig) -> int:
+    """One more than the last number given. Later loads hold higher numbers, so the newest load
+    with any rows tells."""
+    for load in reversed(current_loads(spark, cfg.root, "songplays")):
+        rows = read_load(spark, cfg.root, "songplays", load)
+        last = rows.agg(F.max("songplay_id").alias("last")).first()["last"]
+        if last is not None:
+            return last + 1
+    return 1
+
+
+def _stored_plays(spark: SparkSession, cfg: JobConfig, batch: DataFrame) -> DataFrame | None:
+    """The stored plays a batch could meet again: those in the time it spans.
+
+    The time is part of every play key, so others cannot match. The bounds reach the scan, which
+    leaves out the loads and row groups of other times.
+    """
+    stored = read_loads(spark, cfg.root, "songplays")
+    if stored is None:
+        return None
+    span = batch.agg(F.min("ts").alias("first"), F.max("ts").alias("last")).first()
+    first, last = F.lit(span["first"]), F.lit(span["last"])
+    if cfg.variant == "warehouse":
+        first, last = epoch_s(first.cast("bigint")), epoch_s(last.cast("bigint"))
+    return stored.where(F.col("start_time").between(first, last))
 
 
 def _add_to_dimensions(spark, events, songs, cfg) -> None:
@@ -125,8 +149,8 @@ def _load_lake(spark, events, batch, songs, cfg):
 
 
 def _load_warehouse(spark, events, batch, songs, cfg):
-    stored = read_loads(spark, cfg.root, "songplays")
-    fact = _fact(batch, songs, cfg, existing=stored, next_id=_next_id(stored))
+    stored = _stored_plays(spark, cfg, batch)
+    fact = _fact(batch, songs, cfg, existing=stored, next_id=_next_id(spark, cfg))
     atomic_load(fact, cfg.root, "songplays", tag=cfg.tag)
     _add_to_dimensions(spark, batch, songs, cfg)
 
@@ -147,9 +171,9 @@ def _load_scheduled(spark, events, batch, songs, cfg):
 
 def _load_relational(spark, events, batch, songs, cfg):
     _add_to_dimensions(spark, batch, songs, cfg)
-    stored = read_loads(spark, cfg.root, "songplays")
+    stored = _stored_plays(spark, cfg, batch)
     fact = _fact(
-        batch, songs, cfg, existing=stored, next_id=_next_id(stored),
+        batch, songs, cfg, existing=stored, next_id=_next_id(spark, cfg),
         entries=_stored_entries(spark, cfg.root),
     )
     atomic_load(fact, cfg.root, "songplays", tag=cfg.tag)

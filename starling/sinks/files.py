@@ -15,20 +15,19 @@ def spread(
 ) -> DataFrame:
     """Arrange rows for a write, so that a directory gets few files and no task gets a whole one.
 
-    By default rows are rebalanced on the partition columns: small partitions share a task and hot
-    ones are cut at the advisory size. ``files_per_partition`` sets an exact upper number instead,
-    dealing the rows of a directory over that many tasks by row hash.
+    By default rows are rebalanced on the partition columns: a directory up to the advisory size gets
+    one file and a larger one is cut there. ``files_per_partition`` above 1 sets the upper number
+    instead, dealing the rows of a directory over that many tasks by row hash; 1 asks for what the
+    default does, also without partition columns, as one task should not write a large table.
     """
     partition_by, sort = list(partition_by), list(sort)
-    if files_per_partition is not None:
-        if files_per_partition == 1:
-            df = df.repartition(*partition_by) if partition_by else df.repartition(1)
-        elif partition_by:
+    if files_per_partition is not None and files_per_partition > 1:
+        if partition_by:
             slot = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_partition))
             df = df.repartition(*partition_by, slot)
         else:
             df = df.repartition(files_per_partition, *df.columns)
-    elif partition_by:
+    elif partition_by or files_per_partition == 1:
         df = df.hint("rebalance", *partition_by)
     return df.sortWithinPartitions(*partition_by, *sort) if sort else df
 
@@ -59,9 +58,8 @@ def write_table(
 ) -> str:
     """Write Parquet to ``root/name``, partitioned or not. Returns the path.
 
-    ``files_per_partition=1`` gives one file a directory; ask for it only where a directory fits
-    one task. The write replaces files in place: to change a table that is being read, or to load
-    all or nothing, use :mod:`starling.sinks.loads`.
+    The write replaces files in place: to change a table that is being read, or to load all or
+    nothing, use :mod:`starling.sinks.loads`.
     """
     path = f"{root.rstrip('/')}/{name}"
     out = writer(df, partition_by, files_per_partition, sort, max_records_per_file)

@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions import hash_key
 from ..session import scratch_path, scratch_scope
 
-_SLICE, _POSITION, _ROWS, _OFFSET = (f"__starling_{n}" for n in ("slice", "pos", "rows", "offset"))
+_SLICE, _POSITION, _ROWS, _OFFSET, _FILE, _ROW = (
+    f"__starling_{n}" for n in ("slice", "pos", "rows", "offset", "file", "row")
+)
 # monotonically_increasing_id() keeps the row's position in its partition in the low 33 bits.
 _POSITION_BITS = 33
 
@@ -28,7 +30,7 @@ def surrogate_key(
     numbers stay the same however often the result is evaluated; only the slice sizes, one row per
     task, meet in one place. Without ``order_by`` rows keep their tasks, as is enough for an id.
     With it they are range-sorted first, which takes a written copy to draw the range boundaries
-    from; rows equal in ``order_by`` share a slice, so order by something close to unique.
+    from. Ties go by the place in that copy, so that any number of equal rows spreads over slices.
     """
     order = [F.col(c) if isinstance(c, str) else c for c in order_by or ()]
     if not dense:
@@ -40,7 +42,10 @@ def surrogate_key(
         with scratch_scope(spark):
             unsorted = scratch_path(spark, "unsorted")
             df.write.parquet(unsorted)
-            _write_positions(spark.read.parquet(unsorted).orderBy(*order), path)
+            copy = spark.read.parquet(unsorted)
+            place = [F.xxhash64("_metadata.file_name"), F.col("_metadata.row_index")]
+            placed = copy.withColumns(dict(zip([_FILE, _ROW], place)))
+            _write_positions(placed.orderBy(*order, _FILE, _ROW).select(*columns), path)
     else:
         _write_positions(df, path)
     rows = spark.read.parquet(path)

@@ -32,6 +32,23 @@ def test_ties_and_nulls_still_get_one_number_each(spark):
     assert rows(surrogate_key(df, ["k"])) == [(1, None), (2, None), (3, 1), (4, 1)]
 
 
+def test_equal_rows_do_not_share_one_slice(spark, monkeypatch):
+    """A third of the rows are copies of one row; they are numbered by several tasks."""
+    from starling.operators import surrogate
+    paths = []
+    write = surrogate._write_positions
+    monkeypatch.setattr(surrogate, "_write_positions", lambda df, p: (paths.append(p), write(df, p)))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    df = spark.range(6000).selectExpr("IF(id % 3 = 0, 7, id + 10) AS k", "'x' AS v").repartition(5)
+    numbered = surrogate_key(df, ["k", "v"], "n")
+    got = rows(numbered.select("n", "k"))
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert [r[0] for r in got] == list(range(1, 6001))
+    assert [r[1] for r in got] == sorted(r[1] for r in got)
+    per_slice = spark.read.parquet(paths[0]).where("k = 7").groupBy("__starling_slice").count()
+    assert per_slice.count() > 1
+
+
 def test_no_rows(spark):
     assert surrogate_key(spark.createDataFrame([], "k int"), ["k"]).count() == 0
 

@@ -15,20 +15,21 @@ from .stand_ins import (
 )
 
 
+# Dimension rows stored already: those of some names, so that at any size others remain to be added.
 def _stored_songs(spark, sf):
-    return table(spark, sf, "part").where("p_size > 49").select(F.col("p_name").alias("song_id"))
+    return table(spark, sf, "part").where("p_name < 'm'").select(F.col("p_name").alias("song_id"))
 
 
-_STORED_SONGS = "SELECT p_name AS song_id FROM part WHERE p_size > 49"
+_STORED_SONGS = "SELECT p_name AS song_id FROM part WHERE p_name < 'm'"
 
 
 def _stored_artists(spark, sf):
-    return table(spark, sf, "part").where("p_retailprice < 901").select(
+    return table(spark, sf, "part").where("p_brand < 'Brand#2'").select(
         F.col("p_brand").alias("artist_id")
     )
 
 
-_STORED_ARTISTS = "SELECT p_brand AS artist_id FROM part WHERE p_retailprice < 901"
+_STORED_ARTISTS = "SELECT p_brand AS artist_id FROM part WHERE p_brand < 'Brand#2'"
 
 
 def _songs(variant):

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .common import documents
 from .exact import exact_duplicates
+from .mixing import mix
+from .quality import judge, learn_rules
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +25,25 @@ SELECT doc_id, min(doc_id) OVER (PARTITION BY h) AS keep_id, count(*) OVER (PART
 FROM d
 """
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    rules = learn_rules(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return judge(docs, rules).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "rule",
+    )
+
+
+def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix(documents(spark, sf_dir).select("doc_id", "source", "text"))
+    return mixed.select(
+        "doc_id", "size", "source_size", "target",
+        (F.col("copies") * F.col("size")).alias("taken"), "copies",
+    )
+
+
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
+    "op2_mix_sources": (op2_mix_sources, None),
     "op9_exact_dedup": (op9_exact_dedup, EXACT_SQL),
+    "op10_quality_rules": (op10_quality_rules, None),
 }

@@ -1,0 +1,56 @@
+import re
+from collections import Counter
+
+from starling.llm.quality import COUNTS, decision, judge, learn_rules, text_statistics
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def counts(text):
+    text = text or ""
+    words = WORD.findall(text)
+    windows = Counter(zip(words, words[1:], words[2:]))
+    inside = set()
+    for i in range(len(words) - 2):
+        if windows[tuple(words[i:i + 3])] > 1:
+            inside |= {i, i + 1, i + 2}
+    lines = [line for line in text.split("\n") if WORD.search(line)]
+    return (len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text),
+            len(lines) - len(set(lines)), len(inside))
+
+
+def check(docs):
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    want = sorted(((i, *counts(t)) for i, t in rows), key=str)
+    got = text_statistics(docs).select("doc_id", *COUNTS).collect()
+    assert sorted(map(tuple, got), key=str) == want
+
+
+def test_counts_of_odd_rows(odd, clashing):
+    check(odd)
+    check(clashing)
+
+
+def test_counts_of_corpus(spark, corpus):
+    extra = [(10_000 + i, "a b c a b c a b c d " * n, "en", "x") for i, n in enumerate((1, 3, 40))]
+    check(spark.createDataFrame(corpus + extra, "doc_id long, text string, lang string, source string"))
+
+
+def test_learned_rules_reject_bad_and_keep_good(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{n}.parquet") for n in ("documents", "labels"))
+    rules = learn_rules(docs, labels, least=5, precision=0.9)
+    assert rules
+    judged = judge(docs, rules).join(labels, "doc_id").groupBy("quality").agg(
+        {"kept": "count", "rule": "count"}).collect()
+    share = {r.quality: r["count(rule)"] / r["count(kept)"] for r in judged}
+    assert share[1] < 0.02
+
+
+def test_no_labels_no_rules(odd, empty, spark):
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+    assert learn_rules(odd, labels) == []
+    got = judge(odd, []).collect()
+    assert all(r.kept != r.base_failed for r in got)
+    assert judge(empty, []).count() == 0
+    assert "NULL" in str(decision([]))

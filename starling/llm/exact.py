@@ -31,6 +31,7 @@ def merge_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows == 0:
             continue
+        batch = pa.RecordBatch.from_arrays(batch.columns, names=batch.schema.names)
         table = pa.Table.from_batches([batch] if carry is None else [carry, batch])
         rows = table.combine_chunks().to_batches()[0]
         new = np.ones(rows.num_rows, dtype=bool)

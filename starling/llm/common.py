@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +49,20 @@ def crc_remainder(doc_id: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % F.lit(modulus)
 
 
+def pinned(value: Column) -> Column:
+    """The value, in a projection that the optimiser neither merges nor pushes filters through.
+
+    A filter on a statistic of a text would otherwise be rewritten in terms of the text, and a list
+    made from it be made anew for each element that a lambda looks at.
+    """
+    return F.when(F.monotonically_increasing_id() >= 0, value)
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is evaluated once however often the body's lambdas use it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The rows written to the shared folder and read back: cuts lineage, survives lost executors."""
     spark = df.sparkSession

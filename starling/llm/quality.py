@@ -9,7 +9,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import SPACE, WORD, stored, whole_text, words_of
+from .common import SPACE, WORD, pinned, stored, whole_text, words_of
 
 # A window's sort key: the upper bits of its hash, and below them its place in the text, of which
 # there may be 16 million. Neighbours with equal upper bits are compared on all 64 bits.
@@ -42,15 +42,6 @@ class Condition:
 Rule = tuple[Condition, ...]
 
 
-def _pinned(value: Column) -> Column:
-    """The value, in a projection that the optimiser neither merges nor pushes filters through.
-
-    A filter on a statistic would otherwise be rewritten in terms of the text, and the list of
-    words be made anew for each of its elements.
-    """
-    return F.when(F.monotonically_increasing_id() >= 0, value)
-
-
 def _repeats(windows: Column) -> Column:
     """Places of the windows whose hash occurs twice or more, by a sort of hash bits and place."""
     keys = F.sort_array(
@@ -130,7 +121,7 @@ def text_statistics(docs: DataFrame, *carry: str) -> DataFrame:
         (F.col("__length") - F.col("__blanks")).cast("long").alias("word_chars"),
         "n_symbols",
         (lines - F.size(F.array_distinct("__lines"))).cast("long").alias("n_dup_lines"),
-        _pinned(F.when(F.col("__same"), F.size(covered)).otherwise(0).cast("long")).alias("n_repeat_words"),
+        pinned(F.when(F.col("__same"), F.size(covered)).otherwise(0).cast("long")).alias("n_repeat_words"),
         *["__upper", "__marks", "__digits", "__distinct", lines.alias("__n_lines")],
     )
     share = lambda a, b: F.coalesce(F.try_divide(F.col(a).cast("double"), F.col(b)), F.lit(0.0))

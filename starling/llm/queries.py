@@ -10,6 +10,9 @@ from .common import documents
 from .exact import exact_duplicates
 from .mixing import mix
 from .quality import judge, learn_rules
+from .pii import BASE, find_spans, joined, of_kind
+from .token_files import read_token_files, token_folder, write_token_files
+from .packing import pack_documents
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,8 +45,38 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_spans(documents(spark, sf_dir).select("doc_id", "text"))
+    count = lambda kind: F.size(of_kind(F.col("pii"), kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id",
+        *[count(kind) for kind in BASE],
+        F.sha2(joined(of_kind(F.col("pii"), *BASE)), 256).alias("base_sha256"),
+        joined(F.col("pii")).alias("spans"),
+    )
+
+
+def tokenizer_path() -> str:
+    """The installed vocabulary file; every operator takes another path as a parameter."""
+    from public_tokenizers import path
+
+    return str(path("byte_bpe_50k.json"))
+
+
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = token_folder(spark)
+    return read_token_files(write_token_files(documents(spark, sf_dir), folder, tokenizer_path()), folder)
+
+
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(documents(spark, sf_dir), tokenizer_path())
+
+
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op2_mix_sources": (op2_mix_sources, None),
     "op9_exact_dedup": (op9_exact_dedup, EXACT_SQL),
     "op10_quality_rules": (op10_quality_rules, None),
+    "op1_pii": (op1_pii, None),
+    "op4_token_files": (op4_token_files, None),
+    "op8_best_fit_packing": (op8_best_fit_packing, None),
 }

@@ -1,0 +1,94 @@
+import re
+
+from pyspark.sql import functions as F
+
+from starling.llm.pii import BASE, find_spans, joined, luhn, mod97, of_kind, redact
+
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def plain_luhn(digits):
+    total = 0
+    for i, d in enumerate(reversed(digits)):
+        total += sum(divmod(int(d) * (1 + i % 2), 10))
+    return total % 10 == 0
+
+
+def valid(kind, found):
+    digits = re.sub("[^0-9]", "", found)
+    if kind == "ip":
+        return all(int(p) <= 255 for p in found.split("."))
+    if kind == "card":
+        return 12 <= len(digits) <= 19 and plain_luhn(digits)
+    return kind == "email" or 9 <= len(digits) <= 15
+
+
+def base_spans(text):
+    spans = [
+        (m.start(), k, kind, m.end())
+        for k, kind in enumerate(BASE)
+        for m in re.finditer(PATTERNS[kind], text or "")
+        if valid(kind, m.group())
+    ]
+    return ",".join(f"{kind}:{start}:{end}" for start, _, kind, end in sorted(spans))
+
+
+TRICKY = [
+    "a@b.c_d@e.f x@y z@@w.q .@a.b a@b.c.d@e.f %+-@1.2.3.4",
+    "1.2.3.4.5.6.7.8 256.1.1.1 0255.001.2.3 1.2.3.4567 é😀 10.0.0.1",
+    "4111 1111 1111 1111 4111-1111-1111-1112 4111  1111 411111111111111143434343434343 12 3",
+    "+1 (555) 123-4567 +49.30.1234567 +1 +12 3 +1 2 3 4 5 6 7 8 9 0 1 2 3 4 5 6 7 +1-- 5",
+    "😀" * 5 + "mail me: jo.doe+tag@mail.example.org, call +44 20 7946 0958",
+    "9" * 5000, "a" * 5000 + "@", "1." * 3000, "a.b." * 2000 + "@x.y", "+1" + "-" * 3000, "1 " * 4000,
+    "x@y." + "z." * 3000 + "q", "card 4111111111111111, " * 300,
+    None, "",
+]
+
+
+def found(docs):
+    return {
+        r.doc_id: r.spans
+        for r in find_spans(docs).select("doc_id", joined(of_kind(F.col("pii"), *BASE)).alias("spans")).collect()
+    }
+
+
+def test_base_spans(spark, corpus):
+    rows = [(i, t) for i, t, *_ in corpus] + [(10_000 + i, t) for i, t in enumerate(TRICKY)]
+    got = found(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    assert got == {i: base_spans(t) for i, t in rows}
+
+
+def test_checksums(spark):
+    df = spark.createDataFrame(
+        [("4111111111111111", "GB82 WEST 1234 5698 7654 32"), ("4111111111111112", "GB82WEST12345698765433")],
+        "card string, iban string")
+    assert [tuple(r) for r in df.select(luhn(F.col("card")), mod97(F.col("iban"))).collect()] == [
+        (True, True), (False, False)]
+
+
+def test_method_spans_need_checksum_or_context(spark):
+    texts = [
+        "pay to IBAN GB82 WEST 1234 5698 7654 32.", "pay to IBAN GB82 WEST 1234 5698 7654 33.",
+        "my social security number is 123-45-6789", "part 123-45-6789", "call 555-123-4567 now",
+        "ratio 555-123-4567 now",
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kinds = {r.doc_id: [s.kind for s in r.pii] for r in find_spans(df).collect()}
+    assert kinds == {0: ["iban"], 1: [], 2: ["ssn"], 3: [], 4: ["local_phone"], 5: []}
+
+
+def test_odd_rows(odd, empty, clashing):
+    assert find_spans(odd).where("size(pii) > 0").count() == 0
+    assert find_spans(odd).count() == odd.count()
+    assert find_spans(empty).count() == 0
+    assert find_spans(clashing).columns == clashing.columns + ["pii"]
+
+
+def test_redact(spark):
+    df = spark.createDataFrame([(1, "é a@b.cd or 10.0.0.1!"), (2, None)], "doc_id long, text string")
+    assert [r.text for r in redact(df).orderBy("doc_id").collect()] == ["é <email> or <ip>!", None]

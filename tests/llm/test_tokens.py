@@ -1,0 +1,131 @@
+import io
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+import zstandard
+from public_tokenizers import path
+from tokenizers import Tokenizer
+
+from starling.llm.packing import OpenBins, cut, pack_documents
+from starling.llm.token_files import (
+    TokenReader, TokenWriter, read_token_files, token_folder, wanted_ids, write_token_files,
+)
+from starling.llm.tokens import WordEncoder
+
+PATH = str(path("byte_bpe_50k.json"))
+TEXTS = [
+    "", " ", "  ", "a", " a", "a ", "a  b", "a   b", "a\n b", "a \nb", "a\n \nb", "it 's don't  'll x",
+    "tab\t word\t\tx ", "é b  c", "x \x1c y\x1c z", "😀 😀  😀", "<|endoftext|> a<|endoftext|>",
+    "a\r\n b  c  d", "123 456  7!! ?? ...", "Ö" * 100 + " " + "z" * 500, "\n\n\n", " \n \n ",
+]
+
+
+def plain():
+    t = Tokenizer.from_file(PATH)
+    t.encode_special_tokens = True
+    return lambda text: t.encode(text or "", add_special_tokens=False).ids
+
+
+def test_word_memory_changes_nothing(corpus):
+    encode, ids = WordEncoder(PATH, words=50), plain()
+    for text in [*TEXTS, *(t for _, t, *_ in corpus)]:
+        assert np.frombuffer(encode.ids(text), "<u4").tolist() == ids(text)
+
+
+def crc(ids):
+    return zlib.crc32(np.array(ids, dtype="<u4").tobytes())
+
+
+def sorted_rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def test_token_files_round_trip(small_batches, corpus, odd):
+    ids, folder = plain(), token_folder(small_batches)
+    docs = small_batches.createDataFrame([r[:2] for r in corpus], "doc_id long, text string").repartition(5)
+    got = read_token_files(write_token_files(docs, folder, PATH, frame_ids=500), folder)
+    start, want = 0, []
+    for doc_id, text, *_ in sorted(corpus):
+        row = [*ids(text), 2]
+        want.append((doc_id, start, len(row), crc(row)))
+        start += len(row)
+    assert sorted_rows(got) == sorted(want, key=str)
+
+
+def test_token_files_of_odd_rows(odd, empty, clashing, small_batches):
+    ids = plain()
+    for docs in (odd, clashing):
+        folder = token_folder(small_batches)
+        got = read_token_files(write_token_files(docs, folder, PATH), folder).collect()
+        assert sorted(((r.doc_id, r.n_tokens, r.ids_crc32) for r in got), key=str) == sorted(
+            ((r.doc_id, len(ids(r.text)) + 1, crc([*ids(r.text), 2])) for r in docs.collect()), key=str)
+        spans = sorted((r.start, r.n_tokens) for r in got)
+        assert all(a + n == b for (a, n), (b, _) in zip(spans, spans[1:])) and spans[0][0] == 0
+        by_start = [r.doc_id for r in sorted(got, key=lambda r: r.start)]
+        assert by_start == sorted(by_start, key=lambda i: (i is not None, i or 0))
+    folder = token_folder(small_batches)
+    assert read_token_files(write_token_files(empty, folder, PATH), folder).count() == 0
+
+
+def test_frames_stand_alone_and_only_wanted_ones_are_read():
+    sink, rows = io.BytesIO(), {i: np.arange(i * 7, dtype="<u4") for i in range(1, 60)}
+    writer = TokenWriter(sink, frame_ids=300)
+    for i, row in rows.items():
+        writer.add(i, row.tobytes())
+    writer.close()
+    data = sink.getvalue()
+    whole = zstandard.ZstdDecompressor().stream_reader(io.BytesIO(data), read_across_frames=True).read()
+    assert whole == b"".join(r.tobytes() for r in rows.values())
+    reader = TokenReader(io.BytesIO(data), len(data))
+    assert np.frombuffer(reader.ids(30), "<u4").tolist() == rows[31].tolist()
+    assert reader.decompressed == 1
+    got = wanted_ids(io.BytesIO(data), len(data), [5, 59, 1000])
+    assert {k: v.tolist() for k, v in got.items()} == {k: rows[k].tolist() for k in (5, 59)}
+    broken = bytearray(data)
+    broken[40] ^= 255
+    with pytest.raises(Exception):
+        TokenReader(io.BytesIO(bytes(broken)), len(broken)).ids(0)
+
+
+def test_cut():
+    for n in (1, 5, 9, 10, 11, 20, 21, 35):
+        pieces = cut(n, 10)
+        assert sum(length for _, length in pieces) == n
+        assert [s for s, _ in pieces] == [sum(x for _, x in pieces[:i]) for i in range(len(pieces))]
+        assert all(length == 10 for _, length in pieces[1:]) and 1 <= pieces[0][1] <= 10
+
+
+def test_open_bins():
+    bins = OpenBins(10, 2)
+    assert bins.place(6) == (0, 0)
+    assert bins.place(5) == (1, 0)
+    assert bins.place(4) == (0, 6)  # the best fit, now full
+    assert bins.place(10) == (2, 0)  # full at once, no bin closes for it
+    assert bins.place(7) == (3, 0)
+    assert bins.place(8) == (4, 0)  # two are open: the fullest (number 3) closes
+    assert bins.place(3) == (1, 5)
+
+
+def test_packing(odd, empty, clashing, corpus, small_batches):
+    ids = plain()
+    many = small_batches.createDataFrame([r[:2] for r in corpus], "doc_id long, text string").repartition(3)
+    for docs in (odd, clashing, many):
+        rows = pack_documents(docs, PATH, capacity=256).collect()
+        want = []
+        for r in docs.collect():
+            row = [*ids(r.text), 0]
+            want += [(r.doc_id, n, s, length, crc(row[s:s + length])) for n, (s, length) in enumerate(cut(len(row), 256))]
+        got = [(r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows]
+        assert sorted(got, key=str) == sorted(want, key=str)
+        sequences = defaultdict(list)
+        for r in rows:
+            sequences[r.sequence_id].append((r.offset, r.length))
+        for parts in sequences.values():
+            parts.sort()
+            assert [o for o, _ in parts] == [sum(n for _, n in parts[:i]) for i in range(len(parts))]
+            assert sum(n for _, n in parts) <= 256
+        total = sum(n for *_, n, _ in want)
+        assert len(sequences) <= 1.1 * total / 256 + 3
+    assert pack_documents(empty, PATH).count() == 0

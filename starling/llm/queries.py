@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import documents
+from .common import crc_remainder, documents
 from .exact import exact_duplicates
 from .mixing import mix
 from .quality import judge, learn_rules
 from .pii import BASE, find_spans, joined, of_kind
 from .token_files import read_token_files, token_folder, write_token_files
 from .packing import pack_documents
+from .language import identify, learn_languages
+from .licenses import scan_licenses
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,6 +74,22 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir), tokenizer_path())
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    third = crc_remainder(F.col("doc_id"), 3)
+    found = identify(docs, learn_languages(docs.where(third != 1).select("doc_id", "text", "lang")))
+    return found.select("doc_id", (third == 1).alias("held_out"), "lang_pred", "score")
+
+
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(documents(spark, sf_dir).select("doc_id", "text")).select(
+        "doc_id",
+        F.array_join("licenses", ",").alias("licenses"),
+        F.array_join("sentence_ids", ",").alias("sentence_ids"),
+        F.size("sentence_ids").cast("long").alias("n_sentences"),
+    )
+
+
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op2_mix_sources": (op2_mix_sources, None),
     "op9_exact_dedup": (op9_exact_dedup, EXACT_SQL),
@@ -79,4 +97,6 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op1_pii": (op1_pii, None),
     "op4_token_files": (op4_token_files, None),
     "op8_best_fit_packing": (op8_best_fit_packing, None),
+    "op5_language_id": (op5_language_id, None),
+    "op7_license_scan": (op7_license_scan, None),
 }

@@ -15,6 +15,7 @@ from .token_files import read_token_files, token_folder, write_token_files
 from .packing import pack_documents
 from .language import identify, learn_languages
 from .licenses import scan_licenses
+from .jaccard import jaccard_components
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,6 +91,10 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(documents(spark, sf_dir), k=4, part=85, whole=100)
+
+
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op2_mix_sources": (op2_mix_sources, None),
     "op9_exact_dedup": (op9_exact_dedup, EXACT_SQL),
@@ -99,4 +104,5 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op8_best_fit_packing": (op8_best_fit_packing, None),
     "op5_language_id": (op5_language_id, None),
     "op7_license_scan": (op7_license_scan, None),
+    "op6_jaccard_join": (op6_jaccard_join, None),
 }

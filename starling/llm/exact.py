@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..operators.joins import replicate
 from .common import stored, whole_text
 
 # monotonically_increasing_id() holds the task's number above the row's 33 bits.
@@ -134,25 +135,27 @@ def exact_duplicates(docs: DataFrame, fan_in: int = 4, partitions: int | None =
 def keep_first(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that ``exact_duplicates`` keeps, with all their columns.
 
-    Rows that agree in ``doc_id`` and text count as one document: one of them stays.
+    Texts stay where they are: the dropped rows' keys go to them, copied to the executors up to
+    64 MB by measurement and joined by a shuffle above that. Of rows that agree in id and text any
+    one stays.
     """
-    from pyspark.sql import Window
-
-    kept = exact_duplicates(docs).where("kept").select(
-        F.coalesce("doc_id", F.lit(-1)).alias("__key_id"),
-        F.col("doc_id").isNull().alias("__key_null"),
-        F.unhex("text_sha256").alias("__key_digest"),
-    )
     keys = ["__key_id", "__key_null", "__key_digest"]
+    found = stored(
+        exact_duplicates(docs).where("NOT kept").select(
+            F.coalesce("doc_id", F.lit(-1)).alias(keys[0]), F.col("doc_id").isNull().alias(keys[1]),
+            F.unhex("text_sha256").alias(keys[2]), F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("again"),
+        ).distinct(),
+        "dropped",
+    )
     keyed = docs.withColumns({
-        "__key_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)),
-        "__key_null": F.col("doc_id").isNull(),
-        "__key_digest": F.unhex(F.sha2(normalised(whole_text()), 256)),
+        keys[0]: F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)),
+        keys[1]: F.col("doc_id").isNull(),
+        keys[2]: F.unhex(F.sha2(normalised(whole_text()), 256)),
     })
-    one = Window.partitionBy(*keys).orderBy(F.lit(0))
-    return (
-        keyed.join(kept, keys, "left_semi")
-        .withColumn("__nth", F.row_number().over(one))
-        .where("__nth = 1")
-        .select(*docs.columns)
-    )
+    again = found.where("again").drop("again")
+    rest = keyed.join(replicate(found.drop("again"), 64 << 20), keys, "left_anti")
+    if again.isEmpty():
+        return rest.select(*docs.columns)
+    # The row that stays is one of several with its id and text.
+    one = keyed.join(replicate(again, 64 << 20), keys, "left_semi").dropDuplicates(keys)
+    return rest.unionByName(one).select(*docs.columns)

@@ -16,6 +16,14 @@ from .packing import pack_documents
 from .language import identify, learn_languages
 from .licenses import scan_licenses
 from .jaccard import jaccard_components
+from .lm import score_documents
+
+
+def tokenizer_path() -> str:
+    """The installed vocabulary file; every operator takes another path as a parameter."""
+    from public_tokenizers import path
+
+    return str(path("byte_bpe_50k.json"))
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,13 +67,6 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def tokenizer_path() -> str:
-    """The installed vocabulary file; every operator takes another path as a parameter."""
-    from public_tokenizers import path
-
-    return str(path("byte_bpe_50k.json"))
-
-
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = token_folder(spark)
     return read_token_files(write_token_files(documents(spark, sf_dir), folder, tokenizer_path()), folder)
@@ -95,6 +96,10 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(documents(spark, sf_dir), k=4, part=85, whole=100)
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op2_mix_sources": (op2_mix_sources, None),
     "op9_exact_dedup": (op9_exact_dedup, EXACT_SQL),
@@ -105,4 +110,5 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op5_language_id": (op5_language_id, None),
     "op7_license_scan": (op7_license_scan, None),
     "op6_jaccard_join": (op6_jaccard_join, None),
+    "op3_lm_scoring": (op3_lm_scoring, None),
 }

@@ -11,47 +11,98 @@ from .common import single_thread
 # Byte-level pre-tokenizers cut before every blank that a visible character follows. The test for
 # visible is narrower here than theirs, and a cut left out changes nothing.
 _CUT = re.compile(r" (?=\S)").split
+# Words that are certain to be cut into their letters and the marks after them.
+_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]{0,3})").fullmatch
 _LONGEST = 64
 
 
+def byte_letters() -> dict[int, str]:
+    """The letter that byte-level vocabularies write for each byte: visible ones stand for themselves,
+    the others follow from 256 on."""
+    visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in visible]
+    return {**{b: chr(b) for b in visible}, **{b: chr(256 + n) for n, b in enumerate(hidden)}}
+
+
 class WordEncoder:
     """Encodes with a tokenizer file of the ``tokenizers`` library, byte-level BPE without prefix.
 
-    Ids depend on a word alone, so words are looked up first and only new ones encoded. The memory
-    of words is emptied when it holds ``words`` of them. Special tokens' strings are ordinary text.
+    Ids depend on a word alone, so words are looked up first and only new ones encoded; plain words
+    go straight to the library's model. Two generations of ``words`` words each are remembered, and
+    a word that is met again moves to the young one. Special tokens' strings are ordinary text.
     """
 
-    def __init__(self, path: str, words: int = 300_000):
+    def __init__(self, path: str, words: int = 500_000):
         single_thread()
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
+        self._model = self._tokenizer.model
+        self._letters = byte_letters()
+        self._blank = self._letters[0x20]
+        self._bytes = [i.to_bytes(4, "little") for i in range(self._tokenizer.get_vocab_size())]
+        self._known_marks: dict[str, bytes] = {}
+        self._line_end = self._encode("\n")
         self._words = words
-        self._known = _Known(self._encode)
+        self._known = _Known(self._encode_word)
 
     def _encode(self, piece: str) -> bytes:
         return np.array(
             self._tokenizer.encode(piece, add_special_tokens=False).ids, dtype="<u4"
         ).tobytes()
 
+    def _plain(self, core: str, blank: str) -> bytes:
+        if not core.isascii():
+            core = core.encode().decode("latin-1").translate(self._letters)
+        return b"".join([self._bytes[t.id] for t in self._model.tokenize(blank + core)])
+
+    def _marks(self, marks: str) -> bytes:
+        if marks not in self._known_marks:
+            self._known_marks[marks] = b"".join([self._bytes[t.id] for t in self._model.tokenize(marks)])
+        return self._known_marks[marks]
+
+    def _encode_word(self, word: str) -> bytes:
+        """Plain words, also several with single line ends between, are cut here."""
+        first, *lines = word.split("\n") if "\n" in word else (word,)
+        plain = _PLAIN(first)
+        others = [_PLAIN(line) for line in lines]
+        if plain is None or None in others:
+            return self._encode(" " + word)
+        core, marks = plain.groups()
+        ids = (self._known.get(core) if marks or lines else None) or self._plain(core, self._blank)
+        if marks:
+            ids += self._marks(marks)
+        for other in others:
+            core, marks = other.groups()
+            ids += self._line_end + self._plain(core, "")
+            if marks:
+                ids += self._marks(marks)
+        return ids
+
     def ids(self, text: str | None) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
         if len(self._known) > self._words:
-            self._known.clear()
+            self._known = _Known(self._encode_word, self._known)
         first, *rest = _CUT(text)
         return b"".join([self._encode(first) if first else b"", *map(self._known.__getitem__, rest)])
 
 
 class _Known(dict):
-    def __init__(self, encode):
+    """Ids by word; a word it lacks comes from the older generation or is encoded."""
+
+    def __init__(self, encode, older: dict | None = None):
         super().__init__()
-        self._encode_piece = encode
+        self._encode_word = encode
+        # Only the entries of the older generation: what it held before is dropped.
+        self._older = dict(older or {})
 
     def __missing__(self, word: str) -> bytes:
-        ids = self._encode_piece(" " + word)
+        ids = self._older.get(word)
+        if ids is None:
+            ids = self._encode_word(word)
         if len(word) <= _LONGEST:
             self[word] = ids
         return ids

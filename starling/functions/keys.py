@@ -30,5 +30,9 @@ def sha2_key(*cols: Column | str, null_safe: bool = False) -> Column:
 
 
 def hash_key(*cols: Column | str) -> Column:
-    """64-bit key that needs no ordering. Two values can collide once billions of keys exist."""
-    return F.xxhash64(*cols)
+    """128-bit key that needs no ordering: md5 of the values under their names, NULLs told apart.
+
+    Repeats by chance are out of reach of any table: about one in 10^18 at 10^10 rows.
+    """
+    named = [(F.col(c) if isinstance(c, str) else c).alias(f"k{i}") for i, c in enumerate(cols)]
+    return F.md5(F.to_json(F.struct(*named)))

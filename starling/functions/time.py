@@ -28,9 +28,11 @@ def epoch_s(c: Column | str) -> Column:
 
 def to_epoch_ms(c: Column | str) -> Column:
     """The inverse of :func:`epoch_ms`; anything finer than a millisecond is cut off."""
-    since_epoch = _col(c) - F.expr(_EPOCH)
-    # A thousandfold interval has one second for every millisecond.
-    return (since_epoch * F.lit(1000)).cast("interval second").cast("bigint")
+    # Whole seconds and milliseconds apart: a thousandfold interval would overflow after 2262.
+    whole = F.date_trunc("second", _col(c)).cast("timestamp_ntz")
+    seconds = (whole - F.expr(_EPOCH)).cast("interval second").cast("bigint")
+    fraction = F.date_part(F.lit("SECOND"), _col(c)) * 1000
+    return seconds * 1000 + (F.floor(fraction) % 1000).cast("bigint")
 
 
 def weekday(ts: Column | str, base: str = "mon0") -> Column:

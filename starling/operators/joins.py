@@ -10,6 +10,7 @@ from pyspark.sql.types import StringType
 
 from ..functions import drop_fraction, lower
 from .dedup import dedup
+from .keyed import met_keys
 
 # What a play and a catalogue entry are compared on (fixed names of the data sets).
 PLAY_KEYS = {"title": "song", "artist": "artist", "duration": "length"}
@@ -111,14 +112,22 @@ def star_join(
     return fact.join(dim, key, how)
 
 
-def only_new(batch: DataFrame, existing: DataFrame, keys: Iterable[str]) -> DataFrame:
+def only_new(
+    batch: DataFrame, existing: DataFrame, keys: Iterable[str], narrow: bool = True
+) -> DataFrame:
     """Batch rows whose key is not stored yet; a NULL in the key never counts as stored.
 
-    Stored keys are made distinct first. That combines before the shuffle which the join needs
-    anyway, and keeps a key that is stored very often from filling one partition.
+    Stored keys are narrowed to those that the batch holds: with a small batch no stored row moves.
+    ``narrow=False`` spares reading the batch twice where it is costly to make; then stored keys are
+    made distinct before the shuffle, so that one stored very often does not fill a partition.
     """
     keys = list(keys)
-    return batch.join(existing.select(*keys).distinct(), keys, "left_anti")
+    if narrow:
+        stored = met_keys(existing, batch, keys)
+    else:
+        stored = existing.select(*[F.col(k).alias(f"__stored_{k}") for k in keys]).distinct()
+    same = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__stored_{k}") for k in keys])
+    return batch.join(stored, same, "left_anti")
 
 
 def not_in(

@@ -14,34 +14,58 @@ def _any_null(keys: list[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
 
+def met_keys(
+    existing: DataFrame, batch: DataFrame, keys: list[str], null_safe: bool = False
+) -> DataFrame:
+    """The stored keys that a batch holds, too, as columns ``__stored_<key>``.
+
+    Stored rows are filtered by the batch's keys first. Those of a small batch are copied to where
+    the stored rows lie, which then do not move; only keys that meet go on.
+    """
+    stored = existing.select(*[F.col(k).alias(f"__stored_{k}") for k in keys])
+    return stored.join(
+        distinct_keys(batch, keys), _equal(keys, "__stored_", "__written_", null_safe), "left_semi"
+    ).distinct()
+
+
+def _equal(keys: list[str], left: str, right: str, null_safe: bool) -> Column:
+    def pair(k: str) -> Column:
+        a, b = F.col(f"{left}{k}"), F.col(f"{right}{k}")
+        return a.eqNullSafe(b) if null_safe else a == b
+
+    return reduce(lambda a, b: a & b, map(pair, keys))
+
+
 def absent_rows(
     existing: DataFrame | None,
     batch: DataFrame,
     keys: Iterable[str],
     order_by: Iterable[str | Column],
     nulls_distinct: bool = True,
+    narrow: bool = True,
 ) -> DataFrame:
     """The batch rows an insert-if-absent would add, first in ``order_by`` per key.
 
-    ``existing`` contributes its key columns only. With ``nulls_distinct`` a row with a NULL in its
-    key conflicts with nothing; those rows pass by without a shuffle. Otherwise NULLs compare as
-    equal. The batch is scanned once for each kind of row, so give it as a table rather than as
-    an expensive plan.
+    With ``nulls_distinct`` a row with a NULL in its key conflicts with nothing; otherwise NULLs
+    compare as equal. The batch is read once, and once more for its keys if stored keys are
+    narrowed to those (``met_keys``). ``narrow=False`` is for a batch that is costly to make and
+    stored rows that are limited to its range already.
     """
     keys = list(keys)
     fields = {f.name: f for f in batch.schema}
-    split = nulls_distinct and any(fields[k].nullable for k in keys)
-    keyed = batch.where(~_any_null(keys)) if split else batch
-    fresh = dedup(keyed, keys, order_by)
-    if existing is not None:
+    if nulls_distinct and any(fields[k].nullable for k in keys):
+        # A row with a NULL key is alone in its group, so one window serves all rows.
+        alone = batch.withColumn("__alone", F.when(_any_null(keys), F.monotonically_increasing_id()))
+        fresh = dedup(alone, [*keys, "__alone"], order_by).drop("__alone")
+    else:
+        fresh = dedup(batch, keys, order_by)
+    if existing is None:
+        return fresh
+    if narrow:
+        stored = met_keys(existing, batch, keys, not nulls_distinct)
+    else:
         stored = existing.select(*[F.col(k).alias(f"__stored_{k}") for k in keys])
-        pairs = [
-            F.col(k) == F.col(f"__stored_{k}") if nulls_distinct
-            else F.col(k).eqNullSafe(F.col(f"__stored_{k}"))
-            for k in keys
-        ]
-        fresh = fresh.join(stored, reduce(lambda a, b: a & b, pairs), "left_anti")
-    return fresh.unionByName(batch.where(_any_null(keys))) if split else fresh
+    return fresh.join(stored, _equal(keys, "", "__stored_", not nulls_distinct), "left_anti")
 
 
 def insert_if_absent(

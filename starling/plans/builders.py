@@ -233,7 +233,7 @@ def _warehouse_plays(plays, entries, *, existing, number, replicate_under, **_):
     matched = match_plays(plays, entries, "inner", "lower", replicate_under=replicate_under)
     rows = matched.select(*_play_columns(epoch_s("ts")))
     if existing is not None:
-        rows = only_new(rows, existing, STORED_PLAY_KEY)
+        rows = only_new(rows, existing, STORED_PLAY_KEY, narrow=False)
     return _numbered(rows, number)
 
 
@@ -248,12 +248,10 @@ def _scheduled_plays(plays, entries, *, rounding, replicate_under, **_):
 
 
 def _relational_plays(plays, entries, *, existing, order, number, replicate_under, **_):
-    options = dict(keys="exact", replicate_under=replicate_under)
-    hits = match_plays(plays, entries, "inner", first_match=True, **options)
-    misses = match_plays(plays, entries, "left_anti", **options)
-    columns = _play_columns(F.col("ts"))
-    # A play without a song has a NULL in its unique key and conflicts with nothing, so only the
-    # hits go through the keyed insert.
-    unique = absent_rows(existing, hits.select(*columns), UNIQUE_PLAY_KEY, order)
-    ids = [F.lit(None).cast(hits.schema[c].dataType).alias(c) for c in ("song_id", "artist_id")]
-    return _numbered(unique.unionByName(misses.select("*", *ids).select(*columns)), number)
+    # The log is matched once. A play without a song has a NULL in its unique key and conflicts with
+    # nothing; stored plays are limited to the batch's time already.
+    matched = match_plays(
+        plays, entries, "left", "exact", first_match=True, replicate_under=replicate_under
+    )
+    rows = matched.select(*_play_columns(F.col("ts")))
+    return _numbered(absent_rows(existing, rows, UNIQUE_PLAY_KEY, order, narrow=False), number)

@@ -77,7 +77,7 @@ SERVING_LAYOUT = {
 
 def save_serving(
     df: DataFrame, table: str, name: str | None = None, buckets: int = 64,
-    files_per_bucket: int = 1, location: str | None = None,
+    files_per_bucket: int | None = None, location: str | None = None,
 ) -> DataFrame:
     """Save a serving table bucketed on its lookup key and sorted on its clustering key."""
     dist, sort = SERVING_LAYOUT[table]

@@ -57,21 +57,25 @@ def layout(
     dist: Iterable[str],
     sort: Iterable[str] = (),
     buckets: int = 64,
-    files_per_bucket: int = 1,
+    files_per_bucket: int | None = None,
     location: str | None = None,
 ) -> DataFrame:
     """Save as a table hash-distributed on ``dist`` and sorted on ``sort`` in every file.
 
     Tables with the same ``dist`` and ``buckets`` join on it without a shuffle, and a lookup on it
-    opens one bucket. ``files_per_bucket`` deals the rows of each bucket over that many tasks, so
-    that a key holding a large share of the rows is not written by one.
+    opens one bucket. Rows are rebalanced by bucket: the number of writing tasks follows from the
+    size of the table, and a bucket above the advisory size is cut, equal rows included, so that a
+    key holding a large share of the rows is not written by one task. ``files_per_bucket`` deals
+    each bucket over that many tasks instead.
     """
     dist, sort = list(dist), list(sort)
-    if files_per_bucket == 1:
-        dealt = df.repartition(buckets, *dist)
+    bucket = F.pmod(F.hash(*dist), F.lit(buckets))
+    if files_per_bucket is None:
+        keyed = df.withColumn("__bucket", bucket).hint("rebalance", "__bucket")
+        # A task holds several buckets; sorted by bucket, it writes one file at a time.
+        dealt = keyed.sortWithinPartitions("__bucket", *sort).drop("__bucket")
     else:
-        bucket = F.pmod(F.hash(*dist), F.lit(buckets))
-        slot = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_bucket))
+        slot = F.floor(F.rand(0) * files_per_bucket)
         dealt = df.repartition(buckets * files_per_bucket, bucket, slot)
     out = dealt.write.format("parquet").bucketBy(buckets, *dist)
     if sort:

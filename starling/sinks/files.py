@@ -17,16 +17,16 @@ def spread(
 
     By default rows are rebalanced on the partition columns: a directory up to the advisory size gets
     one file and a larger one is cut there. ``files_per_partition`` above 1 sets the upper number
-    instead, dealing the rows of a directory over that many tasks by row hash; 1 asks for what the
-    default does, also without partition columns, as one task should not write a large table.
+    instead, dealing the rows of a directory over that many tasks, equal rows too; 1 asks for what
+    the default does, also without partition columns, as one task should not write a large table: a
+    directory above the advisory size then still gets several files.
     """
     partition_by, sort = list(partition_by), list(sort)
     if files_per_partition is not None and files_per_partition > 1:
         if partition_by:
-            slot = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_partition))
-            df = df.repartition(*partition_by, slot)
+            df = df.repartition(*partition_by, F.floor(F.rand(0) * files_per_partition))
         else:
-            df = df.repartition(files_per_partition, *df.columns)
+            df = df.repartition(files_per_partition)
     elif partition_by or files_per_partition == 1:
         df = df.hint("rebalance", *partition_by)
     return df.sortWithinPartitions(*partition_by, *sort) if sort else df
@@ -58,6 +58,7 @@ def write_table(
 ) -> str:
     """Write Parquet to ``root/name``, partitioned or not. Returns the path.
 
+    ``files_per_partition`` is an upper number above 1, and a wish at 1 (see :func:`spread`).
     The write replaces files in place: to change a table that is being read, or to load all or
     nothing, use :mod:`starling.sinks.loads`.
     """

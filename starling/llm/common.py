@@ -71,6 +71,12 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def texts_of(batch: pa.RecordBatch, rows: int = 512) -> Iterator[list[list]]:
+    """The columns of a batch as Python values, some rows at a time, so that few are held twice."""
+    for low in range(0, batch.num_rows, rows):
+        yield [column.to_pylist() for column in batch.slice(low, rows).columns]
+
+
 def single_thread() -> None:
     """Keep native libraries in a task to the one core that Spark gave it."""
     for name in ("OMP_NUM_THREADS", "OPENBLAS_NUM_THREADS", "MKL_NUM_THREADS"):

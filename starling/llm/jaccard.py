@@ -12,14 +12,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..operators.joins import replicate
-from .common import batch_of, byte_words, stored, tree_sum
+from .common import batch_of, byte_words, stored, texts_of, tree_sum
 from .components import components
 
 # Hash buckets of the frequency sketch: its size is fixed, whatever the corpus.
 _BUCKET_BITS = 20
 # Rows without an id get numbers from here on, above all ids.
 _NO_ID = 1 << 62
-_WORDS_HELD = 1 << 20
+_WORDS_HELD = 1 << 17
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _SHIFT = np.uint64(29)
 
@@ -104,8 +104,9 @@ def gram_frequencies(docs: DataFrame, k: int) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(buckets, dtype=np.int64)
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                np.add.at(total, (grams(text, k) >> np.uint64(64 - _BUCKET_BITS)).astype(np.int64), 1)
+            for (texts,) in texts_of(batch):
+                for text in texts:
+                    np.add.at(total, (grams(text, k) >> np.uint64(64 - _BUCKET_BITS)).astype(np.int64), 1)
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["counts"])
 
     vectors = docs.select(F.col("text").cast("string")).mapInArrow(run, "counts binary")
@@ -124,9 +125,9 @@ def grouped_prefixes(keyed: DataFrame, frequencies: np.ndarray, k: int, threshol
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = held.value
-        for batch in batches:
+        for docs, doc_ids, texts in (part for batch in batches for part in texts_of(batch)):
             out = {name: [] for name in _GROUPED.names}
-            for doc, doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
+            for doc, doc_id, text in zip(docs, doc_ids, texts):
                 found = grams(text, k)
                 n = len(found)
                 order = np.lexsort((found, rank[(found >> np.uint64(64 - _BUCKET_BITS)).astype(np.int64)]))
@@ -143,8 +144,8 @@ def grouped_prefixes(keyed: DataFrame, frequencies: np.ndarray, k: int, threshol
 def _sets_of(keyed: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     """The whole sets of the documents in ``wanted`` (column ``doc``), made from their texts again."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            docs, sets = batch.column(0).to_pylist(), [grams(t, k).tobytes() for t in batch.column(1).to_pylist()]
+        for docs, texts in (part for batch in batches for part in texts_of(batch)):
+            sets = [grams(t, k).tobytes() for t in texts]
             yield batch_of(_SETS, {
                 "doc": docs, "digest": [blake2b(s, digest_size=16).digest() for s in sets], "grams": sets,
             })

@@ -171,15 +171,15 @@ def verified(pairs: DataFrame, keyed: DataFrame, k: int, threshold: Threshold) -
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for first, second, *sets in (part for batch in batches for part in texts_of(batch)):
             keep = []
-            for x, y in zip(batch.column("a_grams").to_pylist(), batch.column("b_grams").to_pylist()):
+            for x, y in zip(*sets):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 common = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(threshold.linked(common, len(x), len(y)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("a"), batch.column("b")], names=["a", "b"]
-            ).filter(pa.array(keep))
+                [pa.array(first, pa.int64()), pa.array(second, pa.int64())], names=["a", "b"]
+            ).filter(pa.array(keep, pa.bool_()))
 
     both = pairs.join(side("b"), ["b", "b_digest"]).join(side("a"), ["a", "a_digest"])
     return both.select("a", "b", "a_grams", "b_grams").mapInArrow(run, "a long, b long")

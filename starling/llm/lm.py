@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import batch_of, byte_words, crc_remainder, single_thread, stored, tree_sum
+from .common import batch_of, byte_words, crc_remainder, single_thread, stored, texts_of, tree_sum
 
 _COUNTS = pa.schema([("word", pa.string()), ("c", pa.int64())])
 _SCORED = pa.schema([
@@ -85,8 +85,8 @@ def token_counts(docs: DataFrame) -> DataFrame:
             held.clear()
             return out
 
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
+        for (texts,) in (part for batch in batches for part in texts_of(batch)):
+            for text in texts:
                 held.update(byte_words(text))
                 if len(held) > _HELD:
                     yield flush()
@@ -311,15 +311,11 @@ def train(docs: DataFrame, vocabulary: Vocabulary, shape: Shape) -> LogBilinear:
                 words.vocabulary.class_counts, shape, turn,
             )
             seen = 0
-            for batch in batches:
-                texts = batch.column(0).to_pylist()
-                for low in range(0, len(texts), 256):
-                    events = words.events(
-                        words.classes(words.codes(byte_words(t))) for t in texts[low:low + 256]
-                    )
-                    # In an order of its own, so that a step sees many texts.
-                    trainer.learn(events[np.random.default_rng(seen).permutation(len(events))])
-                    seen += len(events)
+            for (texts,) in (part for batch in batches for part in texts_of(batch, 256)):
+                events = words.events(words.classes(words.codes(byte_words(t))) for t in texts)
+                # In an order of its own, so that a step sees many texts.
+                trainer.learn(events[np.random.default_rng(seen).permutation(len(events))])
+                seen += len(events)
             vector = np.concatenate([trainer.model.flat() * seen, [seen]])
             yield pa.RecordBatch.from_arrays([pa.array([vector.tobytes()], pa.binary())], names=["vector"])
 
@@ -360,9 +356,9 @@ def score_texts(
         class_logs = np.log10(v.class_counts + 0.1 * (v.class_words + 1))
         class_logs[: v.heads] = 0
         class_logs[v.end] = 0
-        for batch in batches:
+        for columns in (part for batch in batches for part in texts_of(batch)):
             out = {name: [] for name in _SCORED.names}
-            for row, doc_id, held, text in zip(*(c.to_pylist() for c in batch.columns)):
+            for row, doc_id, held, text in zip(*columns):
                 tokens = byte_words(text)
                 codes = words.codes(tokens)
                 classes = words.classes(codes)

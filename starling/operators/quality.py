@@ -35,15 +35,20 @@ def not_null(df: DataFrame, cols: Iterable[str]) -> tuple[DataFrame, DataFrame]:
     return df.where(~missing), df.where(missing)
 
 
-def conform(df: DataFrame, schema: StructType) -> tuple[DataFrame, DataFrame]:
+def conform(
+    df: DataFrame, schema: StructType, broken: str | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Rows typed as ``schema``, and the raw rows with a value that does not parse.
 
-    The rejects carry the names of the offending columns in ``rejected_columns``.
+    The rejects carry the names of the offending columns in ``rejected_columns``. Rows with a value
+    in the column ``broken`` are rejected under its name, whatever else they hold.
     """
     bad = {
         f.name: F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()
         for f in schema
     }
+    if broken is not None:
+        bad[broken] = F.col(broken).isNotNull()
     is_bad = _any(list(bad.values()))
     typed = df.where(~is_bad).select(
         *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema]

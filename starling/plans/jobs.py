@@ -6,16 +6,17 @@ from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 from functools import partial
+from hashlib import sha256
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import schemas
 from ..functions import epoch_s
-from ..operators import catalogue, for_date, null_key_checks, run_checks
+from ..operators import absent_rows, catalogue, for_date, not_null, null_key_checks, run_checks
 from ..session import scratch_scope
-from ..sinks import append, atomic_load, ensure_loads, read_load, read_loads, refresh
-from ..sinks.loads import current_loads
+from ..sinks import append, commit, ensure_loads, prepare, read_load, read_loads, refresh
+from ..sinks.loads import committed_loads, current_loads, mark, marks
 from ..sources import read_table, register_all, stage_json
 from ..sources.staging import as_text, located, typed
 from ..streaming import each_new_batch
@@ -30,7 +31,8 @@ class JobConfig:
     """Where a job reads and writes, and by which rules it builds.
 
     ``event_paths`` locates the event fields by JSON path, in column order. ``date`` restricts what
-    is added to one day's events. A catalogue that measures up to ``replicate_under``
+    is loaded to one day's events: what is added, and under ``lake``, which rewrites its tables, what
+    they then hold. The dimensions that ``scheduled`` refreshes hold all days. A catalogue that measures up to ``replicate_under``
     bytes is copied to every executor, so that the log is matched where it lies; a larger one is
     shuffled together with the log.
     """
@@ -71,19 +73,65 @@ def stage_all(spark: SparkSession, cfg: JobConfig) -> dict[str, DataFrame]:
     return staged(spark, cfg.root)
 
 
-def load_all(spark: SparkSession, cfg: JobConfig) -> None:
-    """Load the star schema from what is staged, each table all-or-nothing.
+class Loads:
+    """The loads of one run: written one by one, readable within the run, committed together."""
 
-    The fact comes first and then the dimensions, side by side; where the fact is matched against
-    the dimensions (``lake``, ``relational``) it comes last.
+    def __init__(self, spark: SparkSession, cfg: JobConfig):
+        self.spark, self.cfg = spark, cfg
+        self._prepared: dict[str, str] = {}
+
+    def add(self, rows: DataFrame, name: str, recreate: bool = False, **layout) -> None:
+        kind = "full" if recreate else "append"
+        self._prepared[name] = prepare(rows, self.cfg.root, name, kind, self.cfg.tag, **layout)
+
+    def stored(self, name: str) -> DataFrame | None:
+        """What the table holds before this run."""
+        return read_loads(self.spark, self.cfg.root, name)
+
+    def table(self, name: str) -> DataFrame:
+        """What the table holds with this run's load."""
+        return read_loads(self.spark, self.cfg.root, name, prepared=self._prepared.get(name))
+
+    def new(self, name: str) -> DataFrame:
+        """This run's rows."""
+        return read_load(self.spark, self.cfg.root, name, self._prepared[name])
+
+    def gate(self, checks: Iterable[Mapping] | None, fail_fast: bool) -> DataFrame:
+        """Run ``checks`` on the tables as they will be, and the variant's constraints on new rows."""
+        for name in TABLES:
+            self.table(name).createOrReplaceTempView(name)
+        views = [name for name in TABLES if name in self._prepared]
+        for name in views:
+            self.new(name).createOrReplaceTempView(f"new_{name}")
+        rules = constraint_checks(self.cfg.variant, views)
+        return run_checks(self.spark, [*(key_checks() if checks is None else checks), *rules], fail_fast)
+
+    def commit(self) -> None:
+        for name, load in self._prepared.items():
+            commit(self.spark, self.cfg.root, name, load)
+
+
+def load_all(
+    spark: SparkSession, cfg: JobConfig, checks: Iterable[Mapping] | None = None,
+    fail_fast: bool = True, batch: DataFrame | None = None,
+) -> DataFrame:
+    """Load the star schema from what is staged, or for incremental runs from ``batch`` of it.
+
+    All tables are written, then checked, then committed: a failing check leaves every table as it
+    was. The fact comes first and then the dimensions, side by side; where the fact is matched
+    against the dimensions (``lake``, ``relational``) it comes last. Returns the report.
     """
     events, songs = staged(spark, cfg.root).values()
+    rows = events if batch is None else batch
     if cfg.date is not None:
-        batch = for_date(events, cfg.date, "ts")
-    else:
-        batch = events
+        rows = for_date(rows, cfg.date, "ts")
+    loads = Loads(spark, cfg)
     with scratch_scope(spark):
-        _LOADERS[cfg.variant](spark, events, batch, songs, cfg)
+        _LOADERS[cfg.variant](loads, rows, songs, cfg)
+        report = loads.gate(checks, fail_fast)
+    loads.commit()
+    register_all(spark, cfg.root, TABLES)
+    return report
 
 
 def _fact(events, songs, cfg, **options) -> DataFrame:
@@ -93,10 +141,6 @@ def _fact(events, songs, cfg, **options) -> DataFrame:
     )
 
 
-def _stored_entries(spark: SparkSession, root: str) -> DataFrame:
-    return catalogue(read_table(spark, root, "songs"), read_table(spark, root, "artists"))
-
-
 def _next_id(spark: SparkSession, cfg: JobConfig) -> int:
     """One more than the last number given. Later loads hold higher numbers, so the newest load
     with any rows tells."""
@@ -124,59 +168,75 @@ def _stored_plays(spark: SparkSession, cfg: JobConfig, batch: DataFrame) -> Data
     return stored.where(F.col("start_time").between(first, last))
 
 
-def _add_to_dimensions(spark, events, songs, cfg) -> None:
+def _rejected(loads: Loads, rows: DataFrame, name: str) -> None:
+    """Rows without their key, kept beside the table instead of in it."""
+    if not rows.isEmpty():
+        append(rows, loads.cfg.root, f"{name}_rejects", tag=loads.cfg.tag)
+
+
+def _add_to_dimensions(loads: Loads, events: DataFrame, songs: DataFrame, cfg: JobConfig) -> None:
+    """Add what is not stored. An event without a user is set apart before it can reach ``users``:
+    by the null rules of NOT IN, one stored NULL would let no user in ever after."""
+    known, unknown = not_null(events, ["userId"])
+
     def add(name, build, source):
-        rows = build(source, read_loads(spark, cfg.root, name), variant=cfg.variant)
-        atomic_load(rows, cfg.root, name, tag=cfg.tag)
+        loads.add(build(source, loads.stored(name), variant=cfg.variant), name)
 
-    _together(spark, [
-        partial(add, "users", build_users, events), partial(add, "songs", build_songs, songs),
+    _together(loads.spark, [
+        partial(add, "users", build_users, known), partial(add, "songs", build_songs, songs),
         partial(add, "artists", build_artists, songs), partial(add, "time", build_time, events),
+        lambda: _rejected(loads, build_users(unknown, variant=cfg.variant), "users"),
     ])
 
 
-def _load_lake(spark, events, batch, songs, cfg):
+def _load_lake(loads, events, songs, cfg):
     by_month = {"partition_by": ["year", "month"]}
-    full = partial(atomic_load, root=cfg.root, recreate=True)
-    _together(spark, [
-        partial(full, build_songs(songs), name="songs", partition_by=["year"]),
-        partial(full, build_artists(songs), name="artists"),
-        partial(full, build_users(events), name="users"),
-        partial(full, build_time(events), name="time", **by_month),
+    full = partial(loads.add, recreate=True)
+    _together(loads.spark, [
+        partial(full, build_songs(songs), "songs", partition_by=["year"]),
+        partial(full, build_artists(songs), "artists"),
+        partial(full, build_users(events), "users"),
+        partial(full, build_time(events), "time", **by_month),
     ])
-    fact = _fact(events, songs, cfg, entries=_stored_entries(spark, cfg.root))
-    full(fact, name="songplays", **by_month)
-
-
-def _load_warehouse(spark, events, batch, songs, cfg):
-    stored = _stored_plays(spark, cfg, batch)
-    fact = _fact(batch, songs, cfg, existing=stored, next_id=_next_id(spark, cfg))
-    atomic_load(fact, cfg.root, "songplays", tag=cfg.tag)
-    _add_to_dimensions(spark, batch, songs, cfg)
-
-
-def _load_scheduled(spark, events, batch, songs, cfg):
-    atomic_load(_fact(batch, songs, cfg), cfg.root, "songplays", tag=cfg.tag)
-    dims = {
-        "users": build_users(events, variant="scheduled"),
-        "songs": build_songs(songs, variant="scheduled", rounding=cfg.rounding),
-        "artists": build_artists(songs, variant="scheduled", rounding=cfg.rounding),
-        "time": build_time(read_table(spark, cfg.root, "songplays"), variant="scheduled"),
-    }
-    _together(spark, [
-        partial(atomic_load, rows, cfg.root, name, recreate=True, tag=cfg.tag)
-        for name, rows in dims.items()
+    entries = catalogue(loads.table("songs"), loads.table("artists"))
+    full(_fact(events, songs, cfg, entries=entries), "songplays", **by_month)
+
+
+def _load_warehouse(loads, events, songs, cfg):
+    stored = _stored_plays(loads.spark, cfg, events)
+    loads.add(_fact(events, songs, cfg, existing=stored, next_id=_next_id(loads.spark, cfg)), "songplays")
+    _add_to_dimensions(loads, events, songs, cfg)
+
+
+def _load_scheduled(loads, events, songs, cfg):
+    loads.add(_fact(events, songs, cfg), "songplays")
+    rules = {"variant": "scheduled"}
+    if cfg.tag is None:
+        # Everything staged, whatever the day: these dimensions are refreshed.
+        users = build_users(staged(loads.spark, cfg.root)[EVENTS], **rules)
+        time = build_time(loads.table("songplays"), **rules)
+    else:
+        # The same rows as a refresh gives: stored tuples and the batch's new ones.
+        rows = build_users(events, **rules)
+        users = absent_rows(loads.stored("users"), rows, rows.columns, rows.columns, nulls_distinct=False)
+        time = build_time(loads.new("songplays"), **rules)
+    again = cfg.tag is None
+    _together(loads.spark, [
+        partial(loads.add, users, "users", again),
+        partial(loads.add, build_songs(songs, rounding=cfg.rounding, **rules), "songs", True),
+        partial(loads.add, build_artists(songs, rounding=cfg.rounding, **rules), "artists", True),
+        partial(loads.add, time, "time", again),
     ])
 
 
-def _load_relational(spark, events, batch, songs, cfg):
-    _add_to_dimensions(spark, batch, songs, cfg)
-    stored = _stored_plays(spark, cfg, batch)
+def _load_relational(loads, events, songs, cfg):
+    _add_to_dimensions(loads, events, songs, cfg)
     fact = _fact(
-        batch, songs, cfg, existing=stored, next_id=_next_id(spark, cfg),
-        entries=_stored_entries(spark, cfg.root),
+        events, songs, cfg, existing=_stored_plays(loads.spark, cfg, events),
+        next_id=_next_id(loads.spark, cfg),
+        entries=catalogue(loads.table("songs"), loads.table("artists")),
     )
-    atomic_load(fact, cfg.root, "songplays", tag=cfg.tag)
+    loads.add(fact, "songplays")
 
 
 _LOADERS = {
@@ -192,24 +252,66 @@ def key_checks() -> list[dict]:
     return null_key_checks({table: schemas.KEYS[table][0] for table in TABLES})
 
 
+def constraint_checks(variant: str, tables: Iterable[str]) -> list[dict]:
+    """What the target tables of a variant enforce themselves, as checks of ``new_<table>``."""
+    unique = schemas.UNIQUE.get(variant, {})
+    return [
+        {
+            "query": f"SELECT count(1) FROM (SELECT 1 FROM new_{table} WHERE "
+                     + " AND ".join(f"{k} IS NOT NULL" for k in unique[table])
+                     + f" GROUP BY {', '.join(unique[table])} HAVING count(1) > 1)",
+            "expected_result": 0,
+        }
+        for table in tables if table in unique
+    ]
+
+
 def run_job(
     spark: SparkSession, cfg: JobConfig, checks: Iterable[Mapping] | None = None,
     stage: bool = True, load: bool = True, fail_fast: bool = True,
 ) -> DataFrame:
-    """Ensure the tables, stage, load fact and dimensions, then run the quality gate.
+    """Ensure the tables, stage, load fact and dimensions past the quality gate.
 
-    ``stage`` / ``load`` switch off one half. The loaded tables are registered for SQL under their
-    names, which is what ``checks`` refer to. Returns the report of the checks.
+    ``stage`` / ``load`` switch off one half. ``checks`` refer to the tables by name and see them as
+    they will be; a failing one stops the job with the tables as they were. The loaded tables are
+    registered for SQL under their names. Returns the report of the checks.
     """
     ensure_loads(spark, cfg.root, schemas.targets(cfg.variant))
     if stage:
         stage_all(spark, cfg)
     if load:
-        load_all(spark, cfg)
+        return load_all(spark, cfg, checks, fail_fast)
     register_all(spark, cfg.root, TABLES)
     return run_checks(spark, key_checks() if checks is None else checks, fail_fast)
 
 
+def _taken(load: str) -> str:
+    """Tag of the run that loads what is staged up to ``load``."""
+    return "run." + sha256(load.encode()).hexdigest()[:16]
+
+
+def _load_staged(spark, cfg, checks, fail_fast) -> DataFrame | None:
+    """Load what is staged and not loaded yet, at once. A run that was interrupted goes first, over
+    the same rows as before, so that its tables that are committed are not loaded again."""
+    folder = f"{cfg.root.rstrip('/')}/_runs"
+    report, done = None, ""
+    known = marks(spark, folder)
+    for mark_ in known:
+        if mark_.endswith(".done"):
+            done = mark_.removesuffix(".done")
+    waiting = [load for load in committed_loads(spark, cfg.root, EVENTS) if load > done]
+    begun = [m.removesuffix(".begun") for m in known if m.endswith(".begun")]
+    ends = sorted({load for load in begun if load > done} | set(waiting[-1:]))
+    for end in ends:
+        batch = [load for load in waiting if done < load <= end]
+        mark(spark, f"{folder}/{end}.begun")
+        rows = read_load(spark, cfg.root, EVENTS, *batch)
+        report = load_all(spark, replace(cfg, tag=_taken(end)), checks, fail_fast, rows)
+        mark(spark, f"{folder}/{end}.done")
+        done = end
+    return report
+
+
 def run_new_files(
     spark: SparkSession, cfg: JobConfig, checkpoint: str, checks: Iterable[Mapping] | None = None,
     max_files: int | None = None, max_bytes: str | None = None, fail_fast: bool = True,
@@ -217,10 +319,10 @@ def run_new_files(
     """As :func:`run_job`, for a recurring run: parse and load only the event files that have
     arrived since the last one. The catalogue is staged afresh.
 
-    Each batch is staged once and then added to the star schema; only the dimensions of
-    ``scheduled``, which are refreshed by its rules, are built from all that is staged. A batch
-    replayed after a failure resumes at the table where it stopped. ``lake`` rebuilds everything by
-    its rules, so it has no incremental form.
+    ``max_files`` and ``max_bytes`` bound what is parsed at a time; whatever their values, a run
+    adds all new rows to the star schema at once, so they do not change the result. An interrupted
+    run is completed before new rows are loaded. ``lake`` rebuilds everything by its rules, so it
+    has no incremental form.
     """
     if cfg.variant == "lake":
         raise ValueError("the lake rules rebuild all tables; use run_job")
@@ -231,17 +333,16 @@ def run_new_files(
     def parse(raw: DataFrame) -> DataFrame:
         return typed(raw if paths is None else located(raw, target, paths), target)
 
-    def load(rows: DataFrame, tag: str) -> None:
-        session = rows.sparkSession
-        batch = read_load(session, cfg.root, EVENTS, append(rows, cfg.root, EVENTS, tag=tag))
-        events, songs = staged(session, cfg.root).values()
-        with scratch_scope(session):
-            _LOADERS[cfg.variant](session, events, batch, songs, replace(cfg, tag=tag))
+    def stage(rows: DataFrame, tag: str) -> None:
+        append(rows, cfg.root, EVENTS, tag=tag)
 
     each_new_batch(
-        spark, cfg.events, as_text(target) if paths is None else None, checkpoint, load,
+        spark, cfg.events, as_text(target) if paths is None else None, checkpoint, stage,
         fmt="json" if paths is None else "text", transform=parse,
         max_files=max_files, max_bytes=max_bytes,
     )
+    report = _load_staged(spark, cfg, checks, fail_fast)
+    if report is not None:
+        return report
     register_all(spark, cfg.root, TABLES)
     return run_checks(spark, key_checks() if checks is None else checks, fail_fast)

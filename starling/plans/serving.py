@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators import dedup, drop_blank, parse_text, project_events
-from ..sinks import layout
+from ..sinks import layout, write_table
+from ..sources import read_csv_dir, read_table
 
 _SESSION_ORDER = ["sessionId", "itemInSession", "artist", "song", "length", "firstName", "lastName"]
 
@@ -82,3 +83,30 @@ def save_serving(
     """Save a serving table bucketed on its lookup key and sorted on its clustering key."""
     dist, sort = SERVING_LAYOUT[table]
     return layout(df, name or table, dist, sort, buckets, files_per_bucket, location)
+
+
+def run_serving(
+    spark: SparkSession,
+    source: str,
+    root: str,
+    prefix: str = "",
+    order_by: Iterable[str | Column] = _SESSION_ORDER,
+    buckets: int = 64,
+) -> dict[str, DataFrame]:
+    """The query-first job: a tree of CSV files becomes the three serving tables below ``root``.
+
+    The files are read once, preprocessed and kept as one Parquet set; each table is built from it,
+    saved under ``prefix`` and its name, and returned by name, ready for its lookup.
+    """
+    events = preprocess_events(read_csv_dir(spark, source))
+    write_table(events, root, "preprocessed_events")
+    events = read_table(spark, root, "preprocessed_events")
+    build = {
+        "song_session_history": build_song_session_history,
+        "user_artist_history": build_user_artist_history,
+        "user_song_history": build_user_song_history,
+    }
+    return {
+        table: save_serving(make(events, order_by), table, prefix + table, buckets, location=f"{root}/{table}")
+        for table, make in build.items()
+    }

@@ -114,3 +114,15 @@ KEYS = {
     "user_artist_history": ["user_id", "session_id", "item_in_session"],
     "user_song_history": ["song", "user_id"],
 }
+
+# What the targets of a variant enforce beyond their keys: no two rows agree in these columns, NULLs
+# apart.
+UNIQUE = {
+    "relational": {
+        "songplays": ["start_time", "user_id", "song_id"],
+        "users": ["user_id"],
+        "songs": ["song_id"],
+        "artists": ["artist_id"],
+        "time": ["start_time"],
+    },
+}

@@ -25,10 +25,7 @@ def _fs(spark: SparkSession, path: str):
 
 def committed_loads(spark: SparkSession, root: str, name: str) -> list[str]:
     """Names of all committed loads, oldest first."""
-    fs, marks = _fs(spark, f"{root.rstrip('/')}/{name}/_committed")
-    if not fs.exists(marks):
-        return []
-    return sorted(status.getPath().getName() for status in fs.listStatus(marks))
+    return marks(spark, f"{root.rstrip('/')}/{name}/_committed")
 
 
 def _kind(load: str) -> str:
@@ -50,10 +47,16 @@ def current_loads(spark: SparkSession, root: str, name: str) -> list[str]:
 
 
 def read_loads(
-    spark: SparkSession, root: str, name: str, schema: StructType | None = None
+    spark: SparkSession, root: str, name: str, schema: StructType | None = None,
+    prepared: str | None = None,
 ) -> DataFrame | None:
-    """The table's current rows, or None when nothing is committed."""
+    """The table's current rows, or None when nothing is committed.
+
+    ``prepared`` names a load to be read as if it were committed.
+    """
     loads = current_loads(spark, root, name)
+    if prepared is not None and prepared not in loads:
+        loads = [prepared] if _kind(prepared) == "full" else [*loads, prepared]
     if not loads:
         return None
     table = f"{root.rstrip('/')}/{name}"
@@ -63,29 +66,57 @@ def read_loads(
     return reader.parquet(*[f"{table}/load={load}" for load in loads]).drop("load")
 
 
-def read_load(spark: SparkSession, root: str, name: str, load: str) -> DataFrame:
-    """The rows of one load."""
-    return spark.read.parquet(f"{root.rstrip('/')}/{name}/load={load}")
+def read_load(spark: SparkSession, root: str, name: str, *loads: str) -> DataFrame:
+    """The rows of some loads."""
+    table = f"{root.rstrip('/')}/{name}"
+    rows = spark.read.option("basePath", table).parquet(*[f"{table}/load={load}" for load in loads])
+    return rows.drop("load")
 
 
-def _commit(
-    df: DataFrame, root: str, name: str, kind: str, tag: str | None = None,
-    check: Callable[[DataFrame], None] | None = None, **layout,
+def prepare(
+    df: DataFrame, root: str, name: str, kind: str = "append", tag: str | None = None, **layout
 ) -> str:
+    """Write a load without committing it: no reader sees it yet. Returns its name.
+
+    ``kind`` is ``append`` or ``full``. A load with a ``tag`` that is committed is not written again.
+    """
     spark = df.sparkSession
     if tag is not None and (done := loaded_before(spark, root, name, tag)):
         return done
     loads = committed_loads(spark, root, name)
     number = int(loads[-1].split("-")[0]) + 1 if loads else 1
     load = f"{number:010d}-{kind}-{tag or uuid.uuid4().hex}"
-    table = f"{root.rstrip('/')}/{name}"
-    path = f"{table}/load={load}"
     # An attempt that failed before its marker may have left files under a repeated tag.
-    writer(df, **layout).mode("overwrite").parquet(path)
+    writer(df, **layout).mode("overwrite").parquet(f"{root.rstrip('/')}/{name}/load={load}")
+    return load
+
+
+def commit(spark: SparkSession, root: str, name: str, load: str) -> None:
+    """Make a prepared load count."""
+    mark(spark, f"{root.rstrip('/')}/{name}/_committed/{load}")
+
+
+def mark(spark: SparkSession, path: str) -> None:
+    """Create an empty file unless it exists."""
+    fs, file = _fs(spark, path)
+    if not fs.exists(file):
+        fs.create(file, False).close()
+
+
+def marks(spark: SparkSession, path: str) -> list[str]:
+    """Names of the marks in a folder, in order."""
+    fs, folder = _fs(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(folder)) if fs.exists(folder) else []
+
+
+def _commit(
+    df: DataFrame, root: str, name: str, kind: str, tag: str | None = None,
+    check: Callable[[DataFrame], None] | None = None, **layout,
+) -> str:
+    load = prepare(df, root, name, kind, tag, **layout)
     if check is not None:
-        check(spark.read.parquet(path))
-    fs, mark = _fs(spark, f"{table}/_committed/{load}")
-    fs.create(mark, False).close()
+        check(read_load(df.sparkSession, root, name, load))
+    commit(df.sparkSession, root, name, load)
     return load
 
 
@@ -154,3 +185,34 @@ def ensure_loads(spark: SparkSession, root: str, tables: Mapping[str, StructType
     for name, schema in tables.items():
         if not committed_loads(spark, root, name):
             refresh(spark.createDataFrame([], schema), root, name)
+
+
+def drop_loads(spark: SparkSession, root: str, name: str) -> None:
+    """Remove a table with all its loads, if there is one."""
+    fs, table = _fs(spark, f"{root.rstrip('/')}/{name}")
+    fs.delete(table, True)
+
+
+def rebuild_loads(spark: SparkSession, root: str, tables: Mapping[str, StructType]) -> None:
+    """Remove every table and create it again, empty."""
+    for name in tables:
+        drop_loads(spark, root, name)
+    ensure_loads(spark, root, tables)
+
+
+def compact_loads(spark: SparkSession, root: str, name: str, **layout) -> None:
+    """Write the table's current rows as one load, and delete the loads it replaces.
+
+    A recurring run adds a load each time, and every reader lists them all. The new load counts
+    before the old ones go, so a failure at any point leaves a whole table; readers that started
+    earlier should have ended.
+    """
+    rows = read_loads(spark, root, name)
+    if rows is None:
+        return
+    before = committed_loads(spark, root, name)
+    refresh(rows, root, name, **layout)
+    for load in before:
+        for path in (f"_committed/{load}", f"load={load}"):
+            fs, file = _fs(spark, f"{root.rstrip('/')}/{name}/{path}")
+            fs.delete(file, True)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 
@@ -28,18 +28,34 @@ def read_json(
 
 
 def read_csv_dir(
-    spark: SparkSession, path: str, schema: StructType | None = None, pattern: str | None = None
+    spark: SparkSession,
+    path: str,
+    schema: StructType | None = None,
+    pattern: str | None = None,
+    multi_line: bool = True,
 ) -> DataFrame:
     """All CSV files of a tree: UTF-8, a header line in each, quoted fields may hold commas.
 
-    Without a schema every column is read as text, which is what the files hold.
+    Columns go by the names in the header, in any order; those of ``schema`` are typed, a value that
+    does not parse becoming NULL, and others left out. A name that no header holds raises, as does a
+    file whose header differs from the first one's: nothing is ever taken by position. Without a
+    schema every column is read as text, which is what the files hold.
+
+    Quoted fields may hold line ends. That keeps a file from being split among tasks; where none
+    does, ``multi_line=False`` lets large files be split.
     """
     reader = (
         spark.read.option("header", True).option("recursiveFileLookup", True)
         .option("encoding", "UTF-8").option("quote", '"').option("escape", '"')
+        .option("multiLine", multi_line).option("enforceSchema", False)
     )
-    if schema is not None:
-        reader = reader.schema(schema)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    return reader.csv(path)
+    text = reader.csv(path)
+    # With the columns spelled out, every file's header is compared with them.
+    text = reader.schema(text.schema).csv(path)
+    if schema is None:
+        return text
+    if missing := [f.name for f in schema if f.name not in text.columns]:
+        raise ValueError(f"no column {', '.join(missing)} in the header of {path}")
+    return text.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema])

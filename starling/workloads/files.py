@@ -4,14 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..plans import JobConfig, run_job, run_new_files
 from ..schemas import STAGED_EVENTS
 from ..session import scratch_path
 from ..sinks import ensure_table, layout, read_loads, rebuild_all, register, write_csv, write_table
 from ..sources import read_csv_dir, read_json, read_table, stage_json, stage_json_checked
 from ..streaming import ingest_new_files
-from .star import FACT_SQL
-from .stand_ins import CLICKS, CUTOFF_MS, ENTRIES, PLAYS, clicks, entries, plays, table
+from .stand_ins import CLICKS, clicks, table
 
 
 def _by_month(spark, sf):
@@ -178,131 +176,41 @@ def incremental_ingest(spark, sf):
     return read_loads(spark, root, "clicks")
 
 
-def _job(spark, sf, variant):
-    """Raw JSON of plays and catalogue through a whole job, ready to read back."""
-    base = scratch_path(spark, f"job-{variant}")
-    log = plays(spark, sf)
-    log.withColumn("userId", F.col("userId").cast("string")).write.json(base + "/events")
-    entries(spark, sf).write.json(base + "/songs")
-    cfg = JobConfig(base + "/events", base + "/songs", base + "/tables", variant)
-    report = run_job(spark, cfg)
-    return cfg, report
-
-
-def _full_run(variant):
-    def query(spark, sf):
-        cfg, report = _job(spark, sf, variant)
-        sizes = [
-            read_table(spark, cfg.root, name).agg(F.count(F.lit(1)).alias("n_rows"))
-            .select(F.lit(name).alias("name"), "n_rows")
-            for name in ("songplays", "users", "songs", "artists", "time")
-        ]
-        sizes.append(report.where("passed").agg(F.count(F.lit(1)).alias("n_rows"))
-                     .select(F.lit("checks passed").alias("name"), "n_rows"))
-        counts = sizes[0]
-        for size in sizes[1:]:
-            counts = counts.unionByName(size)
-        return counts
-    return query
-
-
-def rerun_relational(spark, sf):
-    """The same delivery twice: keyed rows load once, unmatched plays once per delivery."""
-    cfg, _ = _job(spark, sf, "relational")
-    run_job(spark, cfg)
-    fact = read_table(spark, cfg.root, "songplays")
-    return fact.groupBy(F.col("song_id").isNull().alias("unmatched")).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("songplay_id").alias("n_ids"),
+def csv_multiline(spark, sf):
+    """Fields with line ends, blanks and quotes come back as they were written."""
+    path = scratch_path(spark, "lines")
+    parts = table(spark, sf, "part").select(
+        "p_partkey", F.concat("p_name", F.lit("\n\"two\"\r\n, "), "p_brand").alias("label"),
     )
+    write_csv(parts, path)
+    return read_csv_dir(spark, path, parts.schema)
 
 
-def _deliveries(variant):
-    """The log in two deliveries, each loaded by a run of its own, then a run without new files."""
-    def query(spark, sf):
-        base = scratch_path(spark, f"deliveries-{variant}")
-        log = plays(spark, sf).withColumn("userId", F.col("userId").cast("string"))
-        entries(spark, sf).write.json(base + "/songs")
-        cfg = JobConfig(base + "/events", base + "/songs", base + "/tables", variant)
-        log.where(F.col("ts") < CUTOFF_MS).write.json(base + "/events/first")
-        run_new_files(spark, cfg, base + "/checkpoint")
-        log.where(F.col("ts") >= CUTOFF_MS).write.json(base + "/events/second")
-        run_new_files(spark, cfg, base + "/checkpoint")
-        run_new_files(spark, cfg, base + "/checkpoint")
-        counts = [
-            read_table(spark, cfg.root, name).agg(F.count(F.lit(1)).alias("n_rows"))
-            .select(F.lit(name).alias("name"), "n_rows")
-            for name in ("songplays", "users", "songs", "artists", "time")
-        ]
-        return counts[0].unionByName(counts[1]).unionByName(counts[2]).unionByName(
-            counts[3]).unionByName(counts[4])
-    return query
-
-
-_DISTINCT_PLAYS = {
-    "lake": f"""
-        SELECT count(*) FROM (SELECT DISTINCT start_time, user_id, song_id, artist_id, session_id
-        FROM ({FACT_SQL['lake']}))""",
-    "warehouse": f"""
-        SELECT count(*) FROM ({PLAYS}) p JOIN ({ENTRIES}) e
-        ON lower(song) = lower(title) AND lower(artist) = lower(artist_name)""",
-    "scheduled": f"SELECT count(*) FROM ({FACT_SQL['scheduled']})",
-}
-_HITS = f"""
-  SELECT DISTINCT ts, userId, song_id FROM ({PLAYS}) p JOIN (
-    SELECT title, artist_name, duration, min(song_id) AS song_id FROM ({ENTRIES}) GROUP BY ALL) e
-  ON song = title AND artist = artist_name AND length = duration
-"""
-_MISSES = f"""
-  SELECT * FROM ({PLAYS}) p WHERE NOT EXISTS (SELECT 1 FROM ({ENTRIES}) e
-  WHERE song = title AND artist = artist_name AND length = duration)
-"""
-_DISTINCT_PLAYS["relational"] = f"""
-  SELECT (SELECT count(*) FROM ({_HITS})) + (SELECT count(*) FROM ({_MISSES}))"""
-_USER_ROWS = {
-    "lake": f"SELECT count(*) FROM ({PLAYS})",
-    "warehouse": f"SELECT count(*) FROM ({PLAYS})",
-    "scheduled": f"""SELECT count(*) FROM (
-        SELECT DISTINCT userId, firstName, lastName, gender, level FROM ({PLAYS}))""",
-    "relational": f"SELECT count(DISTINCT userId) FROM ({PLAYS})",
-}
-_ARTIST_ROWS = {
-    "lake": f"SELECT count(DISTINCT artist_id) FROM ({ENTRIES})",
-    "warehouse": f"""SELECT count(*) FROM (SELECT DISTINCT artist_id, artist_name, artist_location,
-        artist_latitude, TRY_CAST(artist_longitude AS DOUBLE) FROM ({ENTRIES}))""",
-    "relational": f"SELECT count(DISTINCT artist_id) FROM ({ENTRIES})",
-}
-_ARTIST_ROWS["scheduled"] = _ARTIST_ROWS["warehouse"]
-_TIME_ROWS = {
-    "lake": f"SELECT count(DISTINCT ts) FROM ({PLAYS})",
-    "warehouse": f"SELECT count(DISTINCT ts // 1000) FROM ({PLAYS})",
-    "scheduled": _DISTINCT_PLAYS["scheduled"],
-    "relational": f"SELECT count(DISTINCT ts) FROM ({PLAYS})",
-}
+def csv_reordered(spark, sf):
+    """Files with the columns in another order than the schema, and one that it lacks."""
+    path = scratch_path(spark, "reordered")
+    parts = table(spark, sf, "part").select("p_partkey", "p_name", "p_size", "p_retailprice")
+    write_csv(parts.select("p_retailprice", "p_size", "p_name", "p_partkey"), path)
+    return read_csv_dir(spark, path, parts.drop("p_size").schema)
 
 
-def _full_run_sql(variant, checks=True, users=None):
-    rows = {
-        "songplays": _DISTINCT_PLAYS[variant],
-        "users": users or _USER_ROWS[variant],
-        "songs": f"SELECT count(DISTINCT song_id) FROM ({ENTRIES})",
-        "artists": _ARTIST_ROWS[variant],
-        "time": _TIME_ROWS[variant],
-    }
-    if checks:
-        rows["checks passed"] = "SELECT 5"
-    return " UNION ALL ".join(
-        f"SELECT '{name}' AS name, CAST(({sql}) AS BIGINT) AS n_rows" for name, sql in rows.items()
-    )
+def json_broken_lines(spark, sf):
+    """Lines cut off in the middle are set apart with their text, by name and by path."""
+    path = scratch_path(spark, "broken")
+    whole = F.to_json(F.struct("userId", "page", "ts", "length", "song"))
+    cut = F.when(F.col("page") == "click", F.left(whole, F.lit(20))).otherwise(whole)
+    _log(spark, sf).where("page <> 'error'").select(cut.alias("value")).write.text(path)
+
+    def staged(paths):
+        good, bad = stage_json_checked(spark, path, STAGED_EVENTS, paths)
+        return good.select(F.lit("").alias("broken"), *_STAGED).unionByName(
+            bad.select(F.col("broken_line").alias("broken"), *_nothing()))
+
+    return staged(None).unionByName(staged([f"$.{f.name}" for f in STAGED_EVENTS]))
 
 
-def _deliveries_sql(variant):
-    if variant == "relational":
-        return _full_run_sql(variant, checks=False)
-    # Users are taken from every event, so the second delivery adds only those the first lacks.
-    users = f"""
-        SELECT count(*) FROM ({PLAYS}) WHERE ts < {CUTOFF_MS} OR userId NOT IN (
-          SELECT userId FROM ({PLAYS}) WHERE ts < {CUTOFF_MS})"""
-    return _full_run_sql(variant, checks=False, users=users)
+def _nothing():
+    return [F.lit(None).cast(STAGED_EVENTS[c].dataType).alias(c) for c in _STAGED]
 
 
 _MONTHS = """CAST(extract(year FROM l_shipdate) AS INTEGER) AS year,
@@ -337,12 +245,18 @@ QUERIES = {
         SELECT 'kept' AS name, count(*) AS n_rows FROM orders UNION ALL
         SELECT 'emptied', CAST(0 AS BIGINT)"""),
     "incremental_ingest": (incremental_ingest, CLICKS),
-    **{f"full_run_{v}": (_full_run(v), _full_run_sql(v)) for v in FACT_SQL},
-    # Both rule sets compare a delivery with what is stored, so two deliveries give what one gives;
-    # neither a second's nor a millisecond's plays are spread over both.
-    "deliveries_warehouse": (_deliveries("warehouse"), _deliveries_sql("warehouse")),
-    "deliveries_relational": (_deliveries("relational"), _deliveries_sql("relational")),
-    "rerun_relational": (rerun_relational, f"""
-        SELECT false AS unmatched, count(*) AS n_rows, count(*) AS n_ids FROM ({_HITS})
-        UNION ALL SELECT true, 2 * count(*), 2 * count(*) FROM ({_MISSES})"""),
+    "csv_multiline": (csv_multiline, """
+        SELECT p_partkey, p_name || chr(10) || '"two"' || chr(13) || chr(10) || ', ' || p_brand AS label
+        FROM part"""),
+    "csv_reordered": (csv_reordered, "SELECT p_partkey, p_name, p_retailprice FROM part"),
+    "json_broken_lines": (json_broken_lines, f"""
+        WITH c AS (SELECT * FROM ({CLICKS}) WHERE page <> 'error'),
+        r AS (
+          SELECT '' AS broken, CAST(userId AS INTEGER) AS userId, page, ts, length, song
+          FROM c WHERE page <> 'click'
+          UNION ALL
+          SELECT left('{{"userId":"' || userId || '","page":"click","ts":' || ts, 20), NULL, NULL, NULL,
+                 NULL, NULL
+          FROM c WHERE page = 'click')
+        SELECT * FROM r UNION ALL SELECT * FROM r"""),
 }

@@ -53,7 +53,7 @@ def lookup_user(spark, sf):
 
 def lookup_song(spark, sf):
     history = _saved(spark, hist_song(spark, sf), "user_song_history")
-    return P.song_listeners(history, "red plate")
+    return P.song_listeners(history, "Title 5")
 
 
 def serving_from_csv(spark, sf):
@@ -69,6 +69,36 @@ def serving_from_csv(spark, sf):
     )
 
 
+def serving_job(spark, sf):
+    """From CSV files to three stored tables and a lookup in each, as one job."""
+    base = scratch_path(spark, "serving-job")
+    log = plays(spark, sf)
+    gapped = log.withColumn("artist", F.when(F.col("userAgent") != "R", F.col("artist")))
+    write_csv(gapped.where("location = 'F'"), base + "/raw/one")
+    write_csv(gapped.where("location <> 'F'"), base + "/raw/two")
+    order = ["userId", "song", "artist", "length", "sessionId", "itemInSession"]
+    prefix = "job_" + base.rsplit("-", 1)[1] + "_"
+    tables = P.run_serving(spark, base + "/raw", base + "/tables", prefix, order, buckets=8)
+    found = {
+        "session": P.session_item(tables["song_session_history"], 338, 5),
+        "user": P.user_session_history(tables["user_artist_history"], 92, 4809),
+        "song": P.song_listeners(tables["user_song_history"], "Title 5"),
+    }
+    texts = [
+        df.select(F.lit(name).alias("name"), F.concat_ws("|", *[F.col(c).cast("string") for c in df.columns]).alias("row"))
+        for name, df in found.items()
+    ]
+    return texts[0].unionByName(texts[1]).unionByName(texts[2])
+
+
+_JOB_ORDER = "userId DESC, song DESC, artist DESC, length DESC, sessionId DESC, itemInSession DESC"
+
+
+def _job_last(keys):
+    return f"""SELECT * FROM ({PLAYS}) WHERE userAgent <> 'R'
+      QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY {_JOB_ORDER}) = 1"""
+
+
 def _last(keys):
     return f"""
       SELECT * FROM ({PLAYS})
@@ -103,6 +133,15 @@ QUERIES = {
         FROM ({PLAYS}) WHERE userAgent <> 'R'
         QUALIFY row_number() OVER (PARTITION BY sessionId, itemInSession
           ORDER BY userId DESC, song DESC, artist DESC, length DESC) = 1"""),
+    "serving_job": (serving_job, f"""
+        SELECT 'session' AS name, artist || '|' || song || '|' || length AS row
+        FROM ({_job_last('sessionId, itemInSession')}) WHERE sessionId = 338 AND itemInSession = 5
+        UNION ALL
+        SELECT 'user', itemInSession || '|' || artist || '|' || song || '|' || firstName || '|' || lastName
+        FROM ({_job_last('userId, sessionId, itemInSession')}) WHERE userId = 92 AND sessionId = 4809
+        UNION ALL
+        SELECT 'song', userId || '|' || firstName || '|' || lastName
+        FROM ({_job_last('song, userId')}) WHERE song = 'Title 5'"""),
     "lookup_session": (lookup_session, f"""
         SELECT artist, song, length FROM ({_SESSION})
         WHERE session_id = 338 AND item_in_session = 5"""),
@@ -110,5 +149,5 @@ QUERIES = {
         SELECT item_in_session, artist, song, first_name, last_name FROM ({_USER})
         WHERE user_id = 92 AND session_id = 4809 ORDER BY item_in_session"""),
     "lookup_song": (lookup_song, f"""
-        SELECT user_id, first_name, last_name FROM ({_SONG}) WHERE song = 'red plate'"""),
+        SELECT user_id, first_name, last_name FROM ({_SONG}) WHERE song = 'Title 5'"""),
 }

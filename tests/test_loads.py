@@ -140,6 +140,32 @@ def test_layout_spreads_a_hot_bucket(spark, root):
     drop_table(spark, "hot_layout")
 
 
+def test_layout_splits_a_hot_key_by_size(spark, root):
+    """With the defaults, and equal rows only."""
+    hot = spark.range(0, 60_000, 1, 6).selectExpr("CAST(IF(id % 3 = 0, id, 7) AS INT) AS k", "'same' AS v")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
+    saved = layout(hot, "hot_default", ["k"], buckets=4, location=f"{root}/hot_default")
+    spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert saved.groupBy("k").count().where("k = 7").first()["count"] == 40_000
+    assert saved.where("k = 7").select("_metadata.file_path").distinct().count() > 1
+    drop_table(spark, "hot_default")
+
+
+def test_load_tables_are_dropped_rebuilt_and_compacted(spark, root):
+    from starling.sinks import compact_loads, drop_loads, rebuild_loads
+    schema = spark.createDataFrame([], SCHEMA).schema
+    for i in range(4):
+        append(frame(spark, (i, "a", 0)), root, "t")
+    compact_loads(spark, root, "t")
+    assert len(committed_loads(spark, root, "t")) == 1
+    append(frame(spark, (9, "a", 0)), root, "t")
+    assert rows(read_table(spark, root, "t"), "k") == [(0,), (1,), (2,), (3,), (9,)]
+    rebuild_loads(spark, root, {"t": schema})
+    assert rows(read_table(spark, root, "t")) == []
+    drop_loads(spark, root, "t")
+    assert read_loads(spark, root, "t") is None
+
+
 def test_register_and_checks(spark, root):
     refresh(frame(spark, (1, "a", 0), (None, "b", 0)), root, "reg_t")
     register_all(spark, root, ["reg_t"])

@@ -1,5 +1,7 @@
 """The physical plans the operators rely on, and their behaviour under a hot key."""
 
+import re
+
 import pytest
 from conftest import optimized, physical, rows
 from pyspark.sql import functions as F
@@ -165,3 +167,29 @@ def test_hot_group_counts_and_dedup_equal_brute_force(hot):
         first[r["song"]] = min(first.get(r["song"], r["ts"]), r["ts"])
     assert dict(rows(O.plays_by(hot, ["song"]))) == counts
     assert dict(rows(O.dedup(hot, ["song"], ["ts"]), "song", "ts")) == first
+
+
+def test_a_small_batch_moves_no_stored_row(spark, tmp_path):
+    """The batch's keys are copied to where the stored rows are read, and only keys that meet go on."""
+    from starling.operators import absent_rows, only_new
+    spark.range(50_000).selectExpr("id AS k", "id AS v").write.parquet(str(tmp_path / "stored"))
+    spark.range(5).selectExpr("id * 20000 AS k", "id AS v").write.parquet(str(tmp_path / "batch"))
+    stored, batch = (spark.read.parquet(str(tmp_path / n)) for n in ("stored", "batch"))
+    for fresh in (only_new(batch, stored, ["k"]), absent_rows(stored, batch, ["k"], ["v"])):
+        plan = physical(fresh)
+        assert re.search(r"BroadcastHashJoin \[\w+#\d+L\], \[__written_k#\d+L\], LeftSemi, BuildRight", plan)
+        assert sorted(r.k for r in fresh.collect()) == [60_000, 80_000]
+
+
+def test_relational_plays_match_the_log_once(spark, tmp_path):
+    from starling.plans import build_songplays
+    log = spark.range(10).selectExpr(
+        "'NextSong' AS page", "id AS ts", "'s' AS song", "'a' AS artist", "1.0D AS length", "1 AS userId",
+        "'free' AS level", "1 AS sessionId", "'l' AS location", "'u' AS userAgent")
+    log.write.parquet(str(tmp_path / "log"))
+    entries = spark.createDataFrame(
+        [("S1", "s", "A1", "a", 1.0)], "song_id string, title string, artist_id string, artist_name string, duration double")
+    fact = build_songplays(
+        spark.read.parquet(str(tmp_path / "log")), entries, variant="relational", entries=entries, surrogate=False)
+    assert physical(fact).count("FileScan parquet") == 1
+    assert fact.count() == 10

@@ -85,16 +85,13 @@ def test_play_detail_has_distinct_column_names(spark, star):
 @pytest.fixture(scope="module")
 def csv_events(spark):
     values = [
-        ("Faithless", "Walter", "M", 4, "Frye", "495.3073", "free", "L", "338",
-         "Music Matters (Mark Knight Dub)", "50"),
-        ("Down To The Bone", "Sylvie", "F", 0, "Cruz", "333.76608", "free", "L", "182",
-         "Keep On Keepin' On", "10"),
-        ("Three Drives", "Sylvie", "F", 1, "Cruz", "411.6371", "free", "L", "182", "Greece 2000", "10"),
-        ("Three Drives", "Sylvie", "F", 1, "Cruz", "411.6371", "free", "L", "182", "Greece 2001", "10"),
-        ("The Black Keys", "Sara", "F", 31, "Johnson", "196.91057", "paid", "L", "152",
-         "All Hands Against His Own", "95"),
-        (None, "Sara", "F", 32, "Johnson", None, "paid", "L", "152", None, "95"),
-        ("", "Sara", "F", 33, "Johnson", None, "paid", "L", "152", "x", "95"),
+        ("Oak Choir", "Nils", "M", 4, "Berg", "301.25", "free", "L", "7001", "Night Train (Long Cut)", "501"),
+        ("Red Kites", "Mara", "F", 0, "Quist", "222.5", "free", "L", "7002", "Over the Weir", "502"),
+        ("Tin Lanterns", "Mara", "F", 1, "Quist", "310.0", "free", "L", "7002", "Harbour 1", "502"),
+        ("Tin Lanterns", "Mara", "F", 1, "Quist", "310.0", "free", "L", "7002", "Harbour 2", "502"),
+        ("Glass Otters", "Ida", "F", 31, "Falk", "180.75", "paid", "L", "7003", "Two Rivers", "503"),
+        (None, "Ida", "F", 32, "Falk", None, "paid", "L", "7003", None, "503"),
+        ("", "Ida", "F", 33, "Falk", None, "paid", "L", "7003", "x", "503"),
     ]
     names = ("artist string, firstName string, gender string, itemInSession int, lastName string, "
              "length string, level string, location string, sessionId string, song string, userId string")
@@ -104,16 +101,16 @@ def csv_events(spark):
 def test_serving_tables_answer_their_questions(spark, csv_events, tmp_path):
     assert P.preprocess_events(csv_events).count() == 5
     sessions = P.build_song_session_history(csv_events)
-    assert [tuple(r) for r in P.session_item(sessions, 338, 4).collect()] == [
-        ("Faithless", "Music Matters (Mark Knight Dub)", 495.3073)]
+    assert [tuple(r) for r in P.session_item(sessions, 7001, 4).collect()] == [
+        ("Oak Choir", "Night Train (Long Cut)", 301.25)]
     users = P.build_user_artist_history(csv_events)
-    history = P.user_session_history(users, 10, 182)
+    history = P.user_session_history(users, 502, 7002)
     assert [tuple(r) for r in history.collect()] == [
-        (0, "Down To The Bone", "Keep On Keepin' On", "Sylvie", "Cruz"),
-        (1, "Three Drives", "Greece 2001", "Sylvie", "Cruz")]
+        (0, "Red Kites", "Over the Weir", "Mara", "Quist"),
+        (1, "Tin Lanterns", "Harbour 2", "Mara", "Quist")]
     songs = P.save_serving(P.build_user_song_history(csv_events), "user_song_history", "ush", 4,
                            location=str(tmp_path / "ush"))
-    assert rows(P.song_listeners(songs, "All Hands Against His Own")) == [(95, "Sara", "Johnson")]
+    assert rows(P.song_listeners(songs, "Two Rivers")) == [(503, "Ida", "Falk")]
     drop_table(spark, "ush")
 
 
@@ -140,7 +137,7 @@ def test_whole_job(spark, tmp_path, variant, expected):
     _write_inputs(spark, tmp_path)
     cfg = P.JobConfig(str(tmp_path / "events"), str(tmp_path / "songs"), str(tmp_path / "t"), variant)
     report = P.run_job(spark, cfg)
-    assert [r["passed"] for r in report.collect()] == [True] * 5
+    assert [r["passed"] for r in report.collect()] == [True] * (10 if variant == "relational" else 5)
 
     def sizes():
         return [read_table(spark, cfg.root, name).count() for name in TABLES]
@@ -154,14 +151,16 @@ def test_whole_job(spark, tmp_path, variant, expected):
     assert sizes() == again
 
 
-@pytest.mark.parametrize("variant", ["warehouse", "scheduled", "relational"])
+@pytest.mark.parametrize("variant", ["lake", "warehouse", "scheduled", "relational"])
 def test_job_for_one_day(spark, tmp_path, variant):
     _write_inputs(spark, tmp_path)
     cfg = P.JobConfig(str(tmp_path / "events"), str(tmp_path / "songs"), str(tmp_path / "t"),
                       variant, date="2018-11-01")
     P.run_job(spark, cfg)
     fact = read_table(spark, cfg.root, "songplays")
-    expected = 1541105830796 if variant == "relational" else dt.datetime(2018, 11, 1, 20, 57, 10)
+    expected = {
+        "relational": 1541105830796, "lake": dt.datetime(2018, 11, 1, 20, 57, 10, 796_000),
+    }.get(variant, dt.datetime(2018, 11, 1, 20, 57, 10))
     assert rows(fact, "start_time") == [(expected,)]
 
 
@@ -174,12 +173,8 @@ def test_recurring_run_takes_new_files_only(spark, tmp_path, variant, by_path):
                       variant, paths)
     checkpoint = str(tmp_path / "checkpoint")
 
-    # The warehouse rules take all of a batch's events of a new user, so there the number of user
-    # rows depends on what arrives together.
-    max_files = None if variant == "warehouse" else 1
-
     def sizes():
-        P.run_new_files(spark, cfg, checkpoint, max_files=max_files)
+        P.run_new_files(spark, cfg, checkpoint, max_files=1)
         return [read_table(spark, cfg.root, name).count() for name in TABLES]
 
     first = sizes()
@@ -204,7 +199,7 @@ def test_recurring_run_resumes_a_batch_that_failed_half_way(spark, tmp_path, mon
         patch.setattr(jobs, "build_users", broken)
         with pytest.raises(Exception, match="lost"):
             P.run_new_files(spark, cfg, str(tmp_path / "checkpoint"))
-    assert read_table(spark, cfg.root, "songplays").count() == 2  # loaded before the failure
+    assert [read_table(spark, cfg.root, name).count() for name in TABLES] == [0] * 5
     P.run_new_files(spark, cfg, str(tmp_path / "checkpoint"))
     assert [read_table(spark, cfg.root, name).count() for name in TABLES] == [2, 2, 1, 1, 2]
 
@@ -228,3 +223,47 @@ def test_only_the_stored_plays_of_the_time_in_question_are_read(spark, tmp_path)
 def test_lake_has_no_recurring_form(spark, tmp_path):
     with pytest.raises(ValueError):
         P.run_new_files(spark, P.JobConfig("e", "s", str(tmp_path)), str(tmp_path / "c"))
+
+
+def test_failing_check_leaves_the_tables_as_they_were(spark, tmp_path):
+    from starling.operators import CheckFailed
+    _write_inputs(spark, tmp_path)
+    cfg = P.JobConfig(str(tmp_path / "events"), str(tmp_path / "songs"), str(tmp_path / "t"), "scheduled")
+    few = [{"query": "SELECT count(1) < 3 FROM songplays", "expected_result": True}]
+    P.run_job(spark, cfg, few)
+    before = {name: rows(read_table(spark, cfg.root, name)) for name in TABLES}
+    with pytest.raises(CheckFailed):
+        P.run_job(spark, cfg, few)
+    assert before == {name: rows(read_table(spark, cfg.root, name)) for name in TABLES}
+
+
+def test_logged_out_event_does_not_stop_users(spark, tmp_path):
+    """An event without a user goes to the rejects, and later users still come in."""
+    events = tmp_path / "events"
+    events.mkdir()
+    (tmp_path / "songs").mkdir()
+    (tmp_path / "songs" / "s.json").write_text("")
+    cfg = P.JobConfig(str(events), str(tmp_path / "songs"), str(tmp_path / "t"), "warehouse")
+
+    def deliver(name, *users):
+        (events / f"{name}.json").write_text("".join(
+            '{"page":"NextSong","userId":"%s","sessionId":1,"ts":1541105830796}\n' % u for u in users))
+        P.run_new_files(spark, cfg, str(tmp_path / "checkpoint"))
+        return rows(read_table(spark, cfg.root, "users"), "user_id")
+
+    assert deliver("a", "1", "") == [(1,)]
+    assert deliver("b", "2", "") == [(1,), (2,)]
+    assert read_table(spark, cfg.root, "users_rejects").count() == 2
+
+
+@pytest.mark.parametrize("max_files", [None, 1])
+def test_batch_size_does_not_change_users(spark, tmp_path, max_files):
+    events = tmp_path / "events"
+    events.mkdir()
+    (tmp_path / "songs").mkdir()
+    (tmp_path / "songs" / "s.json").write_text("")
+    for i in range(3):
+        (events / f"{i}.json").write_text('{"page":"NextSong","userId":"1","sessionId":%d,"ts":%d}\n' % (i, i))
+    cfg = P.JobConfig(str(events), str(tmp_path / "songs"), str(tmp_path / "t"), "warehouse")
+    P.run_new_files(spark, cfg, str(tmp_path / "checkpoint"), max_files=max_files)
+    assert read_table(spark, cfg.root, "users").count() == 3

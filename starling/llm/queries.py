@@ -100,6 +100,30 @@ def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(documents(spark, sf_dir))
 
 
+JACCARD_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS gram
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+  FROM s a JOIN s b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT x, y FROM shared JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y
+  WHERE 100 * c >= 85 * (a.n + b.n - c)),
+edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (
+  SELECT doc_id, doc_id AS hit FROM documents
+  UNION SELECT r.doc_id, e.y FROM reach r JOIN edges e ON e.x = r.hit)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, d.component_id
+FROM (SELECT doc_id, min(hit) AS component_id FROM reach GROUP BY doc_id) d LEFT JOIN n ON n.doc_id = d.doc_id
+"""
+
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op2_mix_sources": (op2_mix_sources, None),
     "op9_exact_dedup": (op9_exact_dedup, EXACT_SQL),
@@ -109,6 +133,6 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op8_best_fit_packing": (op8_best_fit_packing, None),
     "op5_language_id": (op5_language_id, None),
     "op7_license_scan": (op7_license_scan, None),
-    "op6_jaccard_join": (op6_jaccard_join, None),
+    "op6_jaccard_join": (op6_jaccard_join, JACCARD_SQL),
     "op3_lm_scoring": (op3_lm_scoring, None),
 }

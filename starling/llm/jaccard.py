@@ -166,7 +166,7 @@ def verified(pairs: DataFrame, keyed: DataFrame, k: int, threshold: Threshold) -
 
     def side(name: str) -> DataFrame:
         mine = pairs.select(F.col(name).alias("doc"), F.col(f"{name}_digest").alias("digest")).distinct()
-        return sets.join(mine, ["doc", "digest"], "left_semi").select(
+        return sets.join(replicate(mine, 64 << 20), ["doc", "digest"], "left_semi").select(
             F.col("doc").alias(name), F.col("digest").alias(f"{name}_digest"), F.col("grams").alias(f"{name}_grams")
         )
 
@@ -319,7 +319,10 @@ def _link_across(
         | ((F.col("band1") == F.col("band2")) & (F.col("label1") < F.col("label2")))
     ).where(threshold.can_reach(F.col("least1"), F.col("least2"), reach)).where(
         F.col("most1") * threshold.whole >= F.col("least2") * threshold.part
-    ).select(*key, "band1", "label1", "band2", "label2")
+    ).select(
+        *key, "band1", "label1", "band2", "label2", F.col("least2").alias("other_least"),
+        (F.col("most2") - F.col("place2")).alias("other_reach"),
+    )
 
     def of(side: str, names: dict[str, str]) -> DataFrame:
         renamed = {"band": f"band{side}", "label": f"label{side}", "n": f"n{side}", "place": f"place{side}", **names}
@@ -327,8 +330,12 @@ def _link_across(
 
     one = of("1", {"doc": "a", "digest": "a_digest"})
     two = of("2", {"doc": "b", "digest": "b_digest"})
+    # A member that reaches nothing of the other component goes before that one's members come in.
+    near = met.join(one, [*key, "band1", "label1"]).where(threshold.can_reach(
+        F.col("n1"), F.col("other_least"), F.least(F.col("n1") - F.col("place1"), F.col("other_reach"))
+    ))
     pairs = (
-        met.join(one, [*key, "band1", "label1"]).join(two, [*key, "band2", "label2"])
+        near.join(two, [*key, "band2", "label2"])
         .where(threshold.sizes_fit(F.col("n1"), F.col("n2")))
         .where(threshold.can_reach(
             F.col("n1"), F.col("n2"), _bound(F.col("n1"), F.col("place1"), F.col("n2"), F.col("place2"))

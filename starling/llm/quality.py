@@ -234,7 +234,7 @@ def learn_rules(
     # About sample_rows rows of two numbers: bounded by the parameter.
     drawn = F.broadcast(known.where(draw))
     rows = stored(
-        text_statistics(docs.join(drawn, "doc_id"), "bad")
+        text_statistics(docs.select("doc_id", "text").join(drawn, "doc_id"), "bad")
         .where(~base_failed())
         .withColumn("prune", F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(3)) == 0)
         .select("bad", "prune", *FEATURES)

@@ -121,7 +121,8 @@ def exact_duplicates(docs: DataFrame, fan_in: int = 4, partitions: int | None =
     winners = tree_merge(leaves, count, fan_in, rounds).where("copies > 1").select(
         "digest", F.col("doc_id").alias("keep_id"), F.col("row").alias("keep_row"), "copies"
     )
-    back = leaves.select("at", "digest").join(winners, "digest")
+    # Tasks share a leaf's number, or a leaf is read back by several: its digests may then stand twice.
+    back = leaves.select("at", "digest").join(winners, "digest").dropDuplicates(["at", "digest"])
     return rows.join(back, ["at", "digest"], "left").select(
         "doc_id",
         F.when(F.col("copies").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),

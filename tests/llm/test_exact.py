@@ -38,6 +38,23 @@ def test_one_text_in_all_partitions(small_batches):
     assert [r.doc_id for r in got if r.kept] == [0]
 
 
+def test_more_tasks_than_leaves_read_back_by_several(small_batches):
+    """Each row comes out once, though a leaf's digests stand in several partitions."""
+    docs = small_batches.range(600).selectExpr(
+        "id as doc_id", "if(id % 3 = 0, 'hot', concat('text ', id div 2)) as text"
+    ).repartition(24)
+    rows = [tuple(r) for r in docs.collect()]
+    names = {"spark.sql.files.maxPartitionBytes": "600", "spark.sql.files.openCostInBytes": "1"}
+    old = {name: small_batches.conf.get(name) for name in names}
+    try:
+        for name, value in names.items():
+            small_batches.conf.set(name, value)
+        assert result(exact_duplicates(docs, 2, 4)) == expected(rows)
+    finally:
+        for name, value in old.items():
+            small_batches.conf.set(name, value)
+
+
 def test_empty(empty):
     assert exact_duplicates(empty).count() == 0
     assert keep_first(empty).count() == 0

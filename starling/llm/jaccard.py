@@ -20,6 +20,8 @@ _BUCKET_BITS = 20
 # Rows without an id get numbers from here on, above all ids.
 _NO_ID = 1 << 62
 _WORDS_HELD = 1 << 17
+# A bucket's share of all sets that are compared; a task holds two buckets.
+_CELL_BYTES = 16 << 20
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _SHIFT = np.uint64(29)
 
@@ -30,6 +32,8 @@ _GROUPED = pa.schema([
 _GROUPED_SQL = "doc long, doc_id long, n long, digest binary, group_key binary, prefix array<long>"
 _SETS = pa.schema([("doc", pa.int64()), ("digest", pa.binary()), ("grams", pa.binary())])
 _SETS_SQL = "doc long, digest binary, grams binary"
+_PAIRS = pa.schema([("a", pa.int64()), ("a_digest", pa.binary()), ("b", pa.int64()), ("b_digest", pa.binary())])
+_PAIRS_SQL = "a long, a_digest binary, b long, b_digest binary"
 
 
 class _WordHashes(dict):
@@ -185,6 +189,48 @@ def verified(pairs: DataFrame, keyed: DataFrame, k: int, threshold: Threshold) -
     return both.select("a", "b", "a_grams", "b_grams").mapInArrow(run, "a long, b long")
 
 
+def _verified_by_cell(pairs: DataFrame, keyed: DataFrame, k: int, threshold: Threshold) -> DataFrame:
+    """The rows of ``pairs`` (``a, a_digest, b, b_digest``) whose whole sets are similar enough.
+
+    Classes fall into buckets and pairs into cells of two buckets. A set goes once to each cell that
+    compares it, however many pairs it has there, and a task holds one cell's sets at a time.
+    """
+    ids = pairs.select(F.col("a").alias("doc")).union(pairs.select("b")).distinct()
+    sets = stored(_sets_of(keyed, stored(ids, "wanted"), k), "sets")
+    held = sets.agg(F.sum(F.length("grams"))).first()[0] or 0
+    spread = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(-(-held // _CELL_BYTES), 2 * math.isqrt(spread) + 2)
+    bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(buckets))
+    dealt = pairs.withColumn("cell", bucket("a_digest") * buckets + bucket("b_digest"))
+    wanted = dealt.select("cell", F.col("a_digest").alias("digest")).union(dealt.select("cell", "b_digest")).distinct()
+    brought = wanted.join(sets.select("digest", "grams"), "digest").select(
+        "cell", F.lit(0).alias("kind"), F.lit(None).cast("long").alias("a"), F.col("digest").alias("a_digest"),
+        F.lit(None).cast("long").alias("b"), F.lit(None).cast("binary").alias("b_digest"), "grams",
+    )
+    asked = dealt.select(
+        "cell", F.lit(1).alias("kind"), "a", "a_digest", "b", "b_digest", F.lit(None).cast("binary").alias("grams")
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, sets = None, {}
+        for columns in (part for batch in batches for part in texts_of(batch)):
+            found = []
+            for cell, kind, a, a_digest, b, b_digest, own in zip(*columns):
+                if cell != now:
+                    now, sets = cell, {}
+                if kind == 0:
+                    sets[a_digest] = np.frombuffer(own, np.uint64)
+                    continue
+                x, y = sets[a_digest], sets[b_digest]
+                if threshold.linked(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y)):
+                    found.append((a, a_digest, b, b_digest))
+            if found:
+                yield batch_of(_PAIRS, dict(zip(_PAIRS.names, zip(*found))))
+
+    both = brought.unionByName(asked).repartition("cell").sortWithinPartitions("cell", "kind")
+    return both.mapInArrow(run, _PAIRS_SQL)
+
+
 def jaccard_components(docs: DataFrame, k: int = 5, part: int = 80, whole: int = 100) -> DataFrame:
     """Documents connected by links: shingle sets with a Jaccard similarity of ``part / whole`` or more.
 
@@ -202,18 +248,88 @@ def jaccard_components(docs: DataFrame, k: int = 5, part: int = 80, whole: int =
     """
     threshold = Threshold(part, whole)
     keyed = _keyed(docs)
+    rows, classes, lists = _grouped(docs, keyed, k, threshold)
+    linked = _link_to_front(lists, classes, keyed, k, threshold)
+    rest = _link_across(lists, classes, linked, keyed, k, threshold)
+    nodes = _with_component(classes, linked.unionByName(rest)).select("digest", "label")
+    return _of_rows(rows, nodes).select("doc_id", "n_shingles", "component_id")
+
+
+@dataclass(frozen=True)
+class Linked:
+    """All links of a table: pairs of classes, and the class that each row belongs to.
+
+    ``classes`` has a row for each distinct set: ``digest, doc`` (its smallest document), ``n``
+    shingles and ``copies``. ``pairs`` has each two linked classes once, ``a, a_digest, b,
+    b_digest`` as their documents and digests; a class is linked with itself, which no row says.
+    ``rows`` has ``doc, doc_id, n, digest`` for every row; those without words are in no class.
+    """
+
+    rows: DataFrame
+    classes: DataFrame
+    pairs: DataFrame
+
+
+def similarity_join(docs: DataFrame, k: int = 5, part: int = 80, whole: int = 100) -> Linked:
+    """All pairs of shingle sets with a Jaccard similarity of ``part / whole`` or more.
+
+    Every two groups that share a list and pass the filters of size and place are expanded to their
+    classes, as are the classes of one group among themselves, and every such pair is verified.
+    """
+    threshold = Threshold(part, whole)
+    keyed = _keyed(docs)
+    rows, classes, lists = _grouped(docs, keyed, k, threshold)
+    one, two = (
+        classes.select("group", F.col("doc").alias(c), F.col("digest").alias(f"{c}_digest")) for c in "ab"
+    )
+    across = (
+        _group_pairs(lists, threshold).join(one.withColumnRenamed("group", "group1"), "group1")
+        .join(two.withColumnRenamed("group", "group2"), "group2").select("a", "a_digest", "b", "b_digest")
+    )
+    inside = one.join(two, "group").where("a_digest < b_digest").select(*across.columns)
+    pairs = stored(across.unionByName(inside), "pairs")
+    return Linked(rows, classes, stored(_verified_by_cell(pairs, keyed, k, threshold), "links"))
+
+
+def jaccard_links(docs: DataFrame, k: int = 5, part: int = 80, whole: int = 100) -> DataFrame:
+    """``jaccard_components`` with ``n_links``: with how many other rows a row is linked.
+
+    Components come from all links here. Rows with equal sets are linked; texts without words are
+    linked with nothing.
+    """
+    linked = similarity_join(docs, k, part, whole)
+    ends = linked.pairs.select(F.col("a_digest").alias("digest"), F.col("b_digest").alias("other")).union(
+        linked.pairs.select("b_digest", "a_digest")
+    )
+    sizes = linked.classes.select(F.col("digest").alias("other"), "copies")
+    partners = ends.join(sizes, "other").groupBy("digest").agg(F.sum("copies").alias("others"))
+    nodes = _with_component(linked.classes, linked.pairs.select("a", "b")).join(partners, "digest", "left").select(
+        "digest", "label", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links")
+    )
+    return _of_rows(linked.rows, nodes).select(
+        "doc_id", "n_shingles", "component_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")
+    )
+
+
+def _grouped(
+    docs: DataFrame, keyed: DataFrame, k: int, threshold: Threshold
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The rows' set digests, the classes of equal sets in their groups, and the prefix lists."""
     rows = stored(grouped_prefixes(keyed, gram_frequencies(docs, k), k, threshold), "prefixes")
     found = rows.where("n > 0")
     # A class keeps the smallest document; its group's number is the group's smallest document.
     classes = stored(
-        found.groupBy("group_key", "n", "digest").agg(F.min("doc").alias("doc")), "classes"
+        found.groupBy("group_key", "n", "digest").agg(F.min("doc").alias("doc"), F.count(F.lit(1)).alias("copies")),
+        "classes",
     )
     groups = classes.groupBy("group_key").agg(
         F.min("doc").alias("group"), F.min_by("digest", "doc").alias("group_digest"),
         F.count(F.lit(1)).alias("classes"),
     )
     classes = stored(
-        classes.join(groups, "group_key").select("group", "group_digest", "classes", "n", "doc", "digest"),
+        classes.join(groups, "group_key").select(
+            "group", "group_digest", "classes", "n", "doc", "digest", "copies"
+        ),
         "classes",
     )
     # One document of each group brings the group's prefix.
@@ -230,24 +346,46 @@ def jaccard_components(docs: DataFrame, k: int = 5, part: int = 80, whole: int =
         .where("members > 1"),
         "lists",
     )
-    linked = _link_to_front(lists, classes, keyed, k, threshold)
-    rest = _link_across(lists, classes, linked, keyed, k, threshold)
-    together = components(linked.unionByName(rest))
-    label = F.coalesce("component", F.col("node"))
-    nodes = classes.select("n", "digest", F.col("doc").alias("node")).join(together, "node", "left").select(
-        "n", "digest", label.alias("label")
+    return rows, classes, lists
+
+
+def _with_component(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """The classes with ``label``, the smallest document that links lead to."""
+    together = components(links)
+    return classes.join(together, classes["doc"] == together["node"], "left").withColumn(
+        "label", F.coalesce("component", "doc")
     )
+
+
+def _of_rows(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Every row with what ``nodes`` says of its class, by ``digest``; ``label`` becomes the component."""
     # A set's class is known by its digest; a hot class is one row here, and the salt splits its copies.
     salts = 32
     salted = nodes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     out = rows.select("doc", "doc_id", "n", "digest").withColumn(
         "salt", F.pmod(F.xxhash64("doc"), F.lit(salts)).cast("int")
-    ).join(salted.withColumnRenamed("n", "m").drop("m"), ["digest", "salt"], "left")
+    ).join(salted, ["digest", "salt"], "left")
     component = F.when(F.col("n") > 0, F.col("label")).otherwise(F.col("doc"))
-    return out.select(
-        "doc_id",
-        F.col("n").alias("n_shingles"),
-        F.when(component < _NO_ID, component).alias("component_id"),
+    return out.withColumn("component_id", F.when(component < _NO_ID, component)).withColumnRenamed("n", "n_shingles")
+
+
+def _group_pairs(lists: DataFrame, threshold: Threshold) -> DataFrame:
+    """The pairs ``group1, group2`` that share a list and pass the filters of size and place, each once."""
+    band = F.floor(F.log("n") / math.log(threshold.whole / threshold.part)).cast("int")
+    entries = lists.select("token", "group", "n", "place", band.alias("band"))
+    left = entries.toDF("token", "g1", "n1", "place1", "band1").withColumn(
+        "band2", F.explode(F.array("band1", F.col("band1") + 1))
+    )
+    right = entries.toDF("token", "g2", "n2", "place2", "band2")
+    return (
+        left.join(right, ["token", "band2"])
+        .where((F.col("g1") < F.col("g2")) | ((F.col("band1") < F.col("band2")) & (F.col("g1") > F.col("g2"))))
+        .where(threshold.sizes_fit(F.col("n1"), F.col("n2")))
+        .where(threshold.can_reach(
+            F.col("n1"), F.col("n2"), _bound(F.col("n1"), F.col("place1"), F.col("n2"), F.col("place2"))
+        ))
+        .select(F.least("g1", "g2").alias("group1"), F.greatest("g1", "g2").alias("group2"))
+        .distinct()
     )
 
 

@@ -15,7 +15,7 @@ from .token_files import read_token_files, token_folder, write_token_files
 from .packing import pack_documents
 from .language import identify, learn_languages
 from .licenses import scan_licenses
-from .jaccard import jaccard_components
+from .jaccard import jaccard_components, jaccard_links
 from .lm import score_documents
 
 
@@ -96,6 +96,10 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(documents(spark, sf_dir), k=4, part=85, whole=100)
 
 
+def op6_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_links(documents(spark, sf_dir), k=4, part=85, whole=100)
+
+
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(documents(spark, sf_dir))
 
@@ -124,6 +128,11 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, d.component_id
 FROM (SELECT doc_id, min(hit) AS component_id FROM reach GROUP BY doc_id) d LEFT JOIN n ON n.doc_id = d.doc_id
 """
 
+# The same with the number of a document's links.
+JACCARD_LINKS_SQL = JACCARD_SQL.replace("SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, d.component_id", """
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, d.component_id,
+       (SELECT count(*) FROM edges e WHERE e.x = d.doc_id) AS n_links""")
+
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op2_mix_sources": (op2_mix_sources, None),
     "op9_exact_dedup": (op9_exact_dedup, EXACT_SQL),
@@ -134,5 +143,6 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op5_language_id": (op5_language_id, None),
     "op7_license_scan": (op7_license_scan, None),
     "op6_jaccard_join": (op6_jaccard_join, JACCARD_SQL),
+    "op6_jaccard_links": (op6_jaccard_links, JACCARD_LINKS_SQL),
     "op3_lm_scoring": (op3_lm_scoring, None),
 }

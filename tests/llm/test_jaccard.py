@@ -4,7 +4,7 @@ import re
 import pytest
 
 from starling.llm.components import components
-from starling.llm.jaccard import grams, jaccard_components, one_of_each
+from starling.llm.jaccard import grams, jaccard_components, jaccard_links, one_of_each, similarity_join
 
 
 def shingles(text, k):
@@ -76,6 +76,36 @@ def test_near_copies(small_batches, k, part):
     assert got(jaccard_components(docs, k, part, 100)) == expected(rows, k, part, 100)
 
 
+def link_counts(rows, k, part, whole):
+    sets = [shingles(t, k) for _, t, *_ in rows]
+    linked = lambda a, b: bool(a) and whole * len(a & b) >= part * len(a | b)
+    return sorted(((r[0], sum(linked(s, o) for j, o in enumerate(sets) if j != i))
+                   for i, (r, s) in enumerate(zip(rows, sets))), key=str)
+
+
+def test_every_link_is_counted(small_batches):
+    rows = near_copies()
+    docs = small_batches.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = jaccard_links(docs, 4, 85, 100)
+    assert got(found.drop("n_links")) == expected(rows, 4, 85, 100)
+    want = link_counts(rows, 4, 85, 100)
+    assert got(found.select("doc_id", "n_links")) == want
+    sets = {shingles(t, 4) for _, t in rows} - {frozenset()}
+    pairs = [(a, b) for a in sets for b in sets if a is not b and 100 * len(a & b) >= 85 * len(a | b)]
+    linked = similarity_join(docs, 4, 85, 100)
+    assert linked.classes.count() == len(sets)
+    assert linked.pairs.count() == linked.pairs.distinct().count() == len(pairs) // 2
+
+
+def test_links_of_odd_rows(odd, empty, clashing):
+    for docs in (odd, clashing):
+        rows = [tuple(r) for r in docs.collect()]
+        found = jaccard_links(docs, 4, 85, 100)
+        assert got(found.drop("n_links")) == expected(rows, 4, 85, 100)
+        assert got(found.select("doc_id", "n_links")) == link_counts(rows, 4, 85, 100)
+    assert jaccard_links(empty).count() == 0
+
+
 def test_corpus(small_batches, corpus):
     docs = small_batches.createDataFrame([r[:2] for r in corpus], "doc_id long, text string").repartition(3)
     want = expected(corpus, 4, 85, 100)

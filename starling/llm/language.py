@@ -61,16 +61,17 @@ class LanguageModel:
 def learn_languages(docs: DataFrame, rows: int = 96, chars: int = 500, symbols: int = 62) -> LanguageModel:
     """A model of the languages named in ``docs`` (``doc_id, text, lang``).
 
-    The bound of the fit is ``rows`` documents a language and ``chars`` characters of each. Rows
-    without text or language are left out; without any, every prediction is ``und``.
+    The bound of the fit is ``rows`` documents a language and ``chars`` characters of each. Every
+    letter of that text counts; a language's ``symbols`` most frequent ones are looked up in a
+    table, its others in a sorted list. Rows without text or language are left out; without any,
+    every prediction is ``und``.
     """
     return LanguageModel(tuple(sorted(_sample(docs, rows, chars).items())), symbols)
 
 
-def suffix_automaton(symbols: list[int], alphabet: int) -> np.ndarray:
-    """Transitions of the smallest automaton that accepts all substrings: a row per state, -1: none."""
+def _transitions(symbols: list[int]) -> list[dict[int, int]]:
+    """The smallest automaton that accepts all substrings: each state's next states by symbol."""
     size = 2 * max(1, len(symbols))
-    step = np.full((size, alphabet), -1, dtype=np.int32)
     link, length = [-1] * size, [0] * size
     last, states = 0, 1
     out: list[dict[int, int]] = [{}]
@@ -100,10 +101,17 @@ def suffix_automaton(symbols: list[int], alphabet: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[new] = clone
         last = new
+    return out
+
+
+def suffix_automaton(symbols: list[int], alphabet: int) -> np.ndarray:
+    """Transitions of the smallest automaton that accepts all substrings: a row per state, -1: none."""
+    out = _transitions(symbols)
+    step = np.full((len(out), alphabet), -1, dtype=np.int32)
     for state, edges in enumerate(out):
         for symbol, target in edges.items():
             step[state, symbol] = target
-    return step[:states]
+    return step
 
 
 class CrossParser:
@@ -111,25 +119,51 @@ class CrossParser:
 
     A phrase is the longest match with the language's training text from where the last one ended;
     a symbol that the language lacks is a phrase of its own. One table holds all automata: entry
-    (state, symbol) is twice the next state's row, plus one if a new phrase begins there.
+    (state, column) is twice the next state's row, plus one if a new phrase begins there. A language
+    has columns for its most frequent letters; transitions by its other letters are few, and stand
+    in a list sorted by state and symbol.
     """
 
     def __init__(self, model: LanguageModel):
         self.languages = [lang for lang, _ in model.texts]
         lowered = [text.lower() for _, text in model.texts]
-        common = Counter(c for text in lowered for c in text if c.isalpha()).most_common(model.symbols)
-        self.alphabet = len(common) + 2
+        counted = [Counter(c for c in text if c.isalpha()) for text in lowered]
+        letters = sorted(set().union(*counted))
+        kinds, self._kinds = len(lowered), len(letters) + 2
         # Letters are told from other characters for all code points; training letters get a symbol.
-        self._symbol = np.zeros(0x110000, dtype=np.uint8)
+        self._symbol = np.zeros(0x110000, dtype=np.int32)
         self._letter = np.frombuffer(
             bytes(chr(c).isalpha() if not 0xD800 <= c < 0xE000 else 0 for c in range(0x110000)), dtype=np.uint8
         )
         self._symbol[self._letter == 0] = _GAP
-        for n, (letter, _) in enumerate(sorted(common)):
+        for n, letter in enumerate(letters):
             self._symbol[ord(letter)] = n + 2
-        tables, roots, base = [], [], 0
-        for text in lowered:
-            step = suffix_automaton(self.symbols(text).tolist(), self.alphabet)
+        self.alphabet = min(model.symbols, max(map(len, counted), default=0)) + 2
+        # By language and symbol: the table's column, and whether the list is asked instead.
+        self._column = np.zeros((kinds, self._kinds), dtype=np.int32)
+        self._column[:, _GAP] = _GAP
+        self._listed = np.zeros((kinds, self._kinds), dtype=bool)
+        self._first = np.zeros((kinds, self._kinds), dtype=np.int64)
+        tables, roots, keys, targets, base = [], [], [], [], 0
+        for k, (text, count) in enumerate(zip(lowered, counted)):
+            for n, (letter, _) in enumerate(sorted(count.items(), key=lambda x: (-x[1], x[0]))):
+                symbol = self._symbol[ord(letter)]
+                if n < model.symbols:
+                    self._column[k, symbol] = n + 2
+                else:
+                    self._listed[k, symbol] = True
+            out = _transitions(self.symbols(text).tolist())
+            step = np.full((len(out), self.alphabet), -1, dtype=np.int32)
+            column, listed = self._column[k].tolist(), self._listed[k].tolist()
+            for state, edges in enumerate(out):
+                for symbol, target in edges.items():
+                    if not listed[symbol]:
+                        step[state, column[symbol]] = target
+                        continue
+                    keys.append((state + base) * self._kinds + symbol)
+                    targets.append(target + base)
+                    if state == 0:
+                        self._first[k, symbol] = target + base
             step[:, _OTHER] = -1
             root = step[0]
             restart = np.where(root >= 0, root, 0)
@@ -141,6 +175,9 @@ class CrossParser:
             base += len(step)
         self._table = np.concatenate(tables).ravel().astype(np.int64 if base * self.alphabet >= 1 << 30 else np.int32)
         self._roots = np.array(roots, dtype=np.int64)
+        order = np.argsort(np.array(keys, dtype=np.int64))
+        self._keys = np.array(keys, dtype=np.int64)[order]
+        self._targets = np.array(targets, dtype=np.int64)[order]
 
     def symbols(self, text: str) -> np.ndarray:
         """Lowered letters as symbols; every run of other characters as one gap."""
@@ -148,6 +185,14 @@ class CrossParser:
         gap = found == _GAP
         return found[~(gap & np.concatenate([[True], gap[:-1]]))] if len(found) else found
 
+    def _from_list(self, kinds: np.ndarray, rows: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        """Table entries for letters that have no column, by language, state's row and symbol."""
+        key = rows.astype(np.int64) // self.alphabet * self._kinds + symbols
+        place = np.minimum(np.searchsorted(self._keys, key), len(self._keys) - 1)
+        known = self._keys[place] == key
+        target = np.where(known, self._targets[place], self._first[kinds, symbols])
+        return ((target * self.alphabet) << 1) | (~known | (rows == self._roots[kinds]))
+
     def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
         """Phrases by text and language."""
         counts = np.zeros((len(texts), len(self.languages)), dtype=np.int64)
@@ -175,7 +220,12 @@ class CrossParser:
         begun = np.zeros((kinds, len(lanes)), dtype=np.int32)
         for i in range(longest):
             n = running[i]
-            found = self._table[state[:, :n] + symbols[i, :n]]
+            symbol = symbols[i, :n]
+            found = self._table[state[:, :n] + self._column[:, symbol]]
+            if len(self._keys):
+                kind, lane = np.nonzero(self._listed[:, symbol])
+                if len(kind):
+                    found[kind, lane] = self._from_list(kind, state[kind, lane], symbol[lane])
             begun[:, :n] += found & 1
             state[:, :n] = found >> 1
         counts = np.empty((len(lanes), kinds), dtype=np.int64)

@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -42,6 +43,30 @@ def test_phrases_by_brute_force():
             assert row[k] == sum(longest_match_phrases("".join(map(chr, b + 65)), train) for b in blocks)
 
 
+def test_languages_in_many_scripts():
+    """Two languages in each script, told apart by their words; Han has more letters than columns."""
+    rnd = random.Random(4)
+    scripts = {"greek": (0x3B1, 24, 9), "cyrillic": (0x430, 32, 9), "arabic": (0x627, 28, 9),
+               "han": (0x4E00, 3000, 2), "latin": (0x61, 26, 9)}
+    words = {
+        f"{name}{n}": ["".join(chr(low + rnd.randrange(size)) for _ in range(rnd.randrange(1, most + 1)))
+                       for _ in range(400)]
+        for name, (low, size, most) in scripts.items() for n in (1, 2)
+    }
+    text = lambda lang, n: " ".join(rnd.choice(words[lang]) for _ in range(n))
+    for symbols in (62, 5):
+        # The more a script is written, the more frequent its letters: han comes last.
+        model = LanguageModel(tuple((k, text(k, 400 if "han" in k else 1500)) for k in sorted(words)), symbols)
+        parser = CrossParser(model)
+        texts = [text(lang, 40) for lang in words]
+        assert parser.predict(texts)[0] == list(words)
+        coded = ["".join(map(chr, parser.symbols(t) + 65)) for t in texts]
+        training = ["".join(map(chr, parser.symbols(t) + 65)) for _, t in model.texts]
+        blocks = [[c[i:i + 512] for i in range(0, len(c), 512)] for c in coded]
+        want = [[sum(longest_match_phrases(b, t) for b in some) for t in training] for some in blocks]
+        assert parser.phrases([parser.symbols(t) for t in texts]).tolist() == want
+
+
 def test_held_out_accuracy(small_batches):
     docs = small_batches.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = {r.doc_id: r.lang for r in docs.select("doc_id", "lang").collect()}

@@ -31,6 +31,23 @@ class Kind:
     against: str = ""
 
 
+# Letters and digits of an account number by country: the public IBAN registry, and countries
+# outside it that write their numbers in its form.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "AO CV GW LY MZ PT ST", 26: "DZ IR IS TR",
+    27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+    28: "AL AZ BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC",
+    32: "LC", 33: "RU",
+}
+# The country says how much follows, so what stands after the number does not matter.
+_IBAN = "|".join(
+    rf"(?:{'|'.join(codes.split())})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{length - 4}}}" for length, codes in IBAN_LENGTHS.items()
+)
+# Other countries' numbers reach as far as letters and digits do.
+_IBAN += rf"|(?!{'|'.join(' '.join(IBAN_LENGTHS.values()).split())})[A-Z]{{2}}[0-9]{{2}}(?:\x20?[A-Z0-9]){{11,30}}+"
+
 BASE = ["email", "ip", "card", "phone"]
 # A span is reported at this score or above. Base kinds start there: context cannot take them away.
 THRESHOLD = 0.6
@@ -54,7 +71,7 @@ KINDS = [
     ),
     # Only with a valid mod-97 remainder.
     Kind(
-        "iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
+        "iban", rf"(?<![A-Za-z0-9])(?:{_IBAN})(?![A-Za-z0-9])",
         r"[A-Z]{2}[0-9]{2}\x20?[A-Z0-9]", 0.4, 0.4, words=r"iban|bank|account|konto|compte|cuenta",
     ),
     # Without a checksum: only where a word nearby says what it is.
@@ -105,8 +122,7 @@ def _valid(kind: str, found: Column) -> Column:
     if kind == "phone":
         return F.length(_digits(found)).between(9, 15)
     if kind == "iban":
-        n = F.length(F.regexp_replace(found, r"\x20", ""))
-        return F.when(n.between(15, 34), mod97(found)).otherwise(F.lit(False))
+        return mod97(found)
     return F.lit(True)
 
 

@@ -82,6 +82,21 @@ def test_method_spans_need_checksum_or_context(spark):
     assert kinds == {0: ["iban"], 1: [], 2: ["ssn"], 3: [], 4: ["local_phone"], 5: []}
 
 
+def test_iban_ends_by_its_country(spark):
+    """What follows an account number, or stands before it, does not take it away."""
+    numbers = ["DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "NO93 8601 1117 947",
+               "MT84MALT011000012345MTLCAST001S", "GB82 WEST 1234 5698 7654 32"]
+    after = [" Please send", " BIC COBADEFF", " 12 EUR", ".", "", " A", "\nNEXT", " DE89370400440532013000 X"]
+    texts = [(n, f"IBAN: {n}{a}") for n in numbers for a in after]
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: [r.text[s.start:s.end] for s in r.pii if s.kind == "iban"] for r in find_spans(df).collect()}
+    again = "DE89370400440532013000"
+    assert got == {i: [n] + [again] * (again in t[len("IBAN: ") + len(n):]) for i, (n, t) in enumerate(texts)}
+    wrong = ["DE88370400440532013000 Please", "DE893704004405320130001", "XDE89370400440532013000", "ZZ89370400440532013000"]
+    df = spark.createDataFrame(list(enumerate(wrong)), "doc_id long, text string")
+    assert all(not [s for s in r.pii if s.kind == "iban"] for r in find_spans(df).collect())
+
+
 def test_odd_rows(odd, empty, clashing):
     assert find_spans(odd).where("size(pii) > 0").count() == 0
     assert find_spans(odd).count() == odd.count()
@@ -92,3 +107,11 @@ def test_odd_rows(odd, empty, clashing):
 def test_redact(spark):
     df = spark.createDataFrame([(1, "é a@b.cd or 10.0.0.1!"), (2, None)], "doc_id long, text string")
     assert [r.text for r in redact(df).orderBy("doc_id").collect()] == ["é <email> or <ip>!", None]
+
+
+def test_iban_of_a_country_without_a_known_length(spark):
+    plain = "ZZ003704004405320130"
+    check = 98 - int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97
+    number = f"ZZ{check:02d}{plain[4:]}"
+    df = spark.createDataFrame([(1, f"IBAN {number}, please")], "doc_id long, text string")
+    assert [s.kind for s in find_spans(df).first().pii if s.kind == "iban"] == ["iban"]

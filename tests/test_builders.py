@@ -2,7 +2,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
-from conftest import rows
+from core_helpers import rows
 from pyspark.sql import functions as F
 
 from starling import schemas

@@ -1,5 +1,5 @@
 import pytest
-from conftest import rows
+from core_helpers import rows
 
 from starling import schemas
 from starling.operators import CheckFailed, run_checks

@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from conftest import rows
+from core_helpers import rows
 from pyspark.sql import functions as F
 
 from starling import operators as O

@@ -3,7 +3,7 @@
 import re
 
 import pytest
-from conftest import optimized, physical, rows
+from core_helpers import optimized, physical, rows
 from pyspark.sql import functions as F
 
 from starling import operators as O

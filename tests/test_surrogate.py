@@ -1,5 +1,5 @@
 import pytest
-from conftest import rows
+from core_helpers import rows
 from pyspark.sql import functions as F
 
 from starling.operators import surrogate_key

@@ -39,16 +39,39 @@ _LEGAL = ("su", "ua", "au")
 _CLEAN, _TRUNCATED, _MUST_GO = range(3)
 
 
-def _suffix_bounds(turns: list[tuple[str, int]]) -> list[int]:
-    """What the turns from each place on cost at least: deletion of a faulty turn, a new role for an
-    unknown one, and an edit for every two neighbours that may not stand side by side."""
-    bounds = [0] * (len(turns) + 1)
-    for i in reversed(range(len(turns))):
-        initial, fault = turns[i]
-        bounds[i] = bounds[i + 1] + (2 if fault else initial not in ("s", "u", "a"))
-        if i + 1 < len(turns) and fault == turns[i + 1][1] == _CLEAN:
-            if initial + turns[i + 1][0] not in _LEGAL:
-                bounds[i] = max(bounds[i], 1 + bounds[i + 2])
+# For the bounds, a system turn alone and a reply are one state: both want the user's turn next.
+_RELAXED = (0, 1, 2, 1)
+_RELAXED_NEXT = ({"s": 1, "u": 2}, {"u": 2}, {"a": 1})
+_NEVER = 1 << 60
+
+
+def _suffix_bounds(
+    turns: list[tuple[str, int]], leave: dict[int, tuple[int, str]]
+) -> list[tuple[int, int, int]]:
+    """What the turns from each place on cost at least, for each state of the relaxed grammar in
+    which a conversation may as well end after its system turn."""
+    ends = [_NEVER] * 3
+    for state, (cost, _) in leave.items():
+        ends[_RELAXED[state]] = min(ends[_RELAXED[state]], cost)
+    bounds = [tuple(ends)]
+    for initial, fault in reversed(turns):
+        after = bounds[-1]
+        stays = 5 if fault == _TRUNCATED else 0
+        over = []
+        for state, following in enumerate(_RELAXED_NEXT):
+            cost = 2 + after[state]
+            if fault != _MUST_GO:
+                given = following["a" if state == 2 else "u"]
+                cost = min(cost, 1 + stays + after[given])
+                if initial in following:
+                    cost = min(cost, stays + after[following[initial]])
+            over.append(cost)
+        # One or two insertions ahead of the turn; more lead back to a state for nothing.
+        bounds.append((
+            min(over[0], 5 + over[2], 10 + over[1]), min(over[1], 5 + over[2]),
+            min(over[2], 5 + over[1]),
+        ))
+    bounds.reverse()
     return bounds
 
 
@@ -64,14 +87,17 @@ def cheapest_edits(
     completes the other. The search ends when the stack is empty, which proves the incumbent best.
     """
     leave = _CLOSING if leave is None else leave
-    bounds = _suffix_bounds(turns)
+    bounds = _suffix_bounds(turns, leave)
     incumbent: tuple[int, str] | None = None
     reached: dict[tuple[int, int], tuple[int, str]] = {}
     stack = [(0, "", 0, entry)]
     while stack:
         cost, audit, i, state = stack.pop()
+        least = cost + bounds[i][_RELAXED[state]]
+        if least >= _NEVER:
+            continue
         if incumbent is not None:
-            if (cost + bounds[i], audit) > (incumbent[0], incumbent[1][: len(audit)]):
+            if (least, audit) > (incumbent[0], incumbent[1][: len(audit)]):
                 continue
         known = reached.get((i, state))
         if known is not None and known <= (cost, audit):
@@ -91,7 +117,7 @@ def cheapest_edits(
             if initial in _NEXT[state]:
                 nodes.append((cost + stays, audit + "K", i + 1, _NEXT[state][initial]))
         # The most promising prefix comes off the stack first.
-        nodes.sort(key=lambda node: (node[0] + bounds[node[2]], node[1]), reverse=True)
+        nodes.sort(key=lambda node: (node[0] + bounds[node[2]][_RELAXED[node[3]]], node[1]), reverse=True)
         stack.extend(nodes)
     return incumbent
 

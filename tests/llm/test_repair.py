@@ -168,7 +168,10 @@ def test_messages(spark):
     rows = [(1, 0, "system", "a."), (1, 1, "assistant", "b."), (1, 2, "user", "c."), (1, 3, "assistant", "d."),
             (1, 4, "user", "e."), (1, 5, "assistant", "f.")]
     report, messages = repair(spark.createDataFrame(rows, SCHEMA))
-    assert report.first()["audit"] == "KDKKKK" and messages.count() == 5
+    assert report.first()["audit"] == "RKKKKK" and messages.where("edit = 'rerole'").count() == 1
+    rows = [(1, 0, "system", ""), (1, 1, "tool", " \n")]
+    report, messages = repair(spark.createDataFrame(rows, SCHEMA))
+    assert report.first()["audit"] == "DD" and messages.count() == 0
 
 
 def test_empty_and_clashing_columns(spark):

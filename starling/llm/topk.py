@@ -35,95 +35,122 @@ _BLOCK = 256
 _TASKS = 20_000
 
 
+# A term that this share of a shard's vectors has is a full row of numbers there, others are lists.
+_FULL = 0.25
+# Terms looked up at a time for the vectors that still can compete.
+_STEP = 8
+# Sums of whole numbers below this are exact in 64-bit floating point.
+_EXACT = 1 << 53
+
+
 class Shard:
-    """Postings of some vectors: for each term the places of the vectors that have it, and values."""
+    """Postings of some vectors. A term that most vectors have is kept as its values for all of them;
+    one that few have as their places and values. With the largest and smallest value of each."""
 
-    def __init__(self, rows, ids, known, starts, places, values, high, low):
+    def __init__(self, rows, ids, known, terms, full, starts, places, values, high, low):
         self.rows, self.ids, self.known = rows, ids, known
-        self.starts, self.places, self.values, self.high, self.low = starts, places, values, high, low
+        self.terms, self.full = terms, full.reshape(len(terms), len(rows))
+        self.starts, self.places, self.values = starts, places, values
+        self.high, self.low = high, low
+        self.line = np.full(len(high), -1)
+        self.line[terms] = np.arange(len(terms))
 
     @classmethod
     def build(cls, rows: np.ndarray, ids: np.ndarray, known: np.ndarray, vectors: list[np.ndarray]):
         sizes = np.array([len(v) for v in vectors])
+        width = int(sizes.max(initial=0))
         place = np.repeat(np.arange(len(vectors)), sizes)
-        term = np.concatenate([np.arange(n) for n in sizes]) if len(sizes) else np.zeros(0, "i8")
-        value = np.concatenate(vectors).astype("i8") if len(sizes) else np.zeros(0, "i8")
+        term = np.concatenate([np.arange(n) for n in sizes])
+        value = np.concatenate(vectors).astype("i8")
         has = value != 0
         place, term, value = place[has], term[has], value[has]
-        order = np.argsort(term, kind="stable")
-        place, term, value = place[order], term[order], value[order]
-        width = int(sizes.max(initial=0))
-        starts = np.searchsorted(term, np.arange(width + 1))
         high, low = np.zeros(width, "i8"), np.zeros(width, "i8")
         np.maximum.at(high, term, value)
         np.minimum.at(low, term, value)
-        return cls(rows, ids, known, starts, place, value, high, low)
+        terms = np.flatnonzero(np.bincount(term, minlength=width) > _FULL * len(vectors))
+        full = np.zeros((len(terms), len(vectors)), "i8")
+        line = np.full(width, -1)
+        line[terms] = np.arange(len(terms))
+        dense = line[term] >= 0
+        full[line[term[dense]], place[dense]] = value[dense]
+        place, term, value = place[~dense], term[~dense], value[~dense]
+        order = np.argsort(term, kind="stable")
+        starts = np.searchsorted(term[order], np.arange(width + 1))
+        return cls(rows, ids, known, terms, full, starts, place[order], value[order], high, low)
 
-    _TYPES = ("<i8", "<i8", "?", "<i8", "<i4", "<i4", "<i8", "<i8")
+    _TYPES = ("<i8", "<i8", "?", "<i8", "<i4", "<i8", "<i4", "<i4", "<i8", "<i8")
 
     def pack(self) -> list[bytes]:
-        fields = (self.rows, self.ids, self.known, self.starts, self.places, self.values, self.high, self.low)
+        fields = (self.rows, self.ids, self.known, self.terms, self.full, self.starts, self.places,
+                  self.values, self.high, self.low)
         return [np.asarray(f).astype(t).tobytes() for f, t in zip(fields, self._TYPES)]
 
     @classmethod
     def unpack(cls, fields: list[bytes]):
-        arrays = [np.frombuffer(f, dtype=t) for f, t in zip(fields, cls._TYPES)]
-        arrays[5] = arrays[5].astype("i8")
-        return cls(*arrays)
-
-    def add(self, scores: np.ndarray, term: int, weight: int) -> None:
-        """Traverse a term's postings."""
-        a, b = self.starts[term], self.starts[term + 1]
-        if b - a == len(scores):
-            scores += weight * self.values[a:b]
-        else:
-            scores[self.places[a:b]] += weight * self.values[a:b]
-
-    def probe(self, places: np.ndarray, term: int) -> np.ndarray:
-        """A term's values for some vectors."""
-        a, b = self.starts[term], self.starts[term + 1]
-        if b - a == len(self.rows):
-            return self.values[a:b][places]
-        if a == b:
-            return np.zeros(len(places), "i8")
-        at = np.searchsorted(self.places[a:b], places)
-        at = np.minimum(at, b - a - 1)
-        return np.where(self.places[a:b][at] == places, self.values[a:b][at], 0)
-
-
-def max_score(shard: Shard, query: np.ndarray, least: int | None) -> tuple[np.ndarray, np.ndarray, int]:
-    """Places and scores of all vectors of a shard that score ``least`` or more, every vector if that
-    is None; and how many values were looked at."""
-    query = query[: len(shard.high)]
-    terms = np.flatnonzero(query)
-    weights = query[terms]
-    bounds = np.where(weights > 0, weights * shard.high[terms], weights * shard.low[terms])
-    order = np.argsort(-bounds, kind="stable")
-    terms, weights, bounds = terms[order], weights[order], bounds[order]
+        return cls(*(np.frombuffer(f, dtype=t) for f, t in zip(fields, cls._TYPES)))
+
+    def traverse(self, weights: np.ndarray) -> np.ndarray:
+        """Scores of all vectors, a row per query, from its terms with a weight: full terms of all
+        queries at once, lists one by one. Exact, in integers where floating point is not."""
+        largest = np.maximum(self.high, -self.low)[: weights.shape[1]]
+        kind = "f8" if (np.abs(weights) @ largest).max(initial=0) < _EXACT else "i8"
+        scores = weights[:, self.terms].astype(kind) @ self.full.astype(kind)
+        for query, term in zip(*np.nonzero(weights)):
+            if self.line[term] < 0:
+                a, b = self.starts[term], self.starts[term + 1]
+                scores[query, self.places[a:b]] += weights[query, term] * self.values[a:b].astype(kind)
+        return scores
+
+    def probe(self, places: np.ndarray, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """What some terms add for some vectors."""
+        lines = self.line[terms]
+        found = weights[lines >= 0] @ self.full[np.ix_(lines[lines >= 0], places)].astype("i8")
+        for term, weight in zip(terms[lines < 0], weights[lines < 0]):
+            a, b = self.starts[term], self.starts[term + 1]
+            if a < b:
+                at = np.minimum(np.searchsorted(self.places[a:b], places), b - a - 1)
+                hit = self.places[a:b][at] == places
+                found = found + np.where(hit, weight * self.values[a:b][at].astype("i8"), 0)
+        return found
+
+
+def max_score(
+    shard: Shard, queries: np.ndarray, least: list[int | None]
+) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """For each row of ``queries``, places and scores of all vectors of a shard that score its
+    ``least`` or more, every vector if that is None; and how many values were looked at."""
+    queries = queries[:, : len(shard.high)]
+    width = queries.shape[1]
+    # The most that each term can add in this shard; terms in order of that.
+    bounds = np.where(queries > 0, queries * shard.high[:width], queries * shard.low[:width])
+    order = np.argsort(-bounds, axis=1, kind="stable")
+    sorted_ = np.take_along_axis(bounds, order, axis=1)
+    none = np.zeros((len(queries), 1), "i8")
     # What the terms from each one on can add at most.
-    rest = np.append(np.cumsum(bounds[::-1])[::-1], 0)
-    essential = len(terms)
-    if least is not None and least > 0:
-        essential = int(np.argmax(rest < least))
-    scores, looked = np.zeros(len(shard.rows), "i8"), 0
-    for term, weight in zip(terms[:essential].tolist(), weights[:essential].tolist()):
-        shard.add(scores, term, weight)
-        looked += int(shard.starts[term + 1] - shard.starts[term])
-    if least is None:
-        places = np.arange(len(scores))
-    else:
-        # One that is in no essential list has 0 here, and the rest cannot lift it to ``least``.
-        places = np.flatnonzero(scores + rest[essential] >= least)
-    found = scores[places]
-    for i in range(essential, len(terms)):
-        if not len(places):
-            break
-        found = found + int(weights[i]) * shard.probe(places, int(terms[i]))
-        looked += len(places)
-        if least is not None:
-            competes = found + rest[i + 1] >= least
-            places, found = places[competes], found[competes]
-    return places, found, looked
+    rest = np.hstack([np.cumsum(sorted_[:, ::-1], axis=1)[:, ::-1], none])
+    essential = [
+        width if limit is None or limit <= 0 else int(np.argmax(left < limit))
+        for limit, left in zip(least, rest)
+    ]
+    rank = np.argsort(order, axis=1, kind="stable")
+    traversed = shard.traverse(np.where(rank < np.array(essential).reshape(-1, 1), queries, 0))
+    for query, limit, terms, left, at, scores in zip(queries, least, order, rest, essential, traversed):
+        looked = at * len(scores)
+        if limit is None:
+            places = np.arange(len(scores))
+        else:
+            # One that is in no essential list has 0 here, and the rest cannot lift it to the limit.
+            places = np.flatnonzero(scores + left[at] >= limit)
+        found = scores[places].astype("i8")
+        while at < width and len(places):
+            some = terms[at : at + _STEP]
+            found = found + shard.probe(places, some, query[some])
+            looked += len(places) * len(some)
+            at += len(some)
+            if limit is not None:
+                competes = found + left[at] >= limit
+                places, found = places[competes], found[competes]
+        yield places, found, looked
 
 
 class _Best:
@@ -148,7 +175,7 @@ class _Best:
         self.scores, self.ids, self.known = scores[order], ids[order], known[order]
 
 
-_SHARD_FIELDS = ("rows", "ids", "known", "starts", "places", "values", "high", "low")
+_SHARD_FIELDS = ("rows", "ids", "known", "terms", "full", "starts", "places", "values", "high", "low")
 _SHARD_SCHEMA = pa.schema([("number", pa.int64())] + [(f, pa.binary()) for f in _SHARD_FIELDS])
 _BLOCK_SCHEMA = pa.schema([
     ("number", pa.int64()), ("queries", pa.list_(pa.int64())), ("query_ids", pa.list_(pa.int64())),
@@ -228,8 +255,12 @@ def _searched(k: int):
                         for query, query_id, vector in zip(row["queries"], row["query_ids"], row["vectors"])]
                     continue
                 shard = Shard.unpack([row[name] for name in _SHARD_FIELDS])
-                for query, _, vector, best in blocks:
-                    places, scores, _ = max_score(shard, vector, best.least)
+                width = max(len(vector) for _, _, vector, _ in blocks)
+                queries = np.zeros((len(blocks), width), "i8")
+                for line, (_, _, vector, _) in zip(queries, blocks):
+                    line[: len(vector)] = vector
+                hits = max_score(shard, queries, [best.least for *_, best in blocks])
+                for (query, _, _, best), (places, scores, _) in zip(blocks, hits):
                     other = shard.rows[places] != query
                     places = places[other]
                     best.take(scores[other], shard.ids[places], shard.known[places])

@@ -84,18 +84,29 @@ def test_max_score_is_exact_above_its_threshold():
     for sparse in (1.0, 0.2):
         vectors = np.floor(draw.normal(0, 8, (500, 24)) * (draw.random((500, 24)) < sparse))
         shard = shard_of(vectors)
-        for query in vectors[:40].astype("i8"):
-            scores = vectors.astype("i8") @ query
-            for least in (None, -50, 0, int(np.sort(scores)[-20]), int(scores.max()), int(scores.max()) + 1):
-                places, got, _ = max_score(shard, query, least)
-                wanted = np.flatnonzero(scores >= (-1 << 60 if least is None else least))
-                assert sorted(zip(places, got)) == sorted(zip(wanted, scores[wanted]))
+        queries = vectors[:40].astype("i8")
+        scores = queries @ vectors.astype("i8").T
+        limits = [[f(row) for row in scores] for f in (
+            lambda _: None, lambda _: -50, lambda _: 0, lambda r: int(np.sort(r)[-20]), lambda r: int(r.max()),
+            lambda r: int(r.max()) + 1)]
+        for least in limits:
+            for row, limit, (places, got, _) in zip(scores, least, max_score(shard, queries, least)):
+                wanted = np.flatnonzero(row >= (-1 << 60 if limit is None else limit))
+                assert sorted(zip(places, got)) == sorted(zip(wanted, row[wanted]))
+
+
+def test_scores_beyond_exact_floating_point():
+    vectors = np.array([[3 << 27, 1, -1], [3 << 27, 1, 0], [-5, (1 << 28) + 1, 7]])
+    scores = vectors @ vectors.T
+    found = list(max_score(shard_of(vectors), vectors, [None] * 3))
+    assert [f[1].tolist() for f in found] == scores.tolist()
 
 
 def test_max_score_looks_at_fewer_values():
     draw = np.random.default_rng(4)
     vectors = np.floor(draw.normal(0, 8, (4000, 64)) * np.geomspace(4, 0.1, 64))
     shard = shard_of(vectors)
-    query = vectors[0].astype("i8")
-    least = int(np.sort(vectors.astype("i8") @ query)[-20])
-    assert max_score(shard, query, least)[2] < 0.5 * max_score(shard, query, None)[2]
+    queries = vectors[:1].astype("i8")
+    least = int(np.sort(vectors.astype("i8") @ queries[0])[-20])
+    looked = [next(max_score(shard, queries, [limit]))[2] for limit in (least, None)]
+    assert looked[0] < 0.5 * looked[1]

@@ -13,7 +13,7 @@ from .joins import catalogue, match_plays, not_in, only_new, replicate, star_joi
 from .keyed import absent_rows, insert_if_absent, upsert
 from .quality import (
     CheckFailed, conform, duplicate_keys, max_length, not_null, null_counts, null_key_checks,
-    run_checks,
+    row_rules, run_checks, violations, watched,
 )
 from .surrogate import surrogate_key
 
@@ -23,5 +23,6 @@ __all__ = [
     "insert_if_absent", "largest", "lookup", "match_plays", "max_length", "not_in", "not_null",
     "not_null_rows", "null_counts", "null_key_checks", "only_new", "only_plays", "parse_text", "plays_by",
     "preview", "profile", "project", "project_events", "project_positions", "rename", "replicate",
-    "run_checks", "star_join", "surrogate_key", "top_k", "upsert", "users_by",
+    "row_rules", "run_checks", "star_join", "surrogate_key", "top_k", "upsert", "users_by", "violations",
+    "watched",
 ]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 
@@ -62,6 +62,32 @@ def max_length(df: DataFrame, limits: Mapping[str, int]) -> DataFrame:
     return df.where(_any([F.length(c) > F.lit(n) for c, n in limits.items()]))
 
 
+def row_rules(
+    mandatory: Iterable[str], limits: Mapping[str, int], in_bytes: bool = False
+) -> dict[str, Column]:
+    """Conditions that hold for a violating row, by a name that says which: ``level IS NULL``,
+    ``length(level) > 100``. Lengths are in characters, or in bytes of UTF-8."""
+    size, name = (F.octet_length, "octet_length") if in_bytes else (F.length, "length")
+    rules = {f"{c} IS NULL": F.col(c).isNull() for c in mandatory}
+    long = {f"{name}({c}) > {n}": F.coalesce(size(c) > F.lit(n), F.lit(False)) for c, n in limits.items()}
+    return {**rules, **long}
+
+
+def watched(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame, Observation]:
+    """The same rows, and the number of violations of each rule, which is there once the rows have
+    been written: counted on the way, without another read."""
+    found = Observation()
+    counts = [F.count_if(rule).alias(name) for name, rule in rules.items()]
+    return df.observe(found, F.count(F.lit(1)).alias("rows"), *counts), found
+
+
+def violations(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame, DataFrame]:
+    """Rows that keep all rules; and those that do not, with the rules' names in ``violations``."""
+    broken = F.array_compact(F.array(*[F.when(rule, F.lit(name)) for name, rule in rules.items()]))
+    bad = _any(list(rules.values()))
+    return df.where(~bad), df.where(bad).withColumn("violations", F.array_join(broken, ", "))
+
+
 def null_key_checks(tables: Mapping[str, str]) -> list[dict]:
     """One check per ``{table: key column}``: no row may lack its key."""
     return [

@@ -9,14 +9,17 @@ from functools import partial
 from hashlib import sha256
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import schemas
 from ..functions import epoch_s
-from ..operators import absent_rows, catalogue, for_date, not_null, null_key_checks, run_checks
-from ..session import scratch_scope
-from ..sinks import append, commit, ensure_loads, prepare, read_load, read_loads, refresh
-from ..sinks.loads import committed_loads, current_loads, mark, marks
+from ..operators import (
+    CheckFailed, absent_rows, catalogue, for_date, not_null, null_key_checks, row_rules, run_checks,
+    violations, watched,
+)
+from ..session import drop_path, scratch_scope
+from ..sinks import append, commit_run, ensure_loads, prepare, read_load, read_loads, refresh
+from ..sinks.loads import committed_loads, current_loads, loaded_before, mark, marks
 from ..sources import read_table, register_all, stage_json
 from ..sources.staging import as_text, located, typed
 from ..streaming import each_new_batch
@@ -45,6 +48,8 @@ class JobConfig:
     rounding: str = "half_up"
     date: str | None = None
     replicate_under: int = 128 << 20
+    violations: str = "keys"
+    constraints: Mapping[str, tuple[Iterable[str], Mapping[str, int]]] | None = None
     # Set by an incremental run: loads with a tag seen before are skipped.
     tag: str | None = None
 
@@ -77,12 +82,35 @@ class Loads:
     """The loads of one run: written one by one, readable within the run, committed together."""
 
     def __init__(self, spark: SparkSession, cfg: JobConfig):
+        if cfg.violations not in ("keys", "stop", "divert"):
+            raise ValueError(f"violations must be keys, stop or divert, not {cfg.violations!r}")
         self.spark, self.cfg = spark, cfg
         self._prepared: dict[str, str] = {}
+        # Violations found while writing: (table, rule) and number of rows.
+        self._found: dict[tuple[str, str], int] = {}
 
     def add(self, rows: DataFrame, name: str, recreate: bool = False, **layout) -> None:
-        kind = "full" if recreate else "append"
-        self._prepared[name] = prepare(rows, self.cfg.root, name, kind, self.cfg.tag, **layout)
+        """Write a table's load. Its constraints are counted on the way; only if rows violate them
+        and are to be diverted is what was written read again, to be split."""
+        cfg, kind = self.cfg, "full" if recreate else "append"
+        rules = {} if cfg.violations == "keys" else table_rules(cfg, name)
+        if not rules or cfg.tag is not None and loaded_before(self.spark, cfg.root, name, cfg.tag):
+            self._prepared[name] = prepare(rows, cfg.root, name, kind, cfg.tag, **layout)
+            return
+        rows, counts = watched(rows, rules)
+        load = prepare(rows, cfg.root, name, kind, cfg.tag, **layout)
+        found = {rule: n for rule, n in counts.get.items() if rule != "rows" and n}
+        self._found.update({(name, rule): n for rule, n in found.items()})
+        if found and cfg.violations == "divert":
+            good, bad = violations(read_load(self.spark, cfg.root, name, load), rules)
+            self.set_apart(bad, f"{name}_diverted")
+            first, load = load, prepare(good, cfg.root, name, kind, cfg.tag, skip=1, **layout)
+            drop_path(self.spark, f"{cfg.root.rstrip('/')}/{name}/load={first}")
+        self._prepared[name] = load
+
+    def set_apart(self, rows: DataFrame, name: str) -> None:
+        """Rows kept beside a table instead of in it."""
+        self._prepared[name] = prepare(rows, self.cfg.root, name, "append", self.cfg.tag)
 
     def stored(self, name: str) -> DataFrame | None:
         """What the table holds before this run."""
@@ -104,11 +132,18 @@ class Loads:
         for name in views:
             self.new(name).createOrReplaceTempView(f"new_{name}")
         rules = constraint_checks(self.cfg.variant, views)
-        return run_checks(self.spark, [*(key_checks() if checks is None else checks), *rules], fail_fast)
+        stops = self.cfg.violations == "stop"
+        counted = [(f"{name}: {rule}", "0", str(n), not stops) for (name, rule), n in sorted(self._found.items())]
+        if counted and stops and fail_fast:
+            query, expected, actual, _ = counted[0]
+            raise CheckFailed(f"{query}: expected {expected}, got {actual}")
+        report = run_checks(
+            self.spark, [*(key_checks() if checks is None else checks), *rules], fail_fast)
+        return report.union(self.spark.createDataFrame(counted, report.schema)) if counted else report
 
     def commit(self) -> None:
-        for name, load in self._prepared.items():
-            commit(self.spark, self.cfg.root, name, load)
+        """All tables of the run change at one moment, or none does."""
+        commit_run(self.spark, self.cfg.root, self._prepared)
 
 
 def load_all(
@@ -171,7 +206,7 @@ def _stored_plays(spark: SparkSession, cfg: JobConfig, batch: DataFrame) -> Data
 def _rejected(loads: Loads, rows: DataFrame, name: str) -> None:
     """Rows without their key, kept beside the table instead of in it."""
     if not rows.isEmpty():
-        append(rows, loads.cfg.root, f"{name}_rejects", tag=loads.cfg.tag)
+        loads.set_apart(rows, f"{name}_rejects")
 
 
 def _add_to_dimensions(loads: Loads, events: DataFrame, songs: DataFrame, cfg: JobConfig) -> None:
@@ -247,6 +282,15 @@ _LOADERS = {
 }
 
 
+def table_rules(cfg: JobConfig, table: str) -> dict[str, Column]:
+    """What a row of a target table must not be, by name."""
+    in_bytes = schemas.LENGTH_IN_BYTES[cfg.variant]
+    if cfg.constraints is not None:
+        return row_rules(*cfg.constraints.get(table, ((), {})), in_bytes=in_bytes)
+    mandatory = schemas.MANDATORY[cfg.variant].get(table, [])
+    return row_rules(mandatory, schemas.LENGTHS[cfg.variant].get(table, {}), in_bytes)
+
+
 def key_checks() -> list[dict]:
     """No table may hold a row without its key."""
     return null_key_checks({table: schemas.KEYS[table][0] for table in TABLES})

@@ -126,3 +126,52 @@ UNIQUE = {
         "time": ["start_time"],
     },
 }
+
+# Columns that the target tables of a variant require beyond their keys. ``lake`` writes files, which
+# require none.
+MANDATORY = {
+    "lake": {},
+    "warehouse": {
+        "songplays": ["user_id", "song_id", "artist_id", "session_id", "start_time", "level", "location",
+                      "user_agent"],
+        "users": ["level"],
+        "songs": ["title", "artist_id", "year", "duration"],
+        "time": ["hour", "day", "week", "month", "year", "weekday"],
+    },
+    "scheduled": {
+        "songplays": ["songplay_id", "start_time", "user_id"],
+        "users": ["user_id"],
+        "songs": ["song_id"],
+        "artists": ["artist_id"],
+        "time": ["start_time"],
+    },
+    "relational": {
+        "songplays": ["start_time", "user_id", "level", "session_id", "location", "user_agent"],
+        "users": ["user_id", "first_name", "last_name", "gender", "level"],
+        "songs": ["song_id", "title", "artist_id", "year", "duration"],
+        "artists": ["artist_id", "name", "location", "latitude", "longitude"],
+        "time": ["start_time", "hour", "day", "week", "month", "year", "weekday"],
+    },
+}
+
+# The longest text that a column of a variant's targets takes: in bytes of UTF-8 for ``warehouse`` and
+# ``scheduled``, in characters for ``relational``.
+LENGTHS = {
+    "lake": {},
+    "warehouse": {
+        "songplays": {"song_id": 100, "artist_id": 100, "level": 100, "location": 200, "user_agent": 1000},
+        "users": {"first_name": 100, "last_name": 100, "gender": 1, "level": 100},
+        "songs": {"song_id": 256, "title": 256, "artist_id": 256},
+        "artists": {"artist_id": 256, "name": 256, "location": 256},
+    },
+    "scheduled": {
+        "songplays": {"songplay_id": 32, "level": 256, "song_id": 256, "artist_id": 256, "location": 256,
+                      "user_agent": 256},
+        "users": {"first_name": 256, "last_name": 256, "gender": 256, "level": 256},
+        "songs": {"song_id": 256, "title": 256, "artist_id": 256},
+        "artists": {"artist_id": 256, "name": 256, "location": 256},
+        "time": {"month": 256, "weekday": 256},
+    },
+    "relational": {"users": {"gender": 1}},
+}
+LENGTH_IN_BYTES = {"warehouse": True, "scheduled": True, "relational": False, "lake": False}

@@ -69,11 +69,13 @@ def write_table(
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    """CSV with a header in every file and every field quoted; NULL becomes an empty field."""
+    """CSV with a header in every file and every field quoted and its blanks kept; NULL becomes an
+    empty field."""
     (
         df.write.mode(mode)
         .option("header", True).option("quoteAll", True).option("escape", '"')
         .option("emptyValue", "").option("nullValue", "").option("encoding", "UTF-8")
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
     return path

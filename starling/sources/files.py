@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from .quoted import any_line_end_in_quotes, read_split
+
+_CSV = {"encoding": "UTF-8", "quote": '"', "escape": '"'}
+
 
 def read_json(
     spark: SparkSession,
@@ -41,19 +45,24 @@ def read_csv_dir(
     file whose header differs from the first one's: nothing is ever taken by position. Without a
     schema every column is read as text, which is what the files hold.
 
-    Quoted fields may hold line ends. That keeps a file from being split among tasks; where none
-    does, ``multi_line=False`` lets large files be split.
+    Quoted fields may hold line ends. A file is split among tasks all the same (see
+    :mod:`starling.sources.quoted`), at the cost of a scan that looks for such line ends;
+    ``multi_line=False`` spares it where there are none. Records end with a line feed, or with a
+    carriage return and a line feed; line ends in fields stay as they are.
     """
+    split = multi_line and any_line_end_in_quotes(spark, path, pattern)
     reader = (
-        spark.read.option("header", True).option("recursiveFileLookup", True)
-        .option("encoding", "UTF-8").option("quote", '"').option("escape", '"')
-        .option("multiLine", multi_line).option("enforceSchema", False)
+        spark.read.option("header", True).option("recursiveFileLookup", True).options(**_CSV)
+        .option("multiLine", split).option("enforceSchema", False)
     )
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     text = reader.csv(path)
-    # With the columns spelled out, every file's header is compared with them.
-    text = reader.schema(text.schema).csv(path)
+    if split:
+        text = read_split(spark, path, text.columns, pattern, **_CSV)
+    else:
+        # With the columns spelled out, every file's header is compared with them.
+        text = reader.schema(text.schema).csv(path)
     if schema is None:
         return text
     if missing := [f.name for f in schema if f.name not in text.columns]:

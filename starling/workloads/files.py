@@ -186,6 +186,18 @@ def csv_multiline(spark, sf):
     return read_csv_dir(spark, path, parts.schema)
 
 
+def csv_multiline_split(spark, sf):
+    """Lines of orders in which every field that can hold line ends does, in files cut among tasks."""
+    path = scratch_path(spark, "split")
+    lines = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber",
+        F.concat(F.lit("\n"), "l_returnflag", F.lit("\n,\"\n"), "l_linestatus").alias("flags"),
+        F.when(F.col("l_linenumber") > 1, F.repeat(F.lit("\"\n"), F.col("l_linenumber"))).alias("quotes"),
+    )
+    write_csv(lines, path)
+    return read_csv_dir(spark, path, lines.schema)
+
+
 def csv_reordered(spark, sf):
     """Files with the columns in another order than the schema, and one that it lacks."""
     path = scratch_path(spark, "reordered")
@@ -248,6 +260,11 @@ QUERIES = {
     "csv_multiline": (csv_multiline, """
         SELECT p_partkey, p_name || chr(10) || '"two"' || chr(13) || chr(10) || ', ' || p_brand AS label
         FROM part"""),
+    "csv_multiline_split": (csv_multiline_split, """
+        SELECT l_orderkey, l_linenumber, chr(10) || l_returnflag || chr(10) || ',"' || chr(10) || l_linestatus
+                 AS flags,
+               CASE WHEN l_linenumber > 1 THEN repeat('"' || chr(10), l_linenumber) END AS quotes
+        FROM lineitem"""),
     "csv_reordered": (csv_reordered, "SELECT p_partkey, p_name, p_retailprice FROM part"),
     "json_broken_lines": (json_broken_lines, f"""
         WITH c AS (SELECT * FROM ({CLICKS}) WHERE page <> 'error'),

@@ -112,6 +112,19 @@ def load_upsert_table(spark, sf):
     return read_loads(spark, root, "orders")
 
 
+def upsert_touched_buckets(spark, sf):
+    """Two upserts into a table in buckets: its rows, and whether the second one wrote few of them."""
+    orders, root = _orders(spark, sf), scratch_path(spark, "buckets")
+    load_upsert(_before(orders), root, "orders", _KEYS, _ORDER)
+    first = read_loads(spark, root, "orders").select(F.col("_metadata.file_path").alias("file")).distinct()
+    load_upsert(_after(orders).where("o_custkey = 7"), root, "orders", _KEYS, _ORDER)
+    rows = read_loads(spark, root, "orders").select("*", F.col("_metadata.file_path").alias("file"))
+    # A customer's orders have five priorities at most, so five of the 64 buckets are written anew.
+    kept = rows.join(first, "file", "left_semi").select("file").distinct().agg(
+        (F.count(F.lit(1)) >= 59).alias("most_files_stay"))
+    return rows.drop("file").join(F.broadcast(kept))
+
+
 def _ranked(where, descending=False, source="orders"):
     order = "o_orderdate DESC, o_orderkey DESC" if descending else "o_orderdate, o_orderkey"
     return f"""
@@ -134,6 +147,8 @@ _LAST_WINS = f"""
 _NULLED = """(SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_custkey END AS o_custkey,
   o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders)"""
 
+_LAST_SEVEN = _LAST_WINS.replace(_LATE, f"{_LATE} AND o_custkey = 7").format(stored=_ranked(_EARLY, True))
+
 QUERIES = {
     "insert_if_absent": (insert_absent, _FIRST_WINS),
     "insert_if_absent_nullkeys": (insert_absent_null_keys, f"""
@@ -147,6 +162,7 @@ QUERIES = {
     "refresh_load": (refresh_load, f"SELECT * FROM orders WHERE {_LATE}"),
     "atomic_load_failed": (atomic_load_failed, f"SELECT * FROM orders WHERE {_EARLY}"),
     "load_absent_table": (load_absent_table, _FIRST_WINS),
+    "upsert_touched_buckets": (upsert_touched_buckets, f"SELECT *, true AS most_files_stay FROM ({_LAST_SEVEN})"),
     "load_upsert_table": (
         load_upsert_table, _LAST_WINS.format(stored=_ranked(_EARLY, True))),
 }

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..session import scratch_path
+from ..session import scratch_path, scratch_scope
 
 # White space between words: blank, tab, line feed, vertical tab, form feed, carriage return.
 SPACE = r"[\x20\x09-\x0D]"
@@ -71,6 +71,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def alone(spark: SparkSession, label: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """``stored(build(), label)``; the steps that ``build`` stores on its way are deleted."""
+    path = scratch_path(spark, label)
+    with scratch_scope(spark):
+        rows = build()
+        rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 def texts_of(batch: pa.RecordBatch, rows: int = 512) -> Iterator[list[list]]:
     """The columns of a batch as Python values, some rows at a time, so that few are held twice."""
     for low in range(0, batch.num_rows, rows):

@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..operators.joins import replicate
-from .common import stored, whole_text
+from .common import alone, stored, whole_text
 
 # monotonically_increasing_id() holds the task's number above the row's 33 bits.
 _TASK_BIT = 33
@@ -141,13 +141,12 @@ def keep_first(docs: DataFrame) -> DataFrame:
     one stays.
     """
     keys = ["__key_id", "__key_null", "__key_digest"]
-    found = stored(
+    found = alone(docs.sparkSession, "dropped", lambda: (
         exact_duplicates(docs).where("NOT kept").select(
             F.coalesce("doc_id", F.lit(-1)).alias(keys[0]), F.col("doc_id").isNull().alias(keys[1]),
             F.unhex("text_sha256").alias(keys[2]), F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("again"),
-        ).distinct(),
-        "dropped",
-    )
+        ).distinct()
+    ))
     keyed = docs.withColumns({
         keys[0]: F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)),
         keys[1]: F.col("doc_id").isNull(),

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..operators.joins import replicate
-from .common import batch_of, byte_words, stored, texts_of, tree_sum
+from .common import alone, batch_of, byte_words, stored, texts_of, tree_sum
 from .components import components
 
 # Hash buckets of the frequency sketch: its size is fixed, whatever the corpus.
@@ -484,6 +484,25 @@ def _link_across(
 
 
 def one_of_each(docs: DataFrame, k: int = 5, part: int = 80, whole: int = 100) -> DataFrame:
-    """The rows of ``docs`` whose id is their component's smallest; rows without an id stay."""
-    gone = jaccard_components(docs, k, part, whole).where("component_id < doc_id").select("doc_id").distinct()
-    return docs.join(replicate(stored(gone, "gone"), 64 << 20), "doc_id", "left_anti").select(*docs.columns)
+    """One row of ``docs`` for each component of similar texts: that of the smallest ``doc_id``.
+
+    Rows count by themselves here, whatever their ids: near copies without ids or with one id leave
+    one row, and a text that shares an id with another's near copy stays. A row is known by its place
+    in ``docs``, which should be read from files or follow from that without a shuffle.
+    """
+    row = "__row"
+    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+
+    def others() -> DataFrame:
+        rows = numbered.select(F.col("doc_id").cast("long").alias("id"), F.col(row).alias("doc_id"), "text")
+        found = jaccard_components(rows.select("doc_id", "text"), k, part, whole)
+        near = stored(
+            found.join(found.where("component_id < doc_id").select("component_id").distinct(), "component_id")
+            .select("doc_id", "component_id"), "near")
+        known = rows.select("doc_id", "id").join(replicate(near, 64 << 20), "doc_id")
+        first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "doc_id")).alias("first")
+        stays = known.groupBy("component_id").agg(first).select(F.col("first.doc_id").alias("doc_id"))
+        return near.select("doc_id").join(stays, "doc_id", "left_anti").select(F.col("doc_id").alias(row))
+
+    gone = alone(docs.sparkSession, "gone", others)
+    return numbered.join(replicate(gone, 64 << 20), row, "left_anti").select(*docs.columns)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..operators.joins import replicate
 from ..operators.surrogate import surrogate_key
+from ..session import scratch_path, scratch_scope
 from .common import WORD, stored, whole_text
 
 # Two levels of so many cells narrow a cut down to about one part in 16 million of a source.
@@ -14,8 +15,11 @@ _KEY = ["src", "no_src"]
 
 
 def _sized(docs: DataFrame) -> DataFrame:
-    """``src`` and ``no_src`` (the source, null-safe), ``size`` in words and its binary order."""
+    """``src`` and ``no_src`` (the source, null-safe), ``size`` in words and its binary order; and
+    what tells rows apart: a hash of the ``text``, and the ``place`` among the rows."""
     return docs.withColumns({
+        "words_hash": F.xxhash64("text"),
+        "place": F.monotonically_increasing_id(),
         "src": F.coalesce(F.col("source").cast("string"), F.lit("")),
         "no_src": F.col("source").isNull(),
         "size": F.regexp_count(whole_text(), F.lit(WORD)).cast("long"),
@@ -82,11 +86,20 @@ def inclusion(classes: DataFrame, targets: DataFrame, ceiling: float = 3.0) -> D
     )
 
 
-def _rank(seed: int) -> Column:
-    """Pareto's ranking variable, mapped from (0, inf) to (0, 1): random odds over inclusion odds."""
-    u = (F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(seed)), 11) + F.lit(0.5)) / F.lit(float(1 << 53))
+def _ranked(rows: DataFrame, again: DataFrame, seed: int) -> DataFrame:
+    """Pareto's ranking variable, mapped from (0, inf) to (0, 1): random odds over inclusion odds.
+
+    The odds follow from id and text. Only rows that ``again`` says agree in both with others, and
+    are as good as each other, are told apart by their place.
+    """
+    same = F.col("doc_id").eqNullSafe(F.col("again_id")) & (F.col("words_hash") == F.col("again_hash"))
+    found = rows.join(replicate(again, 32 << 20), same, "left")
+    place = F.when(F.col("again_hash").isNotNull(), F.col("place"))
+    drawn = F.xxhash64("doc_id", "words_hash", place, F.lit(seed))
+    u = (F.shiftrightunsigned(drawn, 11) + F.lit(0.5)) / F.lit(float(1 << 53))
     odds = (u / (1 - u)) * (1 - F.col("chance")) / F.col("chance")
-    return F.when(F.col("chance") > 0, odds / (1 + odds)).otherwise(F.lit(1.0))
+    rank = F.when(F.col("chance") > 0, odds / (1 + odds)).otherwise(F.lit(1.0))
+    return found.withColumn("rank", rank).drop("again_id", "again_hash")
 
 
 def _crossing(cells: DataFrame, cell: str) -> DataFrame:
@@ -140,22 +153,32 @@ def cuts(ranked: DataFrame, classes: DataFrame) -> DataFrame:
     )
 
 
-def mixing_plan(docs: DataFrame, seed: int = 0, ceiling: float = 3.0, share: float = 1.0) -> DataFrame:
-    """``src, no_src, size_class, source_size, target, whole, chance, cut``: the mix as a table.
+def mixing_plan(
+    docs: DataFrame, seed: int = 0, ceiling: float = 3.0, share: float = 1.0
+) -> tuple[DataFrame, DataFrame]:
+    """The mix as a table, ``src, no_src, size_class, source_size, target, whole, chance, cut``, and
+    the ids and text hashes that several rows share.
 
-    It has a row per source and size class that occurs; documents then draw themselves (``mix``).
+    The table has a row per source and size class that occurs; documents then draw themselves
+    (``mix``).
     """
     slim = stored(
-        _sized(docs.select("doc_id", "source", "text")).select("doc_id", *_KEY, "size", "size_class"),
+        _sized(docs.select("doc_id", "source", "text"))
+        .select("doc_id", "words_hash", "place", *_KEY, "size", "size_class"),
         "sizes",
     )
+    again = stored(
+        slim.groupBy(F.col("doc_id").alias("again_id"), F.col("words_hash").alias("again_hash"))
+        .agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").drop("rows"),
+        "again",
+    )
     classes = stored(
         slim.groupBy(*_KEY, "size_class").agg(F.sum("size").alias("words")), "classes"
     )
     classes = stored(inclusion(classes, source_targets(classes, ceiling, share), ceiling), "inclusion")
     chances = classes.select(*_KEY, "size_class", "chance")
-    ranked = slim.join(replicate(chances, 32 << 20), [*_KEY, "size_class"]).withColumn("rank", _rank(seed))
-    return stored(classes.drop("words").join(cuts(ranked, classes), _KEY), "mix")
+    ranked = _ranked(slim.join(replicate(chances, 32 << 20), [*_KEY, "size_class"]), again, seed)
+    return classes.drop("words").join(cuts(ranked, classes), _KEY), again
 
 
 def mix(docs: DataFrame, seed: int = 0, ceiling: float = 3.0, share: float = 1.0) -> DataFrame:
@@ -164,16 +187,24 @@ def mix(docs: DataFrame, seed: int = 0, ceiling: float = 3.0, share: float = 1.0
 
     A document's size is its words (NULL text: 0); its copies are the certain whole ones of its
     source and size class, and one more for the lowest Pareto ranks of the source, as many as its
-    target has words for. Ranks are drawn by a hash of ``doc_id``, so reruns agree, and rows with
-    one id (NULL included) are drawn alike. Sizes of zero and empty tables give targets of zero.
-    The plan is copied to the executors up to 32 MB by measurement; beyond that it joins by a
-    shuffle in which adaptive execution splits hot sources.
+    target has words for. Ranks are drawn by a hash of ``doc_id`` and ``text``, so reruns agree; rows
+    that agree in both are drawn by their place as well, which in ``docs`` read from files, or made
+    from that without a shuffle, is the same each time. Sizes of zero and empty tables give targets
+    of zero. The plan is copied to the executors up to 32 MB by measurement; beyond that it joins by
+    a shuffle in which adaptive execution splits hot sources. What is stored on the way is deleted,
+    but for the plan.
     """
-    plan = mixing_plan(docs, seed, ceiling, share)
-    sized = _sized(docs.drop("size", "source_size", "target", "copies"))
     own = [c for c in docs.columns if c not in ("size", "source_size", "target", "copies")]
-    extra = (F.col("chance") > 0) & (_rank(seed) <= F.col("cut")) & (F.col("size") > 0)
-    return sized.join(replicate(plan, 32 << 20), [*_KEY, "size_class"]).select(
-        *own, "size", "source_size", "target",
+    spark, paths = docs.sparkSession, [scratch_path(docs.sparkSession, name) for name in ("mix", "again")]
+    with scratch_scope(spark):
+        for rows, path in zip(mixing_plan(docs, seed, ceiling, share), paths):
+            rows.write.parquet(path)
+    plan, again = (spark.read.parquet(path) for path in paths)
+    row = F.struct(*[F.col(f"`{c}`") for c in own]).alias("__row")
+    sized = _sized(docs.select("doc_id", "source", "text", row))
+    ranked = _ranked(sized.join(replicate(plan, 32 << 20), [*_KEY, "size_class"]), again, seed)
+    extra = (F.col("chance") > 0) & (F.col("rank") <= F.col("cut")) & (F.col("size") > 0)
+    return ranked.select(
+        "__row.*", "size", "source_size", "target",
         (F.col("whole") + extra.cast("long")).cast("long").alias("copies"),
     )

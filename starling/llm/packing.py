@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .common import batch_of, stored
+from .common import batch_of, stored, texts_of
 from .tokens import encoder
 
 _PIECES = pa.schema([
@@ -79,9 +79,9 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer).ids
         end = end_id.to_bytes(4, "little")
-        for batch in batches:
+        for doc_ids, texts in (part for batch in batches for part in texts_of(batch, 128)):
             out = {name: [] for name in _PIECES.names}
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for doc_id, text in zip(doc_ids, texts):
                 ids = encode(text) + end
                 for n, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
                     crc = zlib.crc32(ids[4 * start:4 * (start + length)])

@@ -9,13 +9,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import scratch_scope
 from .common import SPACE, WORD, pinned, stored, whole_text, words_of
 
-# A window's sort key: the upper bits of its hash, and below them its place in the text, of which
-# there may be 16 million. Neighbours with equal upper bits are compared on all 64 bits.
-_PLACE_BITS = 24
-_PLACE = (1 << _PLACE_BITS) - 1
-
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 FEATURES = [
     "n_words", "mean_word", "symbol_share", "dup_line_share", "repeat_share", "upper_share",
@@ -42,19 +38,9 @@ class Condition:
 Rule = tuple[Condition, ...]
 
 
-def _repeats(windows: Column) -> Column:
-    """Places of the windows whose hash occurs twice or more, by a sort of hash bits and place."""
-    keys = F.sort_array(
-        F.transform(
-            windows,
-            lambda h, i: h.bitwiseAND(F.lit(~_PLACE)).bitwiseOR(i.cast("long")),
-        )
-    )
-    return keys
-
-
-def _place(key: Column) -> Column:
-    return key.bitwiseAND(F.lit(_PLACE)).cast("int")
+def _by_hash(windows: Column) -> Column:
+    """Windows as pairs of hash and place, sorted, so that equal ones are neighbours."""
+    return F.sort_array(F.transform(windows, lambda h, i: F.struct(h.alias("hash"), i.alias("place"))))
 
 
 def text_statistics(docs: DataFrame, *carry: str) -> DataFrame:
@@ -93,19 +79,11 @@ def text_statistics(docs: DataFrame, *carry: str) -> DataFrame:
         windows.alias("__windows"),
     ).withColumn("__same", F.size(F.array_distinct("__windows")) < F.size("__windows"))
 
-    keys, all_windows = F.col("__keys"), F.col("__windows")
-    keyed = counted.withColumn("__keys", F.when(F.col("__same"), _repeats(all_windows)))
-    hash_at = lambda key: F.get(all_windows, _place(key))
-    # Neighbours up to two places away: another hash with the same upper bits may lie between.
-    equal = lambda key, j: hash_at(key) == hash_at(F.get(keys, j))
-    repeated = F.filter(
-        keys,
-        lambda key, j: F.coalesce(equal(key, j - 1), F.lit(False))
-        | F.coalesce(equal(key, j + 1), F.lit(False))
-        | F.coalesce(equal(key, j - 2), F.lit(False))
-        | F.coalesce(equal(key, j + 2), F.lit(False)),
-    )
-    placed = keyed.withColumn("__places", F.transform(repeated, _place))
+    keys = F.col("__keys")
+    keyed = counted.withColumn("__keys", F.when(F.col("__same"), _by_hash(F.col("__windows"))))
+    equal = lambda key, j: F.coalesce(key["hash"] == F.get(keys, j)["hash"], F.lit(False))
+    repeated = F.filter(keys, lambda key, j: equal(key, j - 1) | equal(key, j + 1))
+    placed = keyed.withColumn("__places", F.transform(repeated, lambda key: key["place"]))
     covered = F.array_distinct(
         F.concat(
             F.col("__places"),
@@ -224,6 +202,14 @@ def learn_rules(
     and reaches ``precision`` on growing and pruning rows alike; the rows it covers then go, and
     the next rule is grown. Without labels, or bad ones, there are no rules.
     """
+    with scratch_scope(docs.sparkSession):
+        return _learned(docs, labels, sample_rows, max_rules, max_conditions, cuts, precision, least)
+
+
+def _learned(
+    docs: DataFrame, labels: DataFrame, sample_rows: int, max_rules: int, max_conditions: int, cuts: int,
+    precision: float, least: int,
+) -> list[Rule]:
     known = labels.where("doc_id IS NOT NULL AND quality IN (0, 1)").groupBy("doc_id").agg(
         (1 - F.min("quality")).cast("long").alias("bad")
     )
@@ -237,8 +223,7 @@ def learn_rules(
         text_statistics(docs.select("doc_id", "text").join(drawn, "doc_id"), "bad")
         .where(~base_failed())
         .withColumn("prune", F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(3)) == 0)
-        .select("bad", "prune", *FEATURES)
-        .coalesce(8),
+        .select("bad", "prune", *FEATURES),
         "labelled",
     )
     grow, prune = rows.where("NOT prune"), rows.where("prune")

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..session import scratch_path
-from .common import batch_of, stored
+from .common import batch_of, stored, texts_of
 from .tokens import encoder
 
 # Fixed values of the public seekable format.
@@ -56,7 +56,7 @@ def _check(plain: bytes) -> int:
 class TokenWriter:
     """Writes one file. A frame closes once it holds ``frame_ids`` ids; no document is cut."""
 
-    def __init__(self, sink, frame_ids: int = 1 << 16, level: int = 3):
+    def __init__(self, sink, frame_ids: int = 1 << 16, level: int = 1):
         import zstandard
 
         self._sink, self._limit = sink, 4 * frame_ids
@@ -116,7 +116,8 @@ class TokenReader:
             raise ValueError("the document index fails its checksum")
         self.index = np.frombuffer(index, dtype=_INDEX)
         self.starts = np.concatenate([[0], np.cumsum(self.index["ids"].astype("i8"))])
-        self._frame_starts = np.concatenate([[0], np.cumsum(self._frames["plain"].astype("i8"))])
+        self._frame_starts = np.concatenate([[0], np.cumsum(self._frames["plain"].astype("i8"))]).tolist()
+        self._bounds = (4 * self.starts).tolist()
         self._held: tuple[int, bytes] = (-1, b"")
         self.decompressed = 0
 
@@ -135,11 +136,11 @@ class TokenReader:
 
     def ids(self, n: int) -> bytes:
         """The ids of the file's n-th document."""
-        begin, end = 4 * int(self.starts[n]), 4 * int(self.starts[n + 1])
+        begin, end = self._bounds[n], self._bounds[n + 1]
         if begin == end:
             return b""
         frame = bisect_right(self._frame_starts, begin) - 1
-        inside = begin - int(self._frame_starts[frame])
+        inside = begin - self._frame_starts[frame]
         return self._frame(frame)[inside:inside + end - begin]
 
 
@@ -162,8 +163,8 @@ def write_token_files(
         name = f"part-{part:06d}-{uuid.uuid4().hex}.ids.zst"
         writer = sink = None
         docs_written = 0
-        for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        for doc_ids, texts in (part for batch in batches for part in texts_of(batch, 128)):
+            for doc_id, text in zip(doc_ids, texts):
                 if writer is None:
                     system.create_dir(path, recursive=True)
                     sink = system.open_output_stream(f"{path}/{name}", compression=None)
@@ -209,12 +210,12 @@ def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:
 
 def _rows(reader: TokenReader, before: int, step: int = 10_000) -> Iterator[pa.RecordBatch]:
     for low in range(0, len(reader.index), step):
-        some = range(low, min(low + step, len(reader.index)))
+        index = reader.index[low:low + step]
         yield batch_of(_READ, {
-            "doc_id": [int(r["doc_id"]) if r["known"] else None for r in reader.index[low:low + step]],
-            "start": [before + int(reader.starts[n]) for n in some],
-            "n_tokens": [int(reader.index["ids"][n]) for n in some],
-            "ids_crc32": [zlib.crc32(reader.ids(n)) for n in some],
+            "doc_id": pa.array(index["doc_id"], mask=index["known"] == 0),
+            "start": before + reader.starts[low:low + len(index)],
+            "n_tokens": index["ids"].astype("i8"),
+            "ids_crc32": [zlib.crc32(reader.ids(n)) for n in range(low, low + len(index))],
         })
 
 

@@ -29,7 +29,8 @@ class WordEncoder:
 
     Ids depend on a word alone, so words are looked up first and only new ones encoded; plain words
     go straight to the library's model. Two generations of ``words`` words each are remembered, and
-    a word that is met again moves to the young one. Special tokens' strings are ordinary text.
+    a word that is met again moves to the young one. A text that holds the string of an added token,
+    such as a special one, is left to the library whole, which makes it that token's id.
     """
 
     def __init__(self, path: str, words: int = 500_000):
@@ -37,7 +38,8 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
+        added = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
+        self._added = re.compile("|".join(map(re.escape, added))).search if added else lambda _: None
         self._model = self._tokenizer.model
         self._letters = byte_letters()
         self._blank = self._letters[0x20]
@@ -84,6 +86,8 @@ class WordEncoder:
         """The ids as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
+        if self._added(text):
+            return self._encode(text)
         if len(self._known) > self._words:
             self._known = _Known(self._encode_word, self._known)
         first, *rest = _CUT(text)

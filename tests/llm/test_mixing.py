@@ -74,3 +74,25 @@ def test_empty_and_clashing(empty, clashing):
     mixed = mix(clashing)
     assert set(clashing.columns) <= set(mixed.columns)
     assert mixed.count() == clashing.count()
+
+
+def test_rows_without_ids_and_repeated_rows_meet_their_targets(spark):
+    """Rows are drawn, not ids: neither shared or missing ids nor equal rows are drawn together."""
+    docs = spark.range(0, 3000, 1, 4).selectExpr(
+        "case when id % 3 = 0 then null when id % 3 = 1 then 7 else id end as doc_id",
+        "case when id % 2 = 0 then repeat('w ', 30) else repeat(concat('v', id, ' '), 20) end as text",
+        "case when id % 5 < 3 then 'hot' when id % 5 = 3 then 'b' end as source")
+    found = taken(mix(docs))
+    assert len(found) == 3
+    for r in found:
+        assert abs(r.taken - r.target) <= 30 and r.most <= 3
+    rows = lambda: sorted(map(str, mix(docs).collect()))
+    assert rows() == rows()
+
+
+def test_columns_named_as_inside(spark, corpus):
+    docs = spark.createDataFrame(corpus, "doc_id long, text string, lang string, source string")
+    names = ["src", "no_src", "size_class", "place", "words_hash", "rank", "chance", "cut", "again_id", "whole"]
+    more = mix(docs.withColumns({n: F.lit("x") for n in names}))
+    assert all(set(r[n] for n in names) == {"x"} for r in more.collect())
+    assert sorted(r.copies for r in more.collect()) == sorted(r.copies for r in mix(docs).collect())

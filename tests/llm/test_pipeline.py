@@ -87,3 +87,18 @@ def test_stages_on_odd_rows(odd, empty, clashing):
         assert cp.exact(docs.sparkSession, docs, SF).count() == (7 if docs is not empty else 0)
         assert cp.mixture(docs.sparkSession, docs, SF).count() >= 0
         assert cp.quality(docs.sparkSession, docs, SF).count() == 0
+
+
+def test_near_copies_that_share_or_lack_ids(small_batches):
+    """A text that shares its id with a near copy stays, of near copies without ids one does."""
+    words = [f"w{i}" for i in range(80)]
+    near = [" ".join([*words[:-1], end]) for end in ("x", "y", "z")]
+    other = [" ".join(f"{c}{i}" for i in range(60)) for c in "pq"]
+    rows = [(1, near[0]), (7, near[1]), (7, other[0]), (None, near[2]), (None, other[1]),
+            (None, other[1] + " more"), (3, None), (3, "")]
+    docs = small_batches.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    docs = stored(docs, "docs")
+    got = sorted(map(str, rows_of(cp.near(small_batches, docs, SF))))
+    assert len(got) == 5
+    assert {str((1, near[0])), str((7, other[0])), str((3, None)), str((3, ""))} < set(got)
+    assert sum("q59" in row for row in got) == 1

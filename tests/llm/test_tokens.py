@@ -18,13 +18,13 @@ PATH = str(path("byte_bpe_50k.json"))
 TEXTS = [
     "", " ", "  ", "a", " a", "a ", "a  b", "a   b", "a\n b", "a \nb", "a\n \nb", "it 's don't  'll x",
     "tab\t word\t\tx ", "é b  c", "x \x1c y\x1c z", "😀 😀  😀", "<|endoftext|> a<|endoftext|>",
+    "foo <|endoftext|> bar<|endoftext|>", "<|endoftext|>", "x.<|endoftext|>\nY z.\nY", "<|endof text|>",
     "a\r\n b  c  d", "123 456  7!! ?? ...", "Ö" * 100 + " " + "z" * 500, "\n\n\n", " \n \n ",
 ]
 
 
 def plain():
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     return lambda text: t.encode(text or "", add_special_tokens=False).ids
 
 
@@ -54,6 +54,18 @@ def test_token_files_round_trip(small_batches, corpus, odd):
     assert sorted_rows(got) == sorted(want, key=str)
 
 
+def test_special_tokens_in_texts(small_batches):
+    """Their strings become their ids, as the library has it."""
+    ids, folder = plain(), token_folder(small_batches)
+    texts = [t for t in TEXTS if "<|" in t]
+    docs = small_batches.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert 50256 in ids(texts[0])
+    got = {r.doc_id: r for r in read_token_files(write_token_files(docs, folder, PATH), folder).collect()}
+    packed = {r.doc_id: r for r in pack_documents(docs, PATH).collect()}
+    for n, text in enumerate(texts):
+        assert got[n].ids_crc32 == crc([*ids(text), 2]) and packed[n].ids_crc32 == crc([*ids(text), 0])
+
+
 def test_token_files_of_odd_rows(odd, empty, clashing, small_batches):
     ids = plain()
     for docs in (odd, clashing):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -15,8 +16,12 @@ from .common import batch_of
 
 # Symbols of the automata: 0 is what no training text holds, 1 is any run of non-letters.
 _OTHER, _GAP = 0, 1
-# Texts are parsed in blocks of so many symbols side by side; a phrase ends where its block ends.
-_BLOCK = 512
+# Texts are parsed in blocks of so many symbols side by side, at first as if each began a phrase; then
+# blocks that a phrase runs into are parsed again from where it stands, until nothing changes.
+_BLOCK = 2048
+# After so many rounds only a text's first open block goes on, whose start is settled: a text whose
+# phrases never fall into step costs two passes more, and not one for each of its blocks.
+_ROUNDS = 6
 # Symbols parsed together, which bounds a task's memory whatever the length of a text.
 _TOGETHER = 1 << 22
 
@@ -24,25 +29,27 @@ _OUT = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score",
 _OUT_SQL = "doc_id long, lang_pred string, score double"
 
 
-def _sample(docs: DataFrame, rows: int, chars: int) -> dict[str, str]:
-    """Training text by language: of ``rows`` buckets of ids each gives its lowest-hashed document.
+def _sample(docs: DataFrame, rows: int, total: int, longest: int) -> dict[str, str]:
+    """Whole training texts by language: of some buckets of ids each gives its lowest-hashed document.
 
-    At most ``rows`` documents a language, ``chars`` characters of each: a bounded sample, taken by
-    partial aggregation, so no language's rows meet in one place.
+    Partial aggregation takes them, so no language's rows meet in one place.
     """
-    drawn = (
-        docs.where("lang IS NOT NULL AND text IS NOT NULL AND length(text) > 0")
-        .select(
-            F.col("lang").cast("string").alias("lang"),
-            F.xxhash64("doc_id", F.lit(3)).alias("hash"),
-            F.substring("text", 1, chars).alias("text"),
-        )
-        .groupBy("lang", F.pmod("hash", F.lit(rows)).alias("bucket"))
-        .agg(F.min_by("text", "hash").alias("text"))
+    known = docs.where("lang IS NOT NULL AND text IS NOT NULL AND length(text) > 0").select(
+        F.col("lang").cast("string").alias("lang"), F.xxhash64("doc_id", F.lit(3)).alias("hash"), "text"
     )
-    texts: dict[str, list[str]] = {}
-    for lang, _, text in sorted(map(tuple, drawn.collect())):
-        texts.setdefault(lang, []).append(text)
+    size = F.length("text")
+    shortest = {lang: n for lang, n in known.groupBy("lang").agg(F.min(size)).collect()}
+    if not shortest:
+        return {}
+    buckets = min(rows, max(2, total // len(shortest)))
+    texts: dict[str, list[str]] = {lang: [] for lang in shortest}
+    drawn = known.where(size <= longest).groupBy("lang", F.pmod("hash", F.lit(buckets)).alias("bucket"))
+    for lang, _, text in sorted(map(tuple, drawn.agg(F.min_by("text", "hash").alias("text")).collect())):
+        texts[lang].append(text)
+    # A language of longer texts only is learned from its shortest.
+    for lang in (lang for lang, n in shortest.items() if n > longest):
+        one = known.where((F.col("lang") == lang) & (size == shortest[lang])).agg(F.min_by("text", "hash"))
+        texts[lang].append(one.first()[0])
     return {lang: "\n".join(parts) for lang, parts in texts.items()}
 
 
@@ -58,15 +65,19 @@ class LanguageModel:
         return hashlib.sha256(repr((self.texts, self.symbols)).encode()).hexdigest()
 
 
-def learn_languages(docs: DataFrame, rows: int = 96, chars: int = 500, symbols: int = 62) -> LanguageModel:
+def learn_languages(
+    docs: DataFrame, rows: int = 24, total: int = 768, longest: int = 4000, symbols: int = 62
+) -> LanguageModel:
     """A model of the languages named in ``docs`` (``doc_id, text, lang``).
 
-    The bound of the fit is ``rows`` documents a language and ``chars`` characters of each. Every
-    letter of that text counts; a language's ``symbols`` most frequent ones are looked up in a
-    table, its others in a sorted list. Rows without text or language are left out; without any,
-    every prediction is ``und``.
+    The bound of the fit is ``rows`` documents a language, fewer (but two) where there are so many
+    languages that this made more than ``total``. They are read whole, and drawn from those of at most
+    ``longest`` characters; a language that has none such is learned from its shortest text. Every
+    letter of a text counts; a language's ``symbols`` most frequent ones are looked up in a table,
+    its others in a sorted list. Rows without text or language are left out; without any, every
+    prediction is ``und``.
     """
-    return LanguageModel(tuple(sorted(_sample(docs, rows, chars).items())), symbols)
+    return LanguageModel(tuple(sorted(_sample(docs, rows, total, longest).items())), symbols)
 
 
 def _transitions(symbols: list[int]) -> list[dict[int, int]]:
@@ -194,19 +205,44 @@ class CrossParser:
         return ((target * self.alphabet) << 1) | (~known | (rows == self._roots[kinds]))
 
     def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
-        """Phrases by text and language."""
+        """Phrases by text and language; a text's phrases run on over the borders of its blocks."""
         counts = np.zeros((len(texts), len(self.languages)), dtype=np.int64)
         lanes, owners = [], []
         for n, text in enumerate(texts):
             for low in range(0, len(text), _BLOCK):
                 lanes.append(text[low:low + _BLOCK])
                 owners.append(n)
+        owners, ends = np.array(owners, dtype=np.int64), None
         for low in range(0, len(lanes), _TOGETHER // _BLOCK):
             some = slice(low, low + _TOGETHER // _BLOCK)
-            np.add.at(counts, owners[some], self._parse(lanes[some]))
+            begun, ends = self._settled(
+                lanes[some], owners[some], ends[-1] if low and owners[low] == owners[low - 1] else None
+            )
+            np.add.at(counts, owners[some], begun)
         return counts
 
-    def _parse(self, lanes: list[np.ndarray]) -> np.ndarray:
+    def _settled(
+        self, lanes: list[np.ndarray], owners: np.ndarray, first: np.ndarray | None
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Phrases begun in each block, and the states at its end, each block entered as left by the last.
+
+        A text's blocks follow each other; ``first`` enters the first one, if its text began earlier.
+        """
+        entry = np.tile(self._roots, (len(lanes), 1))
+        if first is not None:
+            entry[0] = first
+        follows = np.flatnonzero(owners[1:] == owners[:-1]) + 1
+        counts, ends = self._parse(lanes, entry)
+        for done in itertools.count():
+            stale = follows[(entry[follows] != ends[follows - 1]).any(axis=1)]
+            if not len(stale):
+                return counts, ends
+            if done >= _ROUNDS:
+                stale = stale[np.unique(owners[stale], return_index=True)[1]]
+            entry[stale] = ends[stale - 1]
+            counts[stale], ends[stale] = self._parse([lanes[n] for n in stale], entry[stale])
+
+    def _parse(self, lanes: list[np.ndarray], entry: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         lengths = np.array([len(lane) for lane in lanes])
         order = np.argsort(-lengths, kind="stable")
         longest = int(lengths.max())
@@ -216,7 +252,7 @@ class CrossParser:
         # Lanes are sorted by length, so those that still run are a prefix.
         running = np.searchsorted(-lengths[order], -np.arange(longest), side="left")
         kinds = len(self.languages)
-        state = np.repeat(self._roots[:, None], len(lanes), axis=1).astype(np.int32 if self._table.dtype == np.int32 else np.int64)
+        state = entry[order].T.astype(self._table.dtype)
         begun = np.zeros((kinds, len(lanes)), dtype=np.int32)
         for i in range(longest):
             n = running[i]
@@ -228,9 +264,9 @@ class CrossParser:
                     found[kind, lane] = self._from_list(kind, state[kind, lane], symbol[lane])
             begun[:, :n] += found & 1
             state[:, :n] = found >> 1
-        counts = np.empty((len(lanes), kinds), dtype=np.int64)
-        counts[order] = begun.T
-        return counts
+        counts, ends = (np.empty((len(lanes), kinds), dtype=np.int64) for _ in range(2))
+        counts[order], ends[order] = begun.T, state.T
+        return counts, ends
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         symbols = [self.symbols(text or "") for text in texts]
@@ -261,7 +297,7 @@ def _parser(model: LanguageModel) -> CrossParser:
 def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """``doc_id, lang_pred, score`` for every row: the language whose automaton needs fewest phrases.
 
-    Whole texts are parsed, in blocks. Phrases are normalised by the number of letters and gaps;
+    Whole texts are parsed. Phrases are normalised by the number of letters and gaps;
     of equal languages the first by name wins. The score is one minus the winner's share of the
     runner-up's phrases. NULL texts and those without a letter are ``und`` with score 0. Nothing
     but the text is looked at, no row is shuffled, and an empty table gives no rows.

@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 
+from starling.llm import language
 from starling.llm.language import CrossParser, LanguageModel, identify, learn_languages, suffix_automaton
 
 
@@ -33,14 +34,35 @@ def test_automaton_accepts_exactly_the_substrings():
 def test_phrases_by_brute_force():
     model = LanguageModel((("a", "the cat sat on the mat and the hat"), ("b", "der hund und die katze")))
     parser = CrossParser(model)
-    texts = ["the hat sat", "und die hunde", "zzz qqq", "x", "the " * 300, ""]
+    texts = ["the hat sat", "und die hunde", "zzz qqq", "x", "the " * 300, "", "the cat sat " * 900, "e" * 40_000,
+             "".join(random.Random(5).choice("the catsondru ") for _ in range(9000))]
     symbols = [parser.symbols(t) for t in texts]
     training = ["".join(map(chr, parser.symbols(t) + 65)) for _, t in model.texts]
     got = parser.phrases(symbols)
     for row, s in zip(got, symbols):
-        blocks = [s[i:i + 512] for i in range(0, len(s), 512)]
         for k, train in enumerate(training):
-            assert row[k] == sum(longest_match_phrases("".join(map(chr, b + 65)), train) for b in blocks)
+            assert row[k] == longest_match_phrases("".join(map(chr, s + 65)), train)
+
+
+def test_phrases_run_on_over_chunks_of_blocks(monkeypatch):
+    """Texts of many blocks, few of which are parsed together; one whose phrases never fall into step."""
+    monkeypatch.setattr(language, "_BLOCK", 16)
+    monkeypatch.setattr(language, "_TOGETHER", 64)
+    monkeypatch.setattr(language, "_ROUNDS", 2)
+    parser = CrossParser(LanguageModel((("a", "a" * 11), ("b", "abcab cabbac"))))
+    rnd = random.Random(6)
+    texts = ["a" * 700, "abc", "", "".join(rnd.choice("abc ") for _ in range(900)), "a" * 333]
+    symbols = [parser.symbols(t) for t in texts]
+    training = ["".join(map(chr, parser.symbols(t) + 65)) for t in ("a" * 11, "abcab cabbac")]
+    coded = ["".join(map(chr, s + 65)) for s in symbols]
+    assert parser.phrases(symbols).tolist() == [[longest_match_phrases(c, t) for t in training] for c in coded]
+
+
+def test_training_takes_whole_texts(spark):
+    rows = [(n, f"word{'x' * n} ", "en") for n in range(30)] + [(50, "lang " * 2000, "de"), (51, "kurz", "fr")]
+    model = dict(learn_languages(spark.createDataFrame(rows, "doc_id long, text string, lang string"), rows=4).texts)
+    assert model.keys() == {"en", "de", "fr"} and model["de"] == "lang " * 2000
+    assert set(model["en"].split("\n")) <= {text for _, text, lang in rows if lang == "en"}
 
 
 def test_languages_in_many_scripts():
@@ -62,8 +84,7 @@ def test_languages_in_many_scripts():
         assert parser.predict(texts)[0] == list(words)
         coded = ["".join(map(chr, parser.symbols(t) + 65)) for t in texts]
         training = ["".join(map(chr, parser.symbols(t) + 65)) for _, t in model.texts]
-        blocks = [[c[i:i + 512] for i in range(0, len(c), 512)] for c in coded]
-        want = [[sum(longest_match_phrases(b, t) for b in some) for t in training] for some in blocks]
+        want = [[longest_match_phrases(c, t) for t in training] for c in coded]
         assert parser.phrases([parser.symbols(t) for t in texts]).tolist() == want
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from itertools import chain
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -10,35 +11,29 @@ from .common import let, pinned, whole_text
 
 # Known licence sentences, normalised (lower case, letters and digits, single blanks), by
 # identifier. The wording is that of the public licences and of their usual notices.
+_FREE = "free software you can redistribute it and or modify it under the terms of the"
+_BY_FSF = "as published by the free software foundation"
+_GNU = {
+    "gpl": "gnu general public license", "lgpl": "gnu lesser general public license",
+    "agpl": "gnu affero general public license",
+}
+_SUBJECTS = ["program", "library", "software", "file"]
+_GNU_VERSIONS = [("gpl", "2", "2.0"), ("gpl", "3", "3.0"), ("lgpl", "2 1", "2.1"), ("lgpl", "3", "3.0"), ("agpl", "3", "3.0")]
+_CREATIVE = {
+    "by": "attribution", "by-sa": "attribution sharealike", "by-nd": "attribution noderivatives",
+    "by-nc": "attribution noncommercial", "by-nc-sa": "attribution noncommercial sharealike",
+    "by-nc-nd": "attribution noncommercial noderivatives",
+}
 SENTENCES: dict[str, list[str]] = {
-    "gpl3-notice": [
-        "this work is licensed under the gnu general public license version 3",
-        "licensed under the gnu general public license version 3",
-        "spdx license identifier gpl 3 0 only",
-    ],
-    "gpl2-notice": [
-        "licensed under the gnu general public license version 2",
-        "spdx license identifier gpl 2 0 only",
-    ],
-    "gnu-free": [
-        "this program is free software you can redistribute it and or modify it under the terms of the "
-        "gnu general public license as published by the free software foundation either version 3 of the "
-        "license or at your option any later version",
-    ],
-    "gnu-free2": [
-        "this program is free software you can redistribute it and or modify it under the terms of the "
-        "gnu general public license as published by the free software foundation either version 2 of the "
-        "license or at your option any later version",
-    ],
     "gnu-hope": [
-        "this program is distributed in the hope that it will be useful but without any warranty without "
-        "even the implied warranty of merchantability or fitness for a particular purpose",
+        f"this {subject} is distributed in the hope that it will be useful but without any warranty without "
+        "even the implied warranty of merchantability or fitness for a particular purpose"
+        for subject in _SUBJECTS
     ],
-    "gnu-details": ["see the gnu general public license for more details"],
-    "lgpl-notice": ["licensed under the gnu lesser general public license version 3", "spdx license identifier lgpl 3 0 only"],
+    "gnu-details": [f"see the {name} for more details" for name in _GNU.values()],
     "mit-notice": [
-        "released under the mit license", "licensed under the mit license", "spdx license identifier mit",
-        "this project is licensed under the mit license",
+        "released under the mit license", "licensed under the mit license", "distributed under the mit license",
+        "use of this source code is governed by an mit style license that can be found in the license file",
     ],
     "mit-grant": [
         "permission is hereby granted free of charge to any person obtaining a copy of this software and "
@@ -56,25 +51,17 @@ SENTENCES: dict[str, list[str]] = {
         "limited to the warranties of merchantability fitness for a particular purpose and noninfringement",
     ],
     "apache-notice": [
-        "licensed under the apache license version 2 0", "spdx license identifier apache 2 0",
-        "licensed under the apache license version 2 0 the license",
+        "licensed under the apache license version 2 0", "released under the apache license version 2 0",
+        "licensed under the apache license version 2 0 the license", "licensed under the apache license 2 0",
     ],
-    "apache-comply": ["you may not use this file except in compliance with the license"],
-    "apache-copy": [
-        "you may obtain a copy of the license at http www apache org licenses license 2 0",
-        "you may obtain a copy of the license at https www apache org licenses license 2 0",
-    ],
-    "ccbync-notice": [
-        "licensed under cc by nc 4 0",
-        "this work is licensed under a creative commons attribution noncommercial 4 0 international license",
-        "spdx license identifier cc by nc 4 0",
+    "apache-comply": [
+        "you may not use this file except in compliance with the license",
+        "you may not use this software except in compliance with the license",
     ],
-    "ccby-notice": [
-        "licensed under cc by 4 0",
-        "this work is licensed under a creative commons attribution 4 0 international license",
-        "spdx license identifier cc by 4 0",
+    "apache-copy": [
+        f"you may obtain a copy of the license at {scheme} www apache org licenses license 2 0"
+        for scheme in ("http", "https")
     ],
-    "cc0-notice": ["spdx license identifier cc0 1 0", "released under cc0 1 0"],
     "bsd-grant": [
         "redistribution and use in source and binary forms with or without modification are permitted "
         "provided that the following conditions are met",
@@ -89,15 +76,58 @@ SENTENCES: dict[str, list[str]] = {
         "distribution",
     ],
     "bsd-names": [
-        "neither the name of the copyright holder nor the names of its contributors may be used to endorse "
-        "or promote products derived from this software without specific prior written permission",
+        "may be used to endorse or promote products derived from this software without specific prior "
+        "written permission",
+    ],
+    "bsd-notice": [
+        "use of this source code is governed by a bsd style license that can be found in the license file",
+    ],
+    "isc-grant": [
+        f"permission to use copy modify and{also} distribute this software for any purpose with or without fee "
+        "is hereby granted provided that the above copyright notice and this permission notice appear in all "
+        "copies"
+        for also in ("", " or")
     ],
+    "zlib-grant": [
+        "permission is granted to anyone to use this software for any purpose including commercial "
+        "applications and to alter it and redistribute it freely subject to the following restrictions",
+    ],
+    "boost-notice": [
+        "distributed under the boost software license version 1 0",
+        "use modification and distribution are subject to the boost software license version 1 0",
+    ],
+    "unlicense": ["this is free and unencumbered software released into the public domain"],
     "mpl-notice": [
         "this source code form is subject to the terms of the mozilla public license v 2 0",
-        "spdx license identifier mpl 2 0",
+        "licensed under the mozilla public license version 2 0",
+    ],
+    "cc0-notice": [
+        "released under cc0 1 0",
+        "dedicated all copyright and related and neighboring rights to this software to the public domain worldwide",
+        "waived all copyright and related or neighboring rights to this work",
     ],
     "reserved": ["all rights reserved"],
 }
+for _family, _spoken, _version in _GNU_VERSIONS:
+    _name = _GNU[_family]
+    SENTENCES[f"{_family}{_version}-later"] = [
+        f"this {subject} is {_FREE} {_name} {_BY_FSF} either version {_spoken} of the license or at your option "
+        "any later version"
+        for subject in _SUBJECTS
+    ] + [f"licensed under the {_name} version {_spoken} or later"]
+    SENTENCES[f"{_family}{_version}-notice"] = [
+        f"licensed under the {_name} {short}"
+        for short in sorted({f"version {_spoken}", f"v{_spoken}", f"v{_version.replace('.', ' ')}"})
+    ] + [
+        f"this {subject} is {_FREE} {_name} {version}" for subject in _SUBJECTS
+        for version in (f"version {_spoken} {_BY_FSF}", f"{_BY_FSF} version {_spoken} of the license")
+    ]
+for _code, _words in _CREATIVE.items():
+    SENTENCES[f"cc-{_code}-notice"] = [
+        f"licensed under cc {_code.replace('-', ' ')} 4 0",
+        f"licensed under a creative commons {_words} 4 0 international license",
+        f"licensed under the creative commons {_words} 4 0 international license",
+    ]
 
 # Licence rules in order: the first that matches takes its sentences, so fuller texts come first.
 RULES: list[tuple[str, list[str]]] = [
@@ -106,41 +136,75 @@ RULES: list[tuple[str, list[str]]] = [
     ("MIT", ["mit-notice", "mit-grant", "mit-condition", "as-is"]),
     ("MIT", ["mit-grant", "mit-condition", "as-is"]),
     ("MIT", ["mit-grant", "mit-condition"]),
-    ("GPL-3.0-or-later", ["gnu-free", "gnu-hope", "gnu-details"]),
-    ("GPL-2.0-or-later", ["gnu-free2", "gnu-hope", "gnu-details"]),
-    ("GPL-3.0-or-later", ["gnu-free"]),
-    ("GPL-2.0-or-later", ["gnu-free2"]),
     ("Apache-2.0", ["apache-notice", "apache-comply", "apache-copy"]),
     ("Apache-2.0", ["apache-notice"]),
     ("MIT", ["mit-notice"]),
-    ("GPL-3.0-only", ["gpl3-notice"]),
-    ("GPL-2.0-only", ["gpl2-notice"]),
-    ("LGPL-3.0-only", ["lgpl-notice"]),
-    ("CC-BY-NC-4.0", ["ccbync-notice"]),
-    ("CC-BY-4.0", ["ccby-notice"]),
+    ("LicenseRef-BSD-style", ["bsd-notice"]),
+    ("ISC", ["isc-grant"]),
+    ("Zlib", ["zlib-grant"]),
+    ("BSL-1.0", ["boost-notice"]),
+    ("Unlicense", ["unlicense"]),
     ("CC0-1.0", ["cc0-notice"]),
     ("MPL-2.0", ["mpl-notice"]),
     ("LicenseRef-All-Rights-Reserved", ["reserved"]),
 ]
+for _family, _, _version in _GNU_VERSIONS:
+    for _kind, _suffix in (("later", "or-later"), ("notice", "only")):
+        _licence, _head = f"{_family.upper()}-{_version}-{_suffix}", f"{_family}{_version}-{_kind}"
+        RULES += [(_licence, [_head, "gnu-hope", "gnu-details"]), (_licence, [_head])]
+RULES += [(f"CC-{_code.upper()}-4.0", [f"cc-{_code}-notice"]) for _code in _CREATIVE]
+# Every licence that a rule knows has its tag, too; a GNU version without more means that one only.
+for _licence in sorted({name for name, _ in RULES if not name.startswith("LicenseRef-")}):
+    _tagged = "spdx license identifier " + re.sub("[^a-z0-9]+", " ", _licence.lower())
+    SENTENCES[f"tag-{_licence}"] = [_tagged] + ([_tagged.removesuffix(" only")] if _tagged.endswith(" only") else [])
+    RULES.append((_licence, [f"tag-{_licence}"]))
 
 # A text without any of these words has no known sentence (every sentence above holds one).
-TRIGGER = r"(?i)licen[sc]|permission|redistribut|warranty|rights|cc0|gnu"
-# Sentences end at a line's end (wrapped lines are joined first), or at a stop before a blank.
-_WRAP = r"(?<=[a-z0-9,;])[\x20\t]*\r?\n[\x20\t]*(?=[a-z(])"
-_END = r"[\r\n]+|(?<=[.;!?])[\x20\t]+"
-# A licence tag is a sentence of its own, whatever stands around it.
-_TAG = r"(?i)(SPDX-License-Identifier:[\x20\t]*[A-Za-z0-9.+-]+)"
+TRIGGER = r"(?i)licen[sc]|permission|redistribut|warranty|rights|cc0|gnu|unencumbered"
+# Shorter sentences count only where they stand by themselves, longer ones anywhere in the words.
+_FEW_WORDS = 12
+# Where a sentence or a part of it may end, beside line ends; words may run on over any of these.
+_MARK = r"[.!?;:,](?=\s|$)|[()\[\]\"\u201c\u201d]|(?<=[\x20\t])-+(?=[\x20\t])"
+_BEGIN, _END = r"(?<=\n ?|^ ?| is | are )", r"(?= ?(?:\n|$)| see | you may )"
+# Words that some languages put before every line of a comment; other comment marks are no letters.
+_COMMENT = r"(?m)^[\x20\t]*(?:dnl|rem)\b"
+# The licences of a tag that names several each get a tag of their own.
+_TAG_PLUS = r"(spdx-license-identifier:[\x20\t]*[a-z0-9.-]+)\+"
+_TAG_MORE = r"(?<=spdx-license-identifier:[^\n]{0,200}) (?:or|and) (?=[(a-z])"
 
 
-def normal_sentence(sentence: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(sentence), "[^a-z0-9]+", " "))
+def word_stream(text: Column) -> Column:
+    """Letters and digits in lower case, blanks between words, line feeds where a part may end."""
+    plain = F.regexp_replace(F.lower(text), _COMMENT, " ")
+    tagged = F.regexp_replace(F.regexp_replace(plain, _TAG_PLUS, "$1-or-later"), _TAG_MORE, "\nspdx-license-identifier: ")
+    return F.regexp_replace(F.regexp_replace(tagged, _MARK, "\n"), "[^a-z0-9\n]+", " ")
+
+
+def _alternatives(sentences: list[str]) -> str:
+    """A pattern of all sentences, longest first below each first word, over any line feeds."""
+    by_first: dict[str, list[str]] = {}
+    for s in sorted(sentences, key=lambda s: (-len(s), s)):
+        first, *rest = s.split()
+        by_first.setdefault(first, []).append("".join(r"[ \n]+" + word for word in rest))
+    return "|".join(f"{first}(?:{'|'.join(rests)})" for first, rests in by_first.items())
+
+
+def _pattern() -> str:
+    known = [s for wordings in SENTENCES.values() for s in wordings]
+    long = [s for s in known if len(s.split()) >= _FEW_WORDS]
+    short = [s for s in known if len(s.split()) < _FEW_WORDS]
+    firsts = "|".join(sorted({s.split()[0] for s in short}))
+    return (
+        rf"(?<![a-z0-9])(?:(?:{_alternatives(long)})(?![a-z0-9])"
+        rf"|(?=(?:{firsts})[ \n]){_BEGIN}(?:{_alternatives(short)}){_END})"
+    )
 
 
 def _identifier(sentence: Column) -> Column:
     known = F.create_map(*chain.from_iterable(
         (F.lit(sentence), F.lit(name)) for name, wordings in SENTENCES.items() for sentence in wordings
     ))
-    return F.try_element_at(known, sentence)
+    return F.try_element_at(known, F.regexp_replace(sentence, r"[ \n]+", " "))
 
 
 def _apply_rules(sequence: Column) -> Column:
@@ -170,29 +234,20 @@ def _one_argument(step):
 def scan_licenses(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with ``sentence_ids`` (known sentences in order) and ``licenses`` (sorted names).
 
-    Sentences are normalised and looked up among SENTENCES; RULES then match the sequence of their
-    identifiers, in order. Sentences that are not known do not interrupt a sequence. NULL and empty
-    texts, and those that name no licence, get two empty arrays. Columns of ``docs`` with these
-    names are replaced, all others stay. Only columns are computed: no row is shuffled, and whole
-    texts are read. Repeated rows get equal results; an empty table gives no rows.
+    A text becomes a stream of normalised words, from which comment marks, quotes and wraps are gone;
+    known SENTENCES are found in it and become identifiers; RULES then match the sequence of these,
+    in order. Sentences of fewer than twelve words must begin and end with a sentence, clause or
+    line (or follow ``is``), longer ones may be wrapped and cut anywhere. Sentences that are not
+    known do not interrupt a sequence. NULL and empty texts, and those that name no licence, get two
+    empty arrays. Columns of ``docs`` with these names are replaced, all others stay. Only columns
+    are computed: no row is shuffled, and whole texts are read. Repeated rows get equal results; an
+    empty table gives no rows.
     """
     docs = docs.drop("sentence_ids", "licenses")
     whole = whole_text(text)
     none = F.array().cast("array<string>")
-    # Normalised sentences whose length no known one has are not looked up.
-    longest = max(len(s) for wordings in SENTENCES.values() for s in wordings)
-    lines = F.regexp_replace(F.regexp_replace(whole, _TAG, ".\n$1\n."), _WRAP, " ")
-    sentences = F.filter(
-        F.transform(
-            F.filter(F.split(lines, _END, -1), lambda s: s.rlike(TRIGGER)),
-            normal_sentence,
-        ),
-        lambda s: F.length(s) <= longest,
-    )
-    ids = F.when(
-        whole.rlike(TRIGGER),
-        F.filter(F.transform(sentences, _identifier), lambda i: i.isNotNull()),
-    )
+    sentences = F.regexp_extract_all(word_stream(whole), F.lit(_pattern()), F.lit(0))
+    ids = F.when(whole.rlike(TRIGGER), F.transform(sentences, _identifier))
     sequence = F.array_join(F.transform("sentence_ids", lambda i: F.concat(F.lit(" "), i, F.lit(" "))), "")
     return (
         docs.withColumn("sentence_ids", pinned(F.coalesce(ids, none)))

@@ -1,5 +1,5 @@
 """Operators over DataFrames. All of them are lazy but for :func:`surrogate_key` (dense),
-:func:`replicate` and :func:`run_checks`, which say so."""
+:func:`replicate`, :func:`dealt` and :func:`run_checks`, which say so."""
 
 from .aggregate import (
     count_where, file_counts, largest, plays_by, preview, profile, top_k, users_by,
@@ -15,10 +15,11 @@ from .quality import (
     CheckFailed, conform, duplicate_keys, max_length, not_null, null_counts, null_key_checks,
     row_rules, run_checks, violations, watched,
 )
+from .skew import dealt
 from .surrogate import surrogate_key
 
 __all__ = [
-    "CheckFailed", "absent_rows", "catalogue", "coerce", "conform", "count_where", "dedup",
+    "CheckFailed", "absent_rows", "catalogue", "coerce", "conform", "count_where", "dealt", "dedup",
     "distinct", "drop_blank", "duplicate_keys", "eq", "file_counts", "for_date",
     "insert_if_absent", "largest", "lookup", "match_plays", "max_length", "not_in", "not_null",
     "not_null_rows", "null_counts", "null_key_checks", "only_new", "only_plays", "parse_text", "plays_by",

@@ -11,6 +11,7 @@ from pyspark.sql.types import StringType
 from ..functions import drop_fraction, lower
 from .dedup import dedup
 from .keyed import met_keys
+from .skew import SALT, dealt
 
 # What a play and a catalogue entry are compared on (fixed names of the data sets).
 PLAY_KEYS = {"title": "song", "artist": "artist", "duration": "length"}
@@ -39,6 +40,7 @@ def match_plays(
     payload: Iterable[str] = ("song_id", "artist_id"),
     rounding: str = "half_up",
     replicate_under: int | None = None,
+    hot_share: float | None = None,
 ) -> DataFrame:
     """Attach catalogue ids to plays.
 
@@ -47,6 +49,11 @@ def match_plays(
     ``left_guard`` columns must be non-null for a play to match at all; under ``how="left"`` such
     plays are kept with NULL ids. ``first_match`` leaves one entry per key on the catalogue side,
     so that plays never fan out. ``how`` may also be ``left_anti``: the plays without a match.
+
+    A catalogue that measures up to ``replicate_under`` bytes is copied to the executors, and the log
+    does not move. Where it is not, ``hot_share`` deals the keys that have that share of all plays,
+    of all entries or of what they match among several tasks (``dealt``); ``how`` is then ``inner``
+    or a left join.
     """
     payload = list(payload)
     left_keys = _match_exprs(PLAY_KEYS, keys, rounding)
@@ -60,16 +67,24 @@ def match_plays(
     if first_match:
         right = dedup(right, names, tie_break)
     right = right.select(*[F.col(n).alias(f"{n}_r") for n in names], *payload)
-    if replicate_under is not None:
-        right = replicate(right, replicate_under)
-
-    condition = reduce(lambda a, b: a & b, [F.col(n) == F.col(f"{n}_r") for n in names])
+    copied = right if replicate_under is None else replicate(right, replicate_under)
+    compared = [*names]
+    if hot_share is not None and copied is right:
+        if how != "inner" and not how.startswith("left"):
+            raise ValueError(f"hot keys are not dealt in a {how!r} join")
+        others = [f"{n}_r" for n in names]
+        left, copied = dealt(left, right, names, others, hot_share, at_most_one=first_match)
+        copied = copied.withColumnRenamed(SALT, f"{SALT}_r")
+        compared.append(SALT)
+    right = copied
+
+    condition = reduce(lambda a, b: a & b, [F.col(n) == F.col(f"{n}_r") for n in compared])
     for column in left_guard:
         condition = condition & left[column].isNotNull()
     joined = left.join(right, condition, how)
     if how in ("left_anti", "left_semi"):
-        return joined.drop(*names)
-    return joined.drop(*names, *[f"{n}_r" for n in names])
+        return joined.drop(*compared)
+    return joined.drop(*compared, *[f"{n}_r" for n in compared])
 
 
 def catalogue(songs: DataFrame, artists: DataFrame) -> DataFrame:

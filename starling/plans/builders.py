@@ -182,6 +182,7 @@ def build_songplays(
     next_id: int = 1,
     number_by: Order = None,
     replicate_under: int | None = None,
+    hot_share: float | None = None,
 ) -> DataFrame:
     """songplay_id, start_time, user_id, level, song_id, artist_id, session_id, location, user_agent
     (``lake`` adds year and month, which it is partitioned by).
@@ -190,7 +191,8 @@ def build_songplays(
     already. Otherwise ``lake`` and ``relational`` derive it from the song and artist dimensions,
     the other two match the staged songs. ``warehouse`` and ``relational`` number their rows from
     ``next_id`` upwards, in the order ``number_by`` or else in any order, which is cheaper;
-    ``surrogate=False`` leaves the id out.
+    ``surrogate=False`` leaves the id out. ``replicate_under`` and ``hot_share`` say how a large or
+    a skewed catalogue is matched (:func:`match_plays`).
     """
     _check(variant)
     if entries is None:
@@ -209,6 +211,7 @@ def build_songplays(
     }[variant](
         plays, entries, existing=existing, order=list(order_by or PLAY_ORDER), rounding=rounding,
         number=(surrogate, number_by, next_id), replicate_under=replicate_under,
+        hot_share=hot_share,
     )
 
 
@@ -217,8 +220,10 @@ def _numbered(rows: DataFrame, number: tuple[bool, Order, int]) -> DataFrame:
     return surrogate_key(rows, number_by, "songplay_id", start=next_id) if surrogate else rows
 
 
-def _lake_plays(plays, entries, *, order, replicate_under, **_):
-    matched = match_plays(plays, entries, "inner", "exact", replicate_under=replicate_under)
+def _lake_plays(plays, entries, *, order, replicate_under, hot_share, **_):
+    matched = match_plays(
+        plays, entries, "inner", "exact", replicate_under=replicate_under, hot_share=hot_share
+    )
     # This variant stores the position in the session as session_id.
     rows = matched.select(*_play_columns(epoch_ms("ts"), session="itemInSession"))
     key = sha2_key("start_time", "user_id", "song_id", "artist_id", "session_id")
@@ -229,29 +234,32 @@ def _lake_plays(plays, entries, *, order, replicate_under, **_):
     )
 
 
-def _warehouse_plays(plays, entries, *, existing, number, replicate_under, **_):
-    matched = match_plays(plays, entries, "inner", "lower", replicate_under=replicate_under)
+def _warehouse_plays(plays, entries, *, existing, number, replicate_under, hot_share, **_):
+    matched = match_plays(
+        plays, entries, "inner", "lower", replicate_under=replicate_under, hot_share=hot_share
+    )
     rows = matched.select(*_play_columns(epoch_s("ts")))
     if existing is not None:
         rows = only_new(rows, existing, STORED_PLAY_KEY, narrow=False)
     return _numbered(rows, number)
 
 
-def _scheduled_plays(plays, entries, *, rounding, replicate_under, **_):
+def _scheduled_plays(plays, entries, *, rounding, replicate_under, hot_share, **_):
     timed = plays.withColumn("__start", epoch_s("ts"))
     matched = match_plays(
         timed, entries, "left", "rounded", left_guard=["sessionId", "__start"],
-        rounding=rounding, replicate_under=replicate_under,
+        rounding=rounding, replicate_under=replicate_under, hot_share=hot_share,
     )
     rows = matched.select(*_play_columns(F.col("__start")))
     return rows.select(md5_key("session_id", "start_time").alias("songplay_id"), *rows.columns)
 
 
-def _relational_plays(plays, entries, *, existing, order, number, replicate_under, **_):
+def _relational_plays(plays, entries, *, existing, order, number, replicate_under, hot_share, **_):
     # The log is matched once. A play without a song has a NULL in its unique key and conflicts with
     # nothing; stored plays are limited to the batch's time already.
     matched = match_plays(
-        plays, entries, "left", "exact", first_match=True, replicate_under=replicate_under
+        plays, entries, "left", "exact", first_match=True, replicate_under=replicate_under,
+        hot_share=hot_share,
     )
     rows = matched.select(*_play_columns(F.col("ts")))
     return _numbered(absent_rows(existing, rows, UNIQUE_PLAY_KEY, order, narrow=False), number)

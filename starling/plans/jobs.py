@@ -48,6 +48,7 @@ class JobConfig:
     rounding: str = "half_up"
     date: str | None = None
     replicate_under: int = 128 << 20
+    hot_share: float | None = 0.001
     violations: str = "keys"
     constraints: Mapping[str, tuple[Iterable[str], Mapping[str, int]]] | None = None
     # Set by an incremental run: loads with a tag seen before are skipped.
@@ -172,7 +173,7 @@ def load_all(
 def _fact(events, songs, cfg, **options) -> DataFrame:
     return build_songplays(
         events, songs, variant=cfg.variant, rounding=cfg.rounding,
-        replicate_under=cfg.replicate_under, **options,
+        replicate_under=cfg.replicate_under, hot_share=cfg.hot_share, **options,
     )
 
 

@@ -1,0 +1,108 @@
+import random
+from statistics import median
+
+import pytest
+from core_helpers import rows
+from pyspark.sql import functions as F
+
+from starling import operators as O
+
+PLAY = "artist string, song string, length double, userId int"
+SONG = "song_id string, title string, artist_id string, artist_name string, duration double"
+
+
+@pytest.fixture
+def shuffled(spark):
+    """Joins that shuffle, in as many tasks as are asked for."""
+    fixed = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false",
+             "spark.sql.shuffle.partitions": "16"}
+    before = {key: spark.conf.get(key) for key in fixed}
+    for key, value in fixed.items():
+        spark.conf.set(key, value)
+    yield spark
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+@pytest.fixture
+def skewed(shuffled):
+    """A third of all plays is of one title with fifty entries; a ninth has no title."""
+    log = shuffled.range(9000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'Star' ELSE CONCAT('a', id % 701) END AS artist",
+        "CASE WHEN id % 3 = 0 THEN 'Hit' WHEN id % 9 = 1 THEN NULL ELSE CONCAT('t', id % 701) END AS song",
+        "CAST(1 AS DOUBLE) AS length", "CAST(id AS INT) AS userId")
+    songs = shuffled.createDataFrame(
+        [(f"h{n}", "Hit", "S", "Star", 1.0) for n in range(50)]
+        + [(f"s{n}", f"t{n}", "A", f"a{n}", 1.0) for n in range(600)], SONG)
+    return log, songs
+
+
+def per_task(df):
+    found = df.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    return sorted(r["count"] for r in found)
+
+
+def test_a_hot_title_is_dealt_among_tasks(skewed):
+    log, songs = skewed
+    plain, salted = (O.match_plays(log, songs, "left", hot_share=share) for share in (None, 0.002))
+    assert max(per_task(plain)) > 3 * median(per_task(plain))
+    assert max(per_task(salted)) <= 3 * median(per_task(salted))
+    assert salted.columns == plain.columns
+    assert rows(salted) == rows(plain)
+
+
+def test_plays_without_a_title_are_dealt(skewed):
+    log, songs = skewed
+    nothing = log.withColumn("song", F.lit(None).cast("string"))
+    got = O.match_plays(nothing, songs, "left", hot_share=0.01)
+    assert max(per_task(got)) <= 3 * median(per_task(got))
+    assert got.where("song_id IS NULL").count() == 9000
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+@pytest.mark.parametrize("keys", ["exact", "lower", "rounded"])
+def test_rows_are_those_of_the_plain_join(shuffled, how, keys):
+    rnd = random.Random(3)
+    name = lambda: rnd.choice(["x", "X", "y", "z", None, f"n{rnd.randrange(40)}"])
+    length = lambda: rnd.choice([0.0, -0.0, 1.2, 1.4, None, float("nan")])
+    log = shuffled.createDataFrame([(name(), name(), length(), n % 200) for n in range(600)], PLAY)
+    songs = shuffled.createDataFrame(
+        [(f"S{n}", name(), "A", name(), length()) for n in range(200)], SONG)
+    if keys == "rounded":
+        log, songs = log.where("NOT isnan(length)"), songs.where("NOT isnan(duration)")
+    guard = ["userId"]
+    plain, salted = (
+        rows(O.match_plays(log, songs, how, keys, left_guard=guard, hot_share=share).drop("length"))
+        for share in (None, 0.01))
+    assert salted == plain and plain
+    first = [rows(O.match_plays(log, songs, how, keys, first_match=True, hot_share=share).drop("length"))
+             for share in (None, 0.01)]
+    assert first[0] == first[1]
+
+
+def test_keys_of_other_types_and_empty_sides(shuffled):
+    log = shuffled.range(300).selectExpr("CAST(id % 2 AS INT) AS k", "id AS v")
+    for kind, keys in (("bigint", 1), ("double", 1), ("string", 0)):
+        right = shuffled.range(3).selectExpr(f"CAST(id AS {kind}) AS k_r", "id AS w")
+        left, other = O.dealt(log, right, ["k"], ["k_r"], 0.1)
+        assert (left.agg(F.max("__salt")).first()[0] > 0) == bool(keys)
+        met = left.join(other.withColumnRenamed("__salt", "s"), (F.col("k") == F.col("k_r")) & (F.col("__salt") == F.col("s")))
+        assert met.count() == 300 and met.select("v").distinct().count() == 300
+    for a, b in ((log.limit(0), right), (log, right.limit(0))):
+        left, other = O.dealt(a, b, ["k"], ["k_r"], 0.1)
+        assert left.count() == a.count() and other.count() == b.count()
+
+
+def test_copies_follow_the_output_and_not_the_number_of_hot_rows(skewed):
+    """Fifty entries of the hot title are copied to each of its pieces, all others are there once."""
+    log, songs = skewed
+    left, right = O.dealt(log, songs, ["song", "artist"], ["title", "artist_name"], 0.01)
+    pieces = right.where("title = 'Hit'").select("__salt").distinct().count()
+    assert 90 <= pieces <= 101
+    assert right.count() == 600 + 50 * pieces
+    assert left.count() == 9000
+
+
+def test_other_joins_are_refused(skewed):
+    with pytest.raises(ValueError, match="right"):
+        O.match_plays(*skewed, "right", hot_share=0.01)

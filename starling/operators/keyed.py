@@ -43,13 +43,15 @@ def absent_rows(
     order_by: Iterable[str | Column],
     nulls_distinct: bool = True,
     narrow: bool = True,
+    narrow_by: DataFrame | None = None,
 ) -> DataFrame:
     """The batch rows an insert-if-absent would add, first in ``order_by`` per key.
 
     With ``nulls_distinct`` a row with a NULL in its key conflicts with nothing; otherwise NULLs
     compare as equal. The batch is read once, and once more for its keys if stored keys are
     narrowed to those (``met_keys``). ``narrow=False`` is for a batch that is costly to make and
-    stored rows that are limited to its range already.
+    stored rows that are limited to its range already. ``narrow_by`` holds the batch's keys that may
+    be stored, where these are known.
     """
     keys = list(keys)
     fields = {f.name: f for f in batch.schema}
@@ -62,7 +64,7 @@ def absent_rows(
     if existing is None:
         return fresh
     if narrow:
-        stored = met_keys(existing, batch, keys, not nulls_distinct)
+        stored = met_keys(existing, batch if narrow_by is None else narrow_by, keys, not nulls_distinct)
     else:
         stored = existing.select(*[F.col(k).alias(f"__stored_{k}") for k in keys])
     return fresh.join(stored, _equal(keys, "", "__stored_", not nulls_distinct), "left_anti")

@@ -28,6 +28,7 @@ from ..operators.dedup import dedup
 from ..operators.keyed import absent_rows, upsert
 from ..session import scratch_path, scratch_scope
 from .files import writer
+from .keyfilters import candidates, in_range, usable, write_filter
 
 _BUCKET = "key_bucket"
 _MANIFESTS = "_manifests"
@@ -261,12 +262,50 @@ def load_absent(
     tag: str | None = None,
     **layout,
 ) -> str:
-    """Insert-if-absent into a table. Stored rows are not rewritten; only their keys are read."""
-    if tag is not None and (done := loaded_before(batch.sparkSession, root, name, tag)):
+    """Insert-if-absent into a table. Stored rows are not rewritten; only keys are read of them.
+
+    Each load gets a Bloom filter and the range of its keys (``keyfilters``). Of the stored loads only
+    those are read whose range and filter let a key of the batch through, and of these only the keys
+    that did; the anti join on them settles false positives. Loads without a filter are read as ever.
+    The batch is read three times, so it should not be costly to make.
+    """
+    spark, keys = batch.sparkSession, list(keys)
+    if tag is not None and (done := loaded_before(spark, root, name, tag)):
         return done
-    existing = read_loads(batch.sparkSession, root, name)
-    fresh = absent_rows(existing, batch, keys, order_by, nulls_distinct)
-    return append(fresh, root, name, tag, **layout)
+    table = f"{root.rstrip('/')}/{name}"
+    with scratch_scope(spark):
+        met, existing = _may_hold(batch, root, name, keys, nulls_distinct)
+        fresh = absent_rows(existing, batch, keys, order_by, nulls_distinct, narrow_by=met)
+        load = prepare(fresh, root, name, "append", tag, **layout)
+    said = write_filter(read_load(spark, root, name, load), keys, nulls_distinct, f"{table}/load={load}")
+    _put(spark, f"{table}/load={load}/_keys.json", json.dumps(said))
+    commit(spark, root, name, load)
+    return load
+
+
+def _may_hold(
+    batch: DataFrame, root: str, name: str, keys: list[str], nulls_distinct: bool
+) -> tuple[DataFrame | None, DataFrame | None]:
+    """The batch's keys that stored loads may hold, and the rows of the loads that may hold one.
+
+    The keys are None where loads without a filter must be asked for all of them.
+    """
+    spark, table = batch.sparkSession, f"{root.rstrip('/')}/{name}"
+    loads = current_loads(spark, root, name)
+    blocks = {load: usable(_text(spark, f"{table}/load={load}/_keys.json"), batch, keys, nulls_distinct)
+              for load in loads}
+    if not loads or None in blocks.values():
+        return None, read_loads(spark, root, name)
+    folders = {load: f"{table}/load={load}" for load in loads}
+    near = in_range(spark, batch, keys, nulls_distinct, folders)
+    if not near:
+        return None, None
+    path = scratch_path(spark, "candidates")
+    candidates(batch, keys, nulls_distinct, {load: (folders[load], blocks[load]) for load in near}).write.parquet(path)
+    found = spark.read.parquet(path)
+    # At most one row per load.
+    hit = sorted(r[0] for r in found.select("__load").distinct().collect())
+    return (found.select(*keys).distinct(), read_load(spark, root, name, *hit)) if hit else (None, None)
 
 
 def load_upsert(

@@ -15,11 +15,12 @@ from .quality import (
     CheckFailed, conform, duplicate_keys, max_length, not_null, null_counts, null_key_checks,
     row_rules, run_checks, violations, watched,
 )
+from .resent import copies_of
 from .skew import dealt
 from .surrogate import surrogate_key
 
 __all__ = [
-    "CheckFailed", "absent_rows", "catalogue", "coerce", "conform", "count_where", "dealt", "dedup",
+    "CheckFailed", "absent_rows", "catalogue", "coerce", "conform", "copies_of", "count_where", "dealt", "dedup",
     "distinct", "drop_blank", "duplicate_keys", "eq", "file_counts", "for_date",
     "insert_if_absent", "largest", "lookup", "match_plays", "max_length", "not_in", "not_null",
     "not_null_rows", "null_counts", "null_key_checks", "only_new", "only_plays", "parse_text", "plays_by",

@@ -22,10 +22,11 @@ from ..sinks import append, commit_run, ensure_loads, prepare, read_load, read_l
 from ..sinks.loads import committed_loads, current_loads, loaded_before, mark, marks
 from ..sources import read_table, register_all, stage_json
 from ..sources.staging import as_text, located, typed
-from ..streaming import each_new_batch
+from ..streaming import append_once, each_new_batch, without_marks
 from .builders import build_artists, build_songplays, build_songs, build_time, build_users
 
 EVENTS, ENTRIES = "staged_events", "staged_songs"
+_FILE = "__file"
 TABLES = ["songplays", "users", "songs", "artists", "time"]
 
 
@@ -38,6 +39,9 @@ class JobConfig:
     they then hold. The dimensions that ``scheduled`` refreshes hold all days. A catalogue that measures up to ``replicate_under``
     bytes is copied to every executor, so that the log is matched where it lies; a larger one is
     shuffled together with the log.
+
+    With ``resent="once"`` a recurring run takes an event file that is sent again, whole or in part and
+    under whatever name, for the one it has (``append_once``); by default every new file adds its rows.
     """
 
     events: str
@@ -51,12 +55,13 @@ class JobConfig:
     hot_share: float | None = 0.001
     violations: str = "keys"
     constraints: Mapping[str, tuple[Iterable[str], Mapping[str, int]]] | None = None
+    resent: str = "kept"
     # Set by an incremental run: loads with a tag seen before are skipped.
     tag: str | None = None
 
 
 def staged(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    return {name: read_table(spark, root, name) for name in (EVENTS, ENTRIES)}
+    return {name: without_marks(read_table(spark, root, name)) for name in (EVENTS, ENTRIES)}
 
 
 def _together(spark: SparkSession, loads: list[Callable[[], object]]) -> None:
@@ -350,7 +355,7 @@ def _load_staged(spark, cfg, checks, fail_fast) -> DataFrame | None:
     for end in ends:
         batch = [load for load in waiting if done < load <= end]
         mark(spark, f"{folder}/{end}.begun")
-        rows = read_load(spark, cfg.root, EVENTS, *batch)
+        rows = without_marks(read_load(spark, cfg.root, EVENTS, *batch))
         report = load_all(spark, replace(cfg, tag=_taken(end)), checks, fail_fast, rows)
         mark(spark, f"{folder}/{end}.done")
         done = end
@@ -371,15 +376,22 @@ def run_new_files(
     """
     if cfg.variant == "lake":
         raise ValueError("the lake rules rebuild all tables; use run_job")
+    if cfg.resent not in ("kept", "once"):
+        raise ValueError(f"resent must be kept or once, not {cfg.resent!r}")
+    once = cfg.resent == "once"
     ensure_loads(spark, cfg.root, schemas.targets(cfg.variant))
     refresh(stage_json(spark, cfg.songs, schemas.STAGED_SONGS), cfg.root, ENTRIES)
     target, paths = schemas.STAGED_EVENTS, cfg.event_paths
 
     def parse(raw: DataFrame) -> DataFrame:
-        return typed(raw if paths is None else located(raw, target, paths), target)
+        rows = typed(raw if paths is None else located(raw, target, paths), target)
+        return rows.withColumn(_FILE, F.input_file_name()) if once else rows
 
     def stage(rows: DataFrame, tag: str) -> None:
-        append(rows, cfg.root, EVENTS, tag=tag)
+        if once:
+            append_once(rows, cfg.root, EVENTS, "ts", _FILE, tag)
+        else:
+            append(rows, cfg.root, EVENTS, tag=tag)
 
     each_new_batch(
         spark, cfg.events, as_text(target) if paths is None else None, checkpoint, stage,

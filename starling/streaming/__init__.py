@@ -1,5 +1,6 @@
 """Incremental ingest."""
 
 from .ingest import each_new_batch, ingest_new_files
+from .resent import append_once, without_marks
 
-__all__ = ["each_new_batch", "ingest_new_files"]
+__all__ = ["append_once", "each_new_batch", "ingest_new_files", "without_marks"]

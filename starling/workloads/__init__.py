@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_MODULES = ["reports", "columns", "matching", "rows", "star", "serving", "loads", "files", "checks", "whole_jobs"]
+_MODULES = ["reports", "columns", "matching", "rows", "star", "serving", "loads", "files", "checks", "whole_jobs", "standing"]
 
 
 def registered() -> dict[str, tuple[Query, str | None]]:

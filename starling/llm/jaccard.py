@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 from hashlib import blake2b
 
 import numpy as np
@@ -25,11 +26,16 @@ _CELL_BYTES = 16 << 20
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _SHIFT = np.uint64(29)
 
+# The parity of a set's shingles by hash bucket, 64 buckets a column.
+_PARITY = ("parity0", "parity1", "parity2", "parity3")
 _GROUPED = pa.schema([
-    ("doc", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()),
-    ("group_key", pa.binary()), ("prefix", pa.list_(pa.int64())),
+    ("row", pa.int64()), ("doc", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()),
+    ("group_key", pa.binary()), ("prefix", pa.list_(pa.int64())), *[(c, pa.int64()) for c in _PARITY],
 ])
-_GROUPED_SQL = "doc long, doc_id long, n long, digest binary, group_key binary, prefix array<long>"
+_GROUPED_SQL = (
+    "row long, doc long, doc_id long, n long, digest binary, group_key binary, prefix array<long>, "
+    + ", ".join(f"{c} long" for c in _PARITY)
+)
 _SETS = pa.schema([("doc", pa.int64()), ("digest", pa.binary()), ("grams", pa.binary())])
 _SETS_SQL = "doc long, digest binary, grams binary"
 _PAIRS = pa.schema([("a", pa.int64()), ("a_digest", pa.binary()), ("b", pa.int64()), ("b_digest", pa.binary())])
@@ -70,6 +76,16 @@ def grams(text: str | None, k: int) -> np.ndarray:
     return np.unique(mixed ^ (mixed >> np.uint64(32)))
 
 
+def parity(found: np.ndarray) -> np.ndarray:
+    """Whether a bucket holds an odd number of a set's shingles, as 64-bit numbers of ``_PARITY``.
+
+    Two sets' parities differ in at most as many buckets as there are shingles that only one has.
+    """
+    buckets = 64 * len(_PARITY)
+    odd = np.bincount(((found >> _SHIFT) % np.uint64(buckets)).astype(np.int64), minlength=buckets) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 @dataclass(frozen=True)
 class Threshold:
     """A Jaccard similarity of at least ``part / whole``, in whole numbers."""
@@ -88,13 +104,27 @@ class Threshold:
         """Whether an intersection of at most ``bound`` can link sets of the sizes ``a`` and ``b``."""
         return bound * (self.part + self.whole) >= (a + b) * self.part
 
+    def may_link(self, a: Column, b: Column, apart: Column) -> Column:
+        """Whether sets of the sizes ``a`` and ``b`` can be linked if ``apart`` shingles or more are in one only."""
+        return apart * (self.part + self.whole) <= (a + b) * (self.whole - self.part)
+
     def linked(self, common: int, a: int, b: int) -> bool:
         return common * self.whole >= self.part * (a + b - common)
 
 
+def _apart(one: str, two: str) -> Column:
+    """In how many buckets two parities differ, whose columns end on ``one`` and ``two``."""
+    return reduce(lambda x, y: x + y, [F.bit_count(F.col(c + one).bitwiseXOR(F.col(c + two))) for c in _PARITY])
+
+
+def _parity_of(side: str) -> list[Column]:
+    return [F.col(c).alias(c + side) for c in _PARITY]
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
     doc_id = F.col("doc_id").cast("long")
     return docs.select(
+        F.monotonically_increasing_id().alias("row"),
         F.coalesce(doc_id, F.monotonically_increasing_id() + F.lit(_NO_ID)).alias("doc"),
         doc_id.alias("doc_id"),
         F.col("text").cast("string").alias("text"),
@@ -129,16 +159,16 @@ def grouped_prefixes(keyed: DataFrame, frequencies: np.ndarray, k: int, threshol
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = held.value
-        for docs, doc_ids, texts in (part for batch in batches for part in texts_of(batch)):
+        for rows, docs, doc_ids, texts in (part for batch in batches for part in texts_of(batch)):
             out = {name: [] for name in _GROUPED.names}
-            for doc, doc_id, text in zip(docs, doc_ids, texts):
+            for row, doc, doc_id, text in zip(rows, docs, doc_ids, texts):
                 found = grams(text, k)
                 n = len(found)
                 order = np.lexsort((found, rank[(found >> np.uint64(64 - _BUCKET_BITS)).astype(np.int64)]))
                 prefix = found[order[: threshold.prefix(n) if n else 0]].view(np.int64)
                 whole = blake2b(found.tobytes(), digest_size=16).digest()
                 key = blake2b(prefix.tobytes() + n.to_bytes(8, "little"), digest_size=16).digest()
-                for name, value in zip(_GROUPED.names, (doc, doc_id, n, whole, key, prefix)):
+                for name, value in zip(_GROUPED.names, (row, doc, doc_id, n, whole, key, prefix, *parity(found))):
                     out[name].append(value)
             yield batch_of(_GROUPED, out)
 
@@ -244,14 +274,15 @@ def jaccard_components(docs: DataFrame, k: int = 5, part: int = 80, whole: int =
     and places in the prefix rule pairs out. Not all pairs of a list need be verified: first each
     class meets the group of its lists that stands nearest to the front, as most near copies link
     to the least altered one; then only pairs from different components are left, and all of these
-    that the filters let through are verified. Components are thus exactly those of all links.
+    that the filters let through are verified. The last filter is a bound on the shingles that only
+    one of two sets has (``parity``), so a common passage does not make sets travel. Components are thus exactly those of all links.
     """
     threshold = Threshold(part, whole)
     keyed = _keyed(docs)
     rows, classes, lists = _grouped(docs, keyed, k, threshold)
     linked = _link_to_front(lists, classes, keyed, k, threshold)
     rest = _link_across(lists, classes, linked, keyed, k, threshold)
-    nodes = _with_component(classes, linked.unionByName(rest)).select("digest", "label")
+    nodes = _with_component(classes, linked.unionByName(rest)).select("doc", "copies", "digest", "label")
     return _of_rows(rows, nodes).select("doc_id", "n_shingles", "component_id")
 
 
@@ -274,19 +305,23 @@ def similarity_join(docs: DataFrame, k: int = 5, part: int = 80, whole: int = 10
     """All pairs of shingle sets with a Jaccard similarity of ``part / whole`` or more.
 
     Every two groups that share a list and pass the filters of size and place are expanded to their
-    classes, as are the classes of one group among themselves, and every such pair is verified.
+    classes, as are the classes of one group among themselves, and every such pair is verified unless
+    the parities of its sets rule it out.
     """
     threshold = Threshold(part, whole)
     keyed = _keyed(docs)
     rows, classes, lists = _grouped(docs, keyed, k, threshold)
     one, two = (
-        classes.select("group", F.col("doc").alias(c), F.col("digest").alias(f"{c}_digest")) for c in "ab"
+        classes.select("group", F.col("doc").alias(c), F.col("digest").alias(f"{c}_digest"),
+                       F.col("n").alias(f"{c}_n"), *_parity_of(f"_{c}"))
+        for c in "ab"
     )
+    near = threshold.may_link(F.col("a_n"), F.col("b_n"), _apart("_a", "_b"))
     across = (
         _group_pairs(lists, threshold).join(one.withColumnRenamed("group", "group1"), "group1")
-        .join(two.withColumnRenamed("group", "group2"), "group2").select("a", "a_digest", "b", "b_digest")
+        .join(two.withColumnRenamed("group", "group2"), "group2").where(near).select("a", "a_digest", "b", "b_digest")
     )
-    inside = one.join(two, "group").where("a_digest < b_digest").select(*across.columns)
+    inside = one.join(two, "group").where("a_digest < b_digest").where(near).select(*across.columns)
     pairs = stored(across.unionByName(inside), "pairs")
     return Linked(rows, classes, stored(_verified_by_cell(pairs, keyed, k, threshold), "links"))
 
@@ -304,7 +339,7 @@ def jaccard_links(docs: DataFrame, k: int = 5, part: int = 80, whole: int = 100)
     sizes = linked.classes.select(F.col("digest").alias("other"), "copies")
     partners = ends.join(sizes, "other").groupBy("digest").agg(F.sum("copies").alias("others"))
     nodes = _with_component(linked.classes, linked.pairs.select("a", "b")).join(partners, "digest", "left").select(
-        "digest", "label", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links")
+        "doc", "copies", "digest", "label", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links")
     )
     return _of_rows(linked.rows, nodes).select(
         "doc_id", "n_shingles", "component_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")
@@ -319,7 +354,8 @@ def _grouped(
     found = rows.where("n > 0")
     # A class keeps the smallest document; its group's number is the group's smallest document.
     classes = stored(
-        found.groupBy("group_key", "n", "digest").agg(F.min("doc").alias("doc"), F.count(F.lit(1)).alias("copies")),
+        found.groupBy("group_key", "n", "digest", *_PARITY).agg(
+            F.min("doc").alias("doc"), F.min_by("row", "doc").alias("row"), F.count(F.lit(1)).alias("copies")),
         "classes",
     )
     groups = classes.groupBy("group_key").agg(
@@ -328,16 +364,14 @@ def _grouped(
     )
     classes = stored(
         classes.join(groups, "group_key").select(
-            "group", "group_digest", "classes", "n", "doc", "digest", "copies"
+            "group", "group_digest", "classes", "n", "doc", "row", "digest", "copies", *_PARITY
         ),
         "classes",
     )
-    # One document of each group brings the group's prefix.
-    heads = classes.where("doc = group").select("doc", "digest", "n")
-    entries = (
-        found.select("doc", "digest", "prefix").join(heads, ["doc", "digest"])
-        .groupBy("doc", "digest", "n").agg(F.any_value("prefix").alias("prefix"))
-        .select(F.col("doc").alias("group"), "n", F.posexplode("prefix").alias("place", "token"))
+    # One row of each group brings the group's prefix.
+    heads = classes.where("digest = group_digest").select("row", "group", "n")
+    entries = found.select("row", "prefix").join(heads, "row").select(
+        "group", "n", F.posexplode("prefix").alias("place", "token")
     )
     token = Window.partitionBy("token")
     lists = stored(
@@ -360,11 +394,13 @@ def _with_component(classes: DataFrame, links: DataFrame) -> DataFrame:
 def _of_rows(rows: DataFrame, nodes: DataFrame) -> DataFrame:
     """Every row with what ``nodes`` says of its class, by ``digest``; ``label`` becomes the component."""
     # A set's class is known by its digest; a hot class is one row here, and the salt splits its copies.
+    # That of a class of one row is the row's own.
     salts = 32
-    salted = nodes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    out = rows.select("doc", "doc_id", "n", "digest").withColumn(
-        "salt", F.pmod(F.xxhash64("doc"), F.lit(salts)).cast("int")
-    ).join(salted, ["digest", "salt"], "left")
+    salt = F.pmod(F.xxhash64("doc"), F.lit(salts)).cast("int")
+    all_salts = F.sequence(F.lit(0), F.lit(salts - 1))
+    salted = nodes.withColumn("salt", F.explode(F.when(F.col("copies") == 1, F.array(salt)).otherwise(all_salts)))
+    out = rows.select("doc", "doc_id", "n", "digest").withColumn("salt", salt).join(
+        salted.drop("doc", "copies"), ["digest", "salt"], "left")
     component = F.when(F.col("n") > 0, F.col("label")).otherwise(F.col("doc"))
     return out.withColumn("component_id", F.when(component < _NO_ID, component)).withColumnRenamed("n", "n_shingles")
 
@@ -407,14 +443,17 @@ def _link_to_front(
         .groupBy("group").agg(F.min(F.struct((-bound).alias("least"), front["group"].alias("to"))).alias("best"))
         .select("group", F.col("best.to").alias("b"))
     )
-    first = classes.where("doc = group").select(F.col("group").alias("b"), F.col("group_digest").alias("b_digest"))
-    outside = classes.join(near.join(first, "b"), "group").select(
-        F.col("doc").alias("a"), F.col("digest").alias("a_digest"), "b", "b_digest"
+    first = classes.where("digest = group_digest").select(
+        F.col("group").alias("b"), F.col("group_digest").alias("b_digest"), F.col("n").alias("b_n"), *_parity_of("_b")
     )
-    inside = classes.where("digest <> group_digest").select(
-        F.col("doc").alias("a"), F.col("digest").alias("a_digest"), F.col("group").alias("b"),
-        F.col("group_digest").alias("b_digest"),
+    one = classes.select(
+        "group", "group_digest", F.col("doc").alias("a"), F.col("digest").alias("a_digest"), F.col("n").alias("a_n"),
+        *_parity_of("_a"),
     )
+    close = threshold.may_link(F.col("a_n"), F.col("b_n"), _apart("_a", "_b"))
+    outside = one.join(near.join(first, "b"), "group").where(close).select("a", "a_digest", "b", "b_digest")
+    inside = one.where("a_digest <> group_digest").join(first.withColumn("group", F.col("b")), "group").where(
+        close).select(*outside.columns)
     pairs = stored(outside.unionByName(inside), "pairs")
     return stored(verified(pairs, keyed, k, threshold), "links")
 
@@ -429,11 +468,11 @@ def _link_across(
     """
     labels = components(linked)
     labelled = classes.join(labels, classes["doc"] == labels["node"], "left").select(
-        "group", "classes", "n", "doc", "digest", F.coalesce("component", "doc").alias("label")
+        "group", "classes", "n", "doc", "digest", F.coalesce("component", "doc").alias("label"), *_PARITY
     )
     shared = lists.select("token", "group", "place").join(labelled.drop("classes"), "group")
     own = labelled.where("classes > 1").select(
-        F.col("group").alias("token"), "group", F.lit(0).alias("place"), "n", "doc", "digest", "label"
+        F.col("group").alias("token"), "group", F.lit(0).alias("place"), "n", "doc", "digest", "label", *_PARITY
     )
     members = shared.withColumn("kind", F.lit(0)).unionByName(own.withColumn("kind", F.lit(1))).drop("group")
     key = ["kind", "token"]
@@ -463,7 +502,8 @@ def _link_across(
     )
 
     def of(side: str, names: dict[str, str]) -> DataFrame:
-        renamed = {"band": f"band{side}", "label": f"label{side}", "n": f"n{side}", "place": f"place{side}", **names}
+        renamed = {"band": f"band{side}", "label": f"label{side}", "n": f"n{side}", "place": f"place{side}", **names,
+                   **{c: f"{c}_{side}" for c in _PARITY}}
         return members.select(*[F.col(c).alias(renamed.get(c, c)) for c in members.columns])
 
     one = of("1", {"doc": "a", "digest": "a_digest"})
@@ -475,6 +515,7 @@ def _link_across(
     pairs = (
         near.join(two, [*key, "band2", "label2"])
         .where(threshold.sizes_fit(F.col("n1"), F.col("n2")))
+        .where(threshold.may_link(F.col("n1"), F.col("n2"), _apart("_1", "_2")))
         .where(threshold.can_reach(
             F.col("n1"), F.col("n2"), _bound(F.col("n1"), F.col("place1"), F.col("n2"), F.col("place2"))
         ))
@@ -488,10 +529,14 @@ def one_of_each(docs: DataFrame, k: int = 5, part: int = 80, whole: int = 100) -
 
     Rows count by themselves here, whatever their ids: near copies without ids or with one id leave
     one row, and a text that shares an id with another's near copy stays. A row is known by its place
-    in ``docs``, which should be read from files or follow from that without a shuffle.
+    in ``docs``, which must give the same rows in the same order each time it is read.
     """
     row = "__row"
-    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    columns = [F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    # True of every row. It makes each reading take the same columns, as a shuffle on the way to docs
+    # would deal rows by the columns that are left to it, and number them otherwise each time.
+    same = F.xxhash64(*columns).bitwiseOR(F.lit(1)) != 0
+    numbered = docs.withColumn(row, F.monotonically_increasing_id()).where(same)
 
     def others() -> DataFrame:
         rows = numbered.select(F.col("doc_id").cast("long").alias("id"), F.col(row).alias("doc_id"), "text")

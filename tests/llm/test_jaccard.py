@@ -3,8 +3,9 @@ import re
 
 import pytest
 
+import numpy as np
 from starling.llm.components import components
-from starling.llm.jaccard import grams, jaccard_components, jaccard_links, one_of_each, similarity_join
+from starling.llm.jaccard import grams, jaccard_components, jaccard_links, one_of_each, parity, similarity_join
 
 
 def shingles(text, k):
@@ -141,3 +142,15 @@ def test_components(spark):
     import sys
     sys.setrecursionlimit(5000)
     assert found == {x: find(x) for x in list(parent) if find(x) != x}
+
+
+def test_parities_never_rule_out_a_link():
+    """They differ in at most as many buckets as there are shingles in one set only."""
+    rnd = np.random.default_rng(11)
+    for _ in range(300):
+        a = np.unique(rnd.integers(0, 1 << 63, rnd.integers(1, 900), dtype=np.uint64))
+        b = np.union1d(rnd.permutation(a)[: rnd.integers(0, len(a) + 1)],
+                       rnd.integers(0, 1 << 63, rnd.integers(0, 200), dtype=np.uint64))
+        apart = sum(int(x).bit_count() for x in (parity(a) ^ parity(b)).view(np.uint64))
+        assert apart <= len(np.setxor1d(a, b))
+    assert parity(np.zeros(0, np.uint64)).tolist() == [0, 0, 0, 0]

@@ -75,8 +75,9 @@ def layout(
         # A task holds several buckets; sorted by bucket, it writes one file at a time.
         dealt = keyed.sortWithinPartitions("__bucket", *sort).drop("__bucket")
     else:
-        slot = F.floor(F.rand(0) * files_per_bucket)
-        dealt = df.repartition(buckets * files_per_bucket, bucket, slot)
+        # The number itself says which task: a hash of it would bring some of them together.
+        slot = F.floor(F.rand(0) * files_per_bucket).cast("int")
+        dealt = df.repartitionById(buckets * files_per_bucket, bucket * files_per_bucket + slot)
     out = dealt.write.format("parquet").bucketBy(buckets, *dist)
     if sort:
         out = out.sortBy(*sort)

@@ -24,7 +24,8 @@ def spread(
     partition_by, sort = list(partition_by), list(sort)
     if files_per_partition is not None and files_per_partition > 1:
         if partition_by:
-            df = df.repartition(*partition_by, F.floor(F.rand(0) * files_per_partition))
+            # By ranges, as a hash brings the rows of some directories together in one task.
+            df = df.repartitionByRange(*partition_by, F.floor(F.rand(0) * files_per_partition))
         else:
             df = df.repartition(files_per_partition)
     elif partition_by or files_per_partition == 1:
@@ -68,11 +69,15 @@ def write_table(
     return path
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
+def write_csv(
+    df: DataFrame, path: str, mode: str = "overwrite", compression: str = "none",
+    max_records_per_file: int = 0,
+) -> str:
     """CSV with a header in every file and every field quoted and its blanks kept; NULL becomes an
-    empty field."""
+    empty field. A reader cannot split compressed files, so bound them by ``max_records_per_file``."""
     (
-        df.write.mode(mode)
+        df.write.mode(mode).option("compression", compression)
+        .option("maxRecordsPerFile", max_records_per_file)
         .option("header", True).option("quoteAll", True).option("escape", '"')
         .option("emptyValue", "").option("nullValue", "").option("encoding", "UTF-8")
         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)

@@ -74,8 +74,9 @@ def serving_job(spark, sf):
     base = scratch_path(spark, "serving-job")
     log = plays(spark, sf)
     gapped = log.withColumn("artist", F.when(F.col("userAgent") != "R", F.col("artist")))
-    write_csv(gapped.where("location = 'F'"), base + "/raw/one")
-    write_csv(gapped.where("location <> 'F'"), base + "/raw/two")
+    kept = {"compression": "gzip", "max_records_per_file": 1_000_000}
+    write_csv(gapped.where("location = 'F'"), base + "/raw/one", **kept)
+    write_csv(gapped.where("location <> 'F'"), base + "/raw/two", **kept)
     order = ["userId", "song", "artist", "length", "sessionId", "itemInSession"]
     prefix = "job_" + base.rsplit("-", 1)[1] + "_"
     tables = P.run_serving(spark, base + "/raw", base + "/tables", prefix, order, buckets=8)

@@ -14,7 +14,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -52,6 +54,34 @@ _ENDS = pa.schema([
 ])
 
 
+def _runs(batch: pa.RecordBatch) -> Iterator[tuple[tuple[str, int], pa.RecordBatch]]:
+    """The byte ranges of a batch of lines, each with its lines."""
+    file, start = batch.column("file"), batch.column("start")
+    n = batch.num_rows
+    if n == 0:
+        return
+    moved = pc.or_(pc.not_equal(file.slice(1), file.slice(0, n - 1)), pc.not_equal(start.slice(1), start.slice(0, n - 1)))
+    cuts = [0, *(np.flatnonzero(_flags(moved)) + 1).tolist(), n]
+    for first, end in zip(cuts, cuts[1:]):
+        yield (file[first].as_py(), start[first].as_py()), batch.slice(first, end - first)
+
+
+def _flags(column: pa.Array) -> np.ndarray:
+    return column.to_numpy(zero_copy_only=False).astype(bool)
+
+
+def _states(lines: pa.RecordBatch, inside: bool) -> np.ndarray:
+    """Whether a field is open behind each line, if one is or none is before the first.
+
+    Lines that end the same either way say so themselves; the others keep the state or turn it.
+    """
+    opens, stays = _flags(lines.column("opens")), _flags(lines.column("stays"))
+    turns = np.cumsum(opens & ~stays)
+    last = np.maximum.accumulate(np.where(opens == stays, np.arange(len(opens)), -1))
+    since = np.where(last >= 0, turns - turns[last], turns)
+    return np.where(last >= 0, opens[last], inside) ^ (since % 2 == 1)
+
+
 def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For each byte range the state at its end, for either state at its start."""
     at, ends = None, (False, True)
@@ -62,12 +92,12 @@ def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out[name].append(value)
 
     for batch in batches:
-        files, starts, opens, stays = (column.to_pylist() for column in batch.columns)
-        for here, *states in zip(zip(files, starts), opens, stays):
+        for here, lines in _runs(batch):
             if here != at:
                 if at is not None:
                     put()
                 at, ends = here, (False, True)
+            states = tuple(bool(_states(lines, inside)[-1]) for inside in (False, True))
             ends = (states[ends[0]], states[ends[1]])
     if at is not None:
         put()
@@ -102,53 +132,78 @@ _PARTS = pa.schema([
 _WHOLE, _BEGINS, _GOES_ON, _COMPLETES = range(4)
 
 
-def _cut(inside: set[tuple[str, int]]):
-    """Records of each byte range, from its lines in order."""
+def _joined_lines(values: pa.Array, ends: np.ndarray) -> pa.Array:
+    """The lines up to each of ``ends`` (exclusive), put together."""
+    offsets = pa.array(np.concatenate([[0], ends]), pa.int32())
+    return pc.binary_join(pa.ListArray.from_arrays(offsets, values), "\n")
+
+
+def _cut(inside: set[tuple[str, int]], whole: bool):
+    """Records of each byte range, from its lines in order: those that are ``whole``, or the parts."""
+
+    def batch_of(at: tuple[str, int], header: int | None, kind: int, records: pa.Array) -> pa.RecordBatch:
+        n = len(records)
+        headers = np.zeros(n, bool)
+        if header is not None:
+            headers[header] = True
+        return pa.RecordBatch.from_arrays([
+            pa.repeat(pa.scalar(at[0], pa.string()), n), pa.repeat(pa.scalar(at[1], pa.int64()), n),
+            pa.array(headers), pa.repeat(pa.scalar(kind, pa.int8()), n), records], schema=_PARTS)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, is_open = None, False
+        # Lines of a record that is not complete; whether it begins in this range, and may be a header.
         held: list[str] = []
         begun, first = True, False
 
-        def put(out: list) -> None:
-            nonlocal held, begun, first
-            record = "\n".join(held)
-            if is_open:
-                kind = _BEGINS if begun else _GOES_ON
-            else:
-                kind = _WHOLE if begun else _COMPLETES
-                record = record.removesuffix("\r")
-            # Empty lines between records are none.
-            if record or kind != _WHOLE:
-                out.append((*at, first and begun, kind, record))
-                first = False
-            held, begun = [], True
-
-        def batch_of(out: list) -> pa.RecordBatch:
-            columns = list(zip(*out)) or [()] * len(_PARTS)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, f.type) for c, f in zip(columns, _PARTS)], schema=_PARTS)
+        def part(kind: int, record: str) -> Iterator[pa.RecordBatch]:
+            if not whole:
+                yield batch_of(at, 0 if first and begun else None, kind, pa.array([record], pa.string()))
 
         for batch in batches:
-            out: list = []
-            values, files, starts, opens, stays = (column.to_pylist() for column in batch.columns)
-            for value, here, if_out, if_in in zip(values, zip(files, starts), opens, stays):
-                if here != at:
+            for here, lines in _runs(batch):
+                values = lines.column("value").cast(pa.string())
+                new = here != at
+                if new:
                     if held:
-                        put(out)
-                    at, is_open = here, here in inside
+                        yield from part(_BEGINS if begun else _GOES_ON, "\n".join(held))
+                    held, at, is_open = [], here, here in inside
                     begun, first = not is_open, here[1] == 0
-                    if first:
-                        value = value.removeprefix("\ufeff")
-                held.append(value)
-                is_open = if_in if is_open else if_out
-                if not is_open:
-                    put(out)
-            yield batch_of(out)
+                    if first and values[0].as_py().startswith("\ufeff"):
+                        bare = pa.array([values[0].as_py().removeprefix("\ufeff")], pa.string())
+                        values = pa.concat_arrays([bare, values.slice(1)])
+                states = _states(lines, is_open)
+                is_open = bool(states[-1])
+                ends = np.flatnonzero(~states) + 1
+                done = int(ends[-1]) if len(ends) else 0
+                if done:
+                    if held or not begun:
+                        one = "\n".join([*held, *values.slice(0, int(ends[0])).to_pylist()])
+                        if begun:
+                            # It began in an earlier batch.
+                            rest = _joined_lines(values.slice(int(ends[0])), ends[1:] - ends[0])
+                            records = pa.concat_arrays([pa.array([one], pa.string()), rest])
+                        else:
+                            yield from part(_COMPLETES, one.removesuffix("\r"))
+                            begun, first = True, False
+                            records = _joined_lines(values.slice(int(ends[0])), ends[1:] - ends[0])
+                        held = []
+                    else:
+                        records = _joined_lines(values, ends)
+                    returned = pc.ends_with(records, "\r")
+                    if pc.any(returned).as_py():
+                        records = pc.if_else(returned, pc.utf8_slice_codeunits(records, 0, -1), records)
+                    # Empty lines between records are none.
+                    records = records.filter(pc.not_equal(records, ""))
+                    if len(records):
+                        if whole:
+                            yield batch_of(at, 0 if first else None, _WHOLE, records)
+                        first = False
+                if done < lines.num_rows:
+                    left = values.slice(done)
+                    held.append(_joined_lines(left, np.array([len(left)]))[0].as_py())
         if held:
-            out = []
-            put(out)
-            yield batch_of(out)
+            yield from part(_BEGINS if begun else _GOES_ON, "\n".join(held))
 
     return cut
 
@@ -157,10 +212,12 @@ def _records(lines: DataFrame) -> DataFrame:
     """``file, header, record``: the text of each record, and whether it is its file's first."""
     # One short entry for each byte range that starts inside a field.
     inside = {(r["file"], r["start"]) for r in _starts_inside(lines).collect()}
-    parts = lines.select("value", "file", "start", "opens", "stays").mapInArrow(
-        _cut(inside), "file string, start bigint, header boolean, kind tinyint, record string")
-    whole = parts.where(F.col("kind") == _WHOLE).select("file", "header", "record")
-    return whole.unionByName(_joined(parts.where(F.col("kind") != _WHOLE)))
+
+    def cut(whole: bool) -> DataFrame:
+        return lines.select("value", "file", "start", "opens", "stays").mapInArrow(
+            _cut(inside, whole), "file string, start bigint, header boolean, kind tinyint, record string")
+
+    return cut(True).select("file", "header", "record").unionByName(_joined(cut(False)))
 
 
 def _joined(parts: DataFrame) -> DataFrame:

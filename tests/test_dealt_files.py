@@ -5,8 +5,9 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
-from core_helpers import rows
+from core_helpers import physical, rows
 
+from starling.operators import absent_rows
 from starling.session import scratch_path
 from starling.sinks import drop_table, layout, write_csv, write_table
 from starling.sources import quoted, read_csv_dir, read_json
@@ -79,3 +80,11 @@ def test_states_of_lines_by_columns():
                 now = bool(b if now else a)
                 expected.append(now)
             assert found.tolist() == expected
+
+
+def test_rows_with_keys_of_their_own_are_not_brought_together(spark):
+    batch = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k int, v string")
+    stored = batch.where("k = 2")
+    fresh = absent_rows(stored, batch, ["k"], ["v"], nulls_distinct=False, unique=True)
+    assert rows(fresh) == [(1, "a"), (3, "c")] and "Window" not in physical(fresh)
+    assert physical(absent_rows(None, batch, ["k"], ["v"], unique=True)).count("Exchange") == 0

@@ -30,10 +30,11 @@ _SHIFT = np.uint64(29)
 _PARITY = ("parity0", "parity1", "parity2", "parity3")
 _GROUPED = pa.schema([
     ("row", pa.int64()), ("doc", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()),
-    ("group_key", pa.binary()), ("prefix", pa.list_(pa.int64())), *[(c, pa.int64()) for c in _PARITY],
+    ("group_key", pa.binary()), ("prefix", pa.list_(pa.int64())), ("odd", pa.binary()),
+    *[(c, pa.int64()) for c in _PARITY],
 ])
 _GROUPED_SQL = (
-    "row long, doc long, doc_id long, n long, digest binary, group_key binary, prefix array<long>, "
+    "row long, doc long, doc_id long, n long, digest binary, group_key binary, prefix array<long>, odd binary, "
     + ", ".join(f"{c} long" for c in _PARITY)
 )
 _SETS = pa.schema([("doc", pa.int64()), ("digest", pa.binary()), ("grams", pa.binary())])
@@ -86,6 +87,23 @@ def parity(found: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
 
+def odd_buckets(found: np.ndarray) -> bytes:
+    """``parity`` in as many buckets as tell sets of this size apart, a power of two: bits, eight a byte."""
+    buckets = max(256, 1 << (2 * len(found) - 1).bit_length()) if len(found) else 256
+    odd = np.zeros(buckets, dtype=np.uint8)
+    at, times = np.unique(((found >> _SHIFT) % np.uint64(buckets)).astype(np.int64), return_counts=True)
+    odd[at] = times & 1
+    return np.packbits(odd, bitorder="little").tobytes()
+
+
+def _apart_by(one: bytes, two: bytes) -> int:
+    """In how many buckets two results of ``odd_buckets`` differ; the larger is folded to the smaller."""
+    x, y = (np.frombuffer(b, np.uint8) for b in sorted((one, two), key=len))
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2:]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 @dataclass(frozen=True)
 class Threshold:
     """A Jaccard similarity of at least ``part / whole``, in whole numbers."""
@@ -108,6 +126,10 @@ class Threshold:
         """Whether sets of the sizes ``a`` and ``b`` can be linked if ``apart`` shingles or more are in one only."""
         return apart * (self.part + self.whole) <= (a + b) * (self.whole - self.part)
 
+    def far(self, a: int, b: int, apart: int) -> bool:
+        """Not ``may_link``, of whole numbers."""
+        return apart * (self.part + self.whole) > (a + b) * (self.whole - self.part)
+
     def linked(self, common: int, a: int, b: int) -> bool:
         return common * self.whole >= self.part * (a + b - common)
 
@@ -166,9 +188,10 @@ def grouped_prefixes(keyed: DataFrame, frequencies: np.ndarray, k: int, threshol
                 n = len(found)
                 order = np.lexsort((found, rank[(found >> np.uint64(64 - _BUCKET_BITS)).astype(np.int64)]))
                 prefix = found[order[: threshold.prefix(n) if n else 0]].view(np.int64)
+                odd = odd_buckets(found)
                 whole = blake2b(found.tobytes(), digest_size=16).digest()
                 key = blake2b(prefix.tobytes() + n.to_bytes(8, "little"), digest_size=16).digest()
-                for name, value in zip(_GROUPED.names, (row, doc, doc_id, n, whole, key, prefix, *parity(found))):
+                for name, value in zip(_GROUPED.names, (row, doc, doc_id, n, whole, key, prefix, odd, *parity(found))):
                     out[name].append(value)
             yield batch_of(_GROUPED, out)
 
@@ -189,6 +212,29 @@ def _sets_of(keyed: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     return some.select("doc", "text").mapInArrow(run, _SETS_SQL)
 
 
+def _close(pairs: DataFrame, rows: DataFrame, threshold: Threshold) -> DataFrame:
+    """The rows of ``pairs`` (``a, a_digest, b, b_digest``) that the odd buckets of their sets do not rule out.
+
+    These are a sixteenth of a set or less, so few pairs are left for which whole sets travel.
+    """
+    def side(name: str) -> DataFrame:
+        mine = pairs.select(F.col(name).alias("doc"), F.col(f"{name}_digest").alias("digest")).distinct()
+        some = rows.select("doc", "digest", "n", "odd").join(replicate(mine, 64 << 20), ["doc", "digest"], "left_semi")
+        # Rows of one class and one id have equal sets.
+        return some.groupBy(F.col("doc").alias(name), F.col("digest").alias(f"{name}_digest")).agg(
+            F.first("n").alias(f"{name}_n"), F.first("odd").alias(f"{name}_odd")
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for a, a_digest, b, b_digest, *sets in (part for batch in batches for part in texts_of(batch)):
+            keep = [not threshold.far(m, n, _apart_by(x, y)) for m, n, x, y in zip(*sets)]
+            yield batch_of(_PAIRS, {"a": a, "a_digest": a_digest, "b": b, "b_digest": b_digest}).filter(
+                pa.array(keep, pa.bool_()))
+
+    both = pairs.join(side("b"), ["b", "b_digest"]).join(side("a"), ["a", "a_digest"])
+    return stored(both.select(*_PAIRS.names, "a_n", "b_n", "a_odd", "b_odd").mapInArrow(run, _PAIRS_SQL), "close")
+
+
 def verified(pairs: DataFrame, keyed: DataFrame, k: int, threshold: Threshold) -> DataFrame:
     """The pairs ``a, a_digest, b, b_digest`` whose whole sets are similar enough: ``a, b``.
 
@@ -274,14 +320,15 @@ def jaccard_components(docs: DataFrame, k: int = 5, part: int = 80, whole: int =
     and places in the prefix rule pairs out. Not all pairs of a list need be verified: first each
     class meets the group of its lists that stands nearest to the front, as most near copies link
     to the least altered one; then only pairs from different components are left, and all of these
-    that the filters let through are verified. The last filter is a bound on the shingles that only
-    one of two sets has (``parity``), so a common passage does not make sets travel. Components are thus exactly those of all links.
+    that the filters let through are verified. The last filters are bounds on the shingles that only
+    one of two sets has (``parity``, and ``odd_buckets`` for sets of any size), so a common passage does
+    not make sets travel. Components are thus exactly those of all links.
     """
     threshold = Threshold(part, whole)
     keyed = _keyed(docs)
     rows, classes, lists = _grouped(docs, keyed, k, threshold)
-    linked = _link_to_front(lists, classes, keyed, k, threshold)
-    rest = _link_across(lists, classes, linked, keyed, k, threshold)
+    linked = _link_to_front(lists, classes, rows, keyed, k, threshold)
+    rest = _link_across(lists, classes, linked, rows, keyed, k, threshold)
     nodes = _with_component(classes, linked.unionByName(rest)).select("doc", "copies", "digest", "label")
     return _of_rows(rows, nodes).select("doc_id", "n_shingles", "component_id")
 
@@ -322,7 +369,7 @@ def similarity_join(docs: DataFrame, k: int = 5, part: int = 80, whole: int = 10
         .join(two.withColumnRenamed("group", "group2"), "group2").where(near).select("a", "a_digest", "b", "b_digest")
     )
     inside = one.join(two, "group").where("a_digest < b_digest").where(near).select(*across.columns)
-    pairs = stored(across.unionByName(inside), "pairs")
+    pairs = _close(stored(across.unionByName(inside), "pairs"), rows, threshold)
     return Linked(rows, classes, stored(_verified_by_cell(pairs, keyed, k, threshold), "links"))
 
 
@@ -431,7 +478,7 @@ def _bound(n1: Column, place1: Column, n2: Column, place2: Column) -> Column:
 
 
 def _link_to_front(
-    lists: DataFrame, classes: DataFrame, keyed: DataFrame, k: int, threshold: Threshold
+    lists: DataFrame, classes: DataFrame, rows: DataFrame, keyed: DataFrame, k: int, threshold: Threshold
 ) -> DataFrame:
     """Links of each class to its group's first class and to one group at the front of its lists."""
     front = F.col("front")
@@ -454,25 +501,29 @@ def _link_to_front(
     outside = one.join(near.join(first, "b"), "group").where(close).select("a", "a_digest", "b", "b_digest")
     inside = one.where("a_digest <> group_digest").join(first.withColumn("group", F.col("b")), "group").where(
         close).select(*outside.columns)
-    pairs = stored(outside.unionByName(inside), "pairs")
+    pairs = _close(stored(outside.unionByName(inside), "pairs"), rows, threshold)
     return stored(verified(pairs, keyed, k, threshold), "links")
 
 
 def _link_across(
-    lists: DataFrame, classes: DataFrame, linked: DataFrame, keyed: DataFrame, k: int, threshold: Threshold
+    lists: DataFrame, classes: DataFrame, linked: DataFrame, rows: DataFrame, keyed: DataFrame, k: int,
+    threshold: Threshold,
 ) -> DataFrame:
     """Links between classes of different components of ``linked`` that share a list or a group.
 
     Pairs are formed between components within a list, by bands of sizes of which only neighbours
-    can be linked; a component's members come in where the components' extremes pass the filters.
+    can be linked; a component's members come in where the components' extremes pass the filters. Where
+    the lists before a list are the same for two groups, they meet in that one, nearer to the front.
     """
     labels = components(linked)
     labelled = classes.join(labels, classes["doc"] == labels["node"], "left").select(
         "group", "classes", "n", "doc", "digest", F.coalesce("component", "doc").alias("label"), *_PARITY
     )
-    shared = lists.select("token", "group", "place").join(labelled.drop("classes"), "group")
+    before = F.lag("token").over(Window.partitionBy("group").orderBy("place", "token"))
+    shared = lists.select("token", "group", "place", before.alias("before")).join(labelled.drop("classes"), "group")
     own = labelled.where("classes > 1").select(
-        F.col("group").alias("token"), "group", F.lit(0).alias("place"), "n", "doc", "digest", "label", *_PARITY
+        F.col("group").alias("token"), "group", F.lit(0).alias("place"),
+        F.lit(None).cast("long").alias("before"), "n", "doc", "digest", "label", *_PARITY
     )
     members = shared.withColumn("kind", F.lit(0)).unionByName(own.withColumn("kind", F.lit(1))).drop("group")
     key = ["kind", "token"]
@@ -502,8 +553,8 @@ def _link_across(
     )
 
     def of(side: str, names: dict[str, str]) -> DataFrame:
-        renamed = {"band": f"band{side}", "label": f"label{side}", "n": f"n{side}", "place": f"place{side}", **names,
-                   **{c: f"{c}_{side}" for c in _PARITY}}
+        renamed = {"band": f"band{side}", "label": f"label{side}", "n": f"n{side}", "place": f"place{side}",
+                   "before": f"before{side}", **names, **{c: f"{c}_{side}" for c in _PARITY}}
         return members.select(*[F.col(c).alias(renamed.get(c, c)) for c in members.columns])
 
     one = of("1", {"doc": "a", "digest": "a_digest"})
@@ -515,13 +566,15 @@ def _link_across(
     pairs = (
         near.join(two, [*key, "band2", "label2"])
         .where(threshold.sizes_fit(F.col("n1"), F.col("n2")))
+        .where(F.coalesce(F.col("before1") != F.col("before2"), F.lit(True)))
         .where(threshold.may_link(F.col("n1"), F.col("n2"), _apart("_1", "_2")))
         .where(threshold.can_reach(
             F.col("n1"), F.col("n2"), _bound(F.col("n1"), F.col("place1"), F.col("n2"), F.col("place2"))
         ))
         .select("a", "a_digest", "b", "b_digest").distinct()
     )
-    return stored(verified(stored(pairs, "pairs"), keyed, k, threshold), "links")
+    close = _close(stored(pairs, "pairs"), rows, threshold)
+    return stored(verified(close, keyed, k, threshold), "links")
 
 
 def one_of_each(docs: DataFrame, k: int = 5, part: int = 80, whole: int = 100) -> DataFrame:

@@ -5,7 +5,10 @@ import pytest
 
 import numpy as np
 from starling.llm.components import components
-from starling.llm.jaccard import grams, jaccard_components, jaccard_links, one_of_each, parity, similarity_join
+from starling.llm import jaccard
+from starling.llm.jaccard import (
+    _apart_by, grams, jaccard_components, jaccard_links, odd_buckets, one_of_each, parity, similarity_join,
+)
 
 
 def shingles(text, k):
@@ -154,3 +157,36 @@ def test_parities_never_rule_out_a_link():
         apart = sum(int(x).bit_count() for x in (parity(a) ^ parity(b)).view(np.uint64))
         assert apart <= len(np.setxor1d(a, b))
     assert parity(np.zeros(0, np.uint64)).tolist() == [0, 0, 0, 0]
+
+
+@pytest.mark.parametrize("n, m", [(0, 0), (5, 4), (200, 210), (700, 1900), (5000, 4400)])
+def test_odd_buckets_never_tell_more_than_sets_differ(n, m):
+    rnd = np.random.default_rng(n)
+    one = np.unique(rnd.integers(0, 1 << 63, n, dtype=np.uint64))
+    two = np.unique(np.concatenate([one[: m // 2], rnd.integers(0, 1 << 63, m - m // 2, dtype=np.uint64)]))
+    differ = len(np.setxor1d(one, two))
+    apart = _apart_by(odd_buckets(one), odd_buckets(two))
+    assert apart <= differ and (differ - apart) % 2 == 0
+    assert apart == _apart_by(odd_buckets(two), odd_buckets(one))
+    assert _apart_by(odd_buckets(one), odd_buckets(one)) == 0
+
+
+def test_whole_sets_of_long_texts_that_are_far_apart_do_not_travel(small_batches, monkeypatch):
+    """Texts of 2,000 words that share a passage of rare words, which 256 buckets do not rule out."""
+    rnd = random.Random(3)
+    word = lambda: "w%d" % rnd.randrange(50_000)
+    passage = [word() for _ in range(900)]
+    rows = [(i, " ".join(passage + [word() for _ in range(1100)])) for i in range(8)]
+    rows.append((8, rows[0][1] + " end"))
+    docs = small_batches.createDataFrame(rows, "doc_id long, text string")
+    compared, plain = [], jaccard.verified
+
+    def counted(pairs, *rest):
+        compared.append(pairs.count())
+        return plain(pairs, *rest)
+
+    monkeypatch.setattr(jaccard, "verified", counted)
+    assert got(jaccard_components(docs, 4, 85, 100)) == expected(rows, 4, 85, 100)
+    assert sum(compared) == 1
+    links = similarity_join(docs, 4, 85, 100).pairs
+    assert sorted(tuple(r) for r in links.select("a", "b").collect()) in ([(0, 8)], [(8, 0)])

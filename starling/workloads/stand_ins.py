@@ -24,8 +24,17 @@ def _title():
 
 # Plays: order lines carrying the part's title, brand and price as song, artist and length.
 def plays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # What follows from a line is made after the join: where that is a shuffle, only the raw columns move.
     lines = table(spark, sf_dir, "lineitem").select(
-        "l_partkey",
+        "l_partkey", "l_suppkey", "l_orderkey", "l_linenumber", "l_shipdate", "l_returnflag", "l_linestatus"
+    )
+    parts = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("l_partkey"),
+        _title().alias("song"),
+        F.col("p_brand").alias("artist"),
+        F.col("p_retailprice").alias("length"),
+    )
+    return lines.join(parts, "l_partkey").select(
         F.col("l_suppkey").alias("userId"),
         F.col("l_orderkey").alias("sessionId"),
         F.col("l_linenumber").alias("itemInSession"),
@@ -37,14 +46,10 @@ def plays(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("Last "), F.col("l_suppkey")).alias("lastName"),
         F.col("l_linestatus").alias("gender"),
         F.lit("NextSong").alias("page"),
+        "song",
+        "artist",
+        "length",
     )
-    parts = table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("l_partkey"),
-        _title().alias("song"),
-        F.col("p_brand").alias("artist"),
-        F.col("p_retailprice").alias("length"),
-    )
-    return lines.join(parts, "l_partkey").drop("l_partkey")
 
 
 PLAYS = """

@@ -11,6 +11,7 @@ from starling.operators import absent_rows
 from starling.session import scratch_path
 from starling.sinks import drop_table, layout, write_csv, write_table
 from starling.sources import quoted, read_csv_dir, read_json
+from starling.workloads.stand_ins import plays
 from starling.workloads.whole_jobs import _deliver, _write_json
 
 
@@ -88,3 +89,17 @@ def test_rows_with_keys_of_their_own_are_not_brought_together(spark):
     fresh = absent_rows(stored, batch, ["k"], ["v"], nulls_distinct=False, unique=True)
     assert rows(fresh) == [(1, "a"), (3, "c")] and "Window" not in physical(fresh)
     assert physical(absent_rows(None, batch, ["k"], ["v"], unique=True)).count("Exchange") == 0
+
+
+def test_only_raw_columns_of_a_line_move_to_their_part(spark, tmp_path):
+    spark.sql("""SELECT id AS l_orderkey, id % 5 AS l_partkey, id % 3 AS l_suppkey, 1 AS l_linenumber,
+                 'A' AS l_returnflag, 'F' AS l_linestatus, TIMESTAMP_NTZ '1995-01-01' AS l_shipdate
+                 FROM range(20)""").write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.sql("SELECT id AS p_partkey, 'b' AS p_brand, 1.5D AS p_retailprice FROM range(5)").write.parquet(
+        str(tmp_path / "part.parquet"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    found = plays(spark, str(tmp_path))
+    plan = physical(found)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Join" in plan and plan.index("concat(First") < plan.index("Join") and found.count() == 20

@@ -505,6 +505,46 @@ def _link_to_front(
     return stored(verified(pairs, keyed, k, threshold), "links")
 
 
+def _side(members: DataFrame, side: str, names: dict[str, str]) -> DataFrame:
+    renamed = {"band": f"band{side}", "label": f"label{side}", "n": f"n{side}", "place": f"place{side}",
+               "before": f"before{side}", "off": f"off{side}", **names, **{c: f"{c}_{side}" for c in _PARITY}}
+    return members.select(*[F.col(c).alias(renamed.get(c, c)) for c in members.columns])
+
+
+def _reaching(members: DataFrame, heads: DataFrame, threshold: Threshold) -> DataFrame:
+    """Members of one component beside another component that they may reach in a list."""
+    key = ["kind", "token"]
+    # The list before, if it is the same for all members of a part.
+    same = F.when((F.count("before") == F.count(F.lit(1))) & (F.min("before") == F.max("before")), F.min("before"))
+    parts = members.groupBy(*key, "band", "label").agg(
+        F.min("n").alias("least"), F.max("n").alias("most"), F.min("place").alias("place"), same.alias("before"),
+        F.max("off").alias("off"),
+    )
+    left = parts.select(*[F.col(c).alias(c if c in key else f"{c}1") for c in parts.columns]).withColumn(
+        "band2", F.explode(F.array("band1", F.col("band1") + 1))
+    )
+    right = parts.select(*[F.col(c).alias(c if c in key else f"{c}2") for c in parts.columns])
+    reach = F.least(F.col("most1") - F.col("place1"), F.col("most2") - F.col("place2"))
+    met = left.join(right, [*key, "band2"]).where(
+        ((F.col("band1") < F.col("band2")) & (F.col("label1") != F.col("label2")))
+        | ((F.col("band1") == F.col("band2")) & (F.col("label1") < F.col("label2")))
+    ).where(threshold.can_reach(F.col("least1"), F.col("least2"), reach)).where(
+        F.col("most1") * threshold.whole >= F.col("least2") * threshold.part
+    ).where(F.coalesce(F.col("before1") != F.col("before2"), F.lit(True))).select(
+        *key, "band1", "label1", "band2", "label2", F.col("least2").alias("other_least"),
+        (F.col("most2") - F.col("place2")).alias("other_reach"), F.col("most2").alias("other_most"),
+        F.col("before2").alias("other_before"), F.col("off2").alias("other_off"),
+    )
+    met = met.join(heads.drop("held").withColumnRenamed("label", "label2"), "label2")
+    one = _side(members, "1", {"doc": "a", "digest": "a_digest"})
+    # A member that reaches nothing of the other component goes before that one's members come in.
+    return met.join(one, [*key, "band1", "label1"]).where(threshold.can_reach(
+        F.col("n1"), F.col("other_least"), F.least(F.col("n1") - F.col("place1"), F.col("other_reach"))
+    )).where(F.coalesce(F.col("before1") != F.col("other_before"), F.lit(True))).where(
+        threshold.may_link(F.col("n1"), F.col("other_most"), _apart("_1", "_head") - F.col("other_off"))
+    )
+
+
 def _link_across(
     lists: DataFrame, classes: DataFrame, linked: DataFrame, rows: DataFrame, keyed: DataFrame, k: int,
     threshold: Threshold,
@@ -513,58 +553,39 @@ def _link_across(
 
     Pairs are formed between components within a list, by bands of sizes of which only neighbours
     can be linked; a component's members come in where the components' extremes pass the filters. Where
-    the lists before a list are the same for two groups, they meet in that one, nearer to the front.
+    the lists before a list are the same for two groups, they meet in that one, nearer to the front;
+    components of which this is true as a whole do not meet at all. A member is compared with the other
+    component's head before that one's members come in: none of them is nearer to it than the head is,
+    less what the members there are ``off`` the head.
     """
     labels = components(linked)
     labelled = classes.join(labels, classes["doc"] == labels["node"], "left").select(
         "group", "classes", "n", "doc", "digest", F.coalesce("component", "doc").alias("label"), *_PARITY
     )
+    heads = stored(
+        labelled.groupBy("label").agg(F.min(F.struct("digest", *_PARITY)).alias("head"), F.count(F.lit(1)).alias("held"))
+        .select("label", "held", *[F.col(f"head.{c}").alias(f"{c}_head") for c in _PARITY]), "heads")
+    several = replicate(heads.where("held > 1").drop("held"), 64 << 20)
+    labelled = labelled.join(several, "label", "left").withColumn(
+        "off", F.coalesce(_apart("", "_head"), F.lit(0))).select(*labelled.columns, "off")
     before = F.lag("token").over(Window.partitionBy("group").orderBy("place", "token"))
     shared = lists.select("token", "group", "place", before.alias("before")).join(labelled.drop("classes"), "group")
     own = labelled.where("classes > 1").select(
         F.col("group").alias("token"), "group", F.lit(0).alias("place"),
-        F.lit(None).cast("long").alias("before"), "n", "doc", "digest", "label", *_PARITY
+        F.lit(None).cast("long").alias("before"), "n", "doc", "digest", "label", *_PARITY, "off"
     )
     members = shared.withColumn("kind", F.lit(0)).unionByName(own.withColumn("kind", F.lit(1))).drop("group")
     key = ["kind", "token"]
-    several = Window.partitionBy(*key)
+    in_list = Window.partitionBy(*key)
     members = stored(
-        members.withColumn("low", F.min("label").over(several)).withColumn("high", F.max("label").over(several))
+        members.withColumn("low", F.min("label").over(in_list)).withColumn("high", F.max("label").over(in_list))
         .where("low < high").drop("low", "high")
         .withColumn("band", F.floor(F.log("n") / math.log(threshold.whole / threshold.part)).cast("int")),
         "members",
     )
-    parts = members.groupBy(*key, "band", "label").agg(
-        F.min("n").alias("least"), F.max("n").alias("most"), F.min("place").alias("place")
-    )
-    left = parts.select(*[F.col(c).alias(c if c in key else f"{c}1") for c in parts.columns]).withColumn(
-        "band2", F.explode(F.array("band1", F.col("band1") + 1))
-    )
-    right = parts.select(*[F.col(c).alias(c if c in key else f"{c}2") for c in parts.columns])
-    reach = F.least(F.col("most1") - F.col("place1"), F.col("most2") - F.col("place2"))
-    met = left.join(right, [*key, "band2"]).where(
-        ((F.col("band1") < F.col("band2")) & (F.col("label1") != F.col("label2")))
-        | ((F.col("band1") == F.col("band2")) & (F.col("label1") < F.col("label2")))
-    ).where(threshold.can_reach(F.col("least1"), F.col("least2"), reach)).where(
-        F.col("most1") * threshold.whole >= F.col("least2") * threshold.part
-    ).select(
-        *key, "band1", "label1", "band2", "label2", F.col("least2").alias("other_least"),
-        (F.col("most2") - F.col("place2")).alias("other_reach"),
-    )
-
-    def of(side: str, names: dict[str, str]) -> DataFrame:
-        renamed = {"band": f"band{side}", "label": f"label{side}", "n": f"n{side}", "place": f"place{side}",
-                   "before": f"before{side}", **names, **{c: f"{c}_{side}" for c in _PARITY}}
-        return members.select(*[F.col(c).alias(renamed.get(c, c)) for c in members.columns])
-
-    one = of("1", {"doc": "a", "digest": "a_digest"})
-    two = of("2", {"doc": "b", "digest": "b_digest"})
-    # A member that reaches nothing of the other component goes before that one's members come in.
-    near = met.join(one, [*key, "band1", "label1"]).where(threshold.can_reach(
-        F.col("n1"), F.col("other_least"), F.least(F.col("n1") - F.col("place1"), F.col("other_reach"))
-    ))
+    two = _side(members, "2", {"doc": "b", "digest": "b_digest"})
     pairs = (
-        near.join(two, [*key, "band2", "label2"])
+        _reaching(members, heads, threshold).join(two, [*key, "band2", "label2"])
         .where(threshold.sizes_fit(F.col("n1"), F.col("n2")))
         .where(F.coalesce(F.col("before1") != F.col("before2"), F.lit(True)))
         .where(threshold.may_link(F.col("n1"), F.col("n2"), _apart("_1", "_2")))

@@ -190,3 +190,45 @@ def test_whole_sets_of_long_texts_that_are_far_apart_do_not_travel(small_batches
     assert sum(compared) == 1
     links = similarity_join(docs, 4, 85, 100).pairs
     assert sorted(tuple(r) for r in links.select("a", "b").collect()) in ([(0, 8)], [(8, 0)])
+
+
+def flipped(rnd, bits, times):
+    for at in rnd.sample(range(256), times):
+        bits ^= 1 << at
+    return bits
+
+
+def reaching(spark, parts, before):
+    """``_reaching`` of one list, ``parts``: the members' parities by component, the head's first."""
+    longs = lambda bits: np.frombuffer(bits.to_bytes(32, "little"), np.int64).tolist()
+    rows, heads = [], []
+    for label, bits in parts.items():
+        heads.append((label, len(bits), *longs(bits[0])))
+        for i, b in enumerate(bits):
+            off = (b ^ bits[0]).bit_count()
+            rows.append((0, 5, 3, before, 200, label + i, bytes([i]), label, *longs(b), off, 33))
+    columns = ", ".join(f"parity{i} long" for i in range(4))
+    members = spark.createDataFrame(
+        rows, f"kind int, token long, place int, before long, n long, doc long, digest binary, label long, {columns}, "
+              "off int, band int")
+    held = spark.createDataFrame(heads, "label long, held long, " + columns).toDF(
+        "label", "held", *[f"parity{i}_head" for i in range(4)])
+    found = jaccard._reaching(members, held, jaccard.Threshold(85, 100)).select("a", "label2").collect()
+    return {tuple(r) for r in found}
+
+
+def test_members_meet_only_components_whose_head_is_near_enough(spark):
+    """A list of 40 near copies and 40 other texts, some of which are near to a copy, but not to the head."""
+    rnd = random.Random(4)
+    head = rnd.getrandbits(256)
+    parts = {0: [head, *(flipped(rnd, head, rnd.randrange(1, 50)) for _ in range(39))]}
+    parts |= {1000 * i: [rnd.getrandbits(256)] for i in range(1, 31)}
+    parts |= {1000 * i: [flipped(rnd, parts[0][-i], 20), flipped(rnd, parts[0][-i], 25)] for i in range(31, 40)}
+    found = reaching(spark, parts, None)
+    near = {
+        (low + i, high) for low, one in parts.items() for high, two in parts.items() if low < high
+        for i, x in enumerate(one) if any(185 * (x ^ y).bit_count() <= 15 * 400 for y in two)
+    }
+    assert near and near <= found
+    assert all(high > 30_000 for _, high in found)
+    assert reaching(spark, parts, 4) == set()

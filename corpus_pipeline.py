@@ -44,8 +44,11 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of at most 2048 tokens."""
-    return pack_documents(docs, tokenizer_path())
+    """Sequences of at most 2048 tokens.
+
+    An executor that ran the other stages has used up its heap, so its Python workers remember fewer words.
+    """
+    return pack_documents(docs, tokenizer_path(), words=200_000)
 
 
 STAGES = [

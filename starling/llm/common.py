@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +16,9 @@ from ..session import scratch_path, scratch_scope
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 BYTE_WORD = rb"[^\x20\x09-\x0D]+"
+# Arrow batches of whole texts are held by the executor and by its Python worker, some of them twice.
+_BATCH_BYTES = 4 << 20
+_BATCH_BYTES_NAME = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,11 +67,25 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+@contextmanager
+def bounded_batches(spark: SparkSession) -> Iterator[None]:
+    """What runs inside hands rows to Python in batches of a few MB, unless the session says how large."""
+    if _BATCH_BYTES_NAME in spark.conf.getAll:
+        yield
+        return
+    spark.conf.set(_BATCH_BYTES_NAME, str(_BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.unset(_BATCH_BYTES_NAME)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The rows written to the shared folder and read back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    with bounded_batches(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -76,7 +94,8 @@ def alone(spark: SparkSession, label: str, build: Callable[[], DataFrame]) -> Da
     path = scratch_path(spark, label)
     with scratch_scope(spark):
         rows = build()
-        rows.write.parquet(path)
+        with bounded_batches(spark):
+            rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 
 
@@ -107,11 +126,12 @@ def tree_sum(vectors: DataFrame, column: str, dtype: str, size: int) -> np.ndarr
         if total is not None:
             yield total
 
-    rdd = vectors.select(column).rdd.mapPartitions(add_up)
     zero = np.zeros(size, dtype=dtype)
-    if rdd.getNumPartitions() == 0:
-        return zero
-    return rdd.treeAggregate(zero, lambda a, b: a + b, lambda a, b: a + b, 3)
+    with bounded_batches(vectors.sparkSession):
+        rdd = vectors.select(column).rdd.mapPartitions(add_up)
+        if rdd.getNumPartitions() == 0:
+            return zero
+        return rdd.treeAggregate(zero, lambda a, b: a + b, lambda a, b: a + b, 3)
 
 
 def batch_of(schema: pa.Schema, columns: dict[str, object]) -> pa.RecordBatch:

@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from .common import batch_of, stored, texts_of
-from .tokens import encoder
+from .tokens import WORDS, encoder
 
 _PIECES = pa.schema([
     ("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
@@ -71,13 +71,15 @@ def cut(total: int, capacity: int) -> list[tuple[int, int]]:
     return [(s, first if not s else capacity) for s in starts]
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0) -> DataFrame:
+def token_pieces(
+    docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, words: int = WORDS
+) -> DataFrame:
     """Each document's ids and ``end_id``, cut where longer than ``capacity``: a row per piece.
 
     ``doc_id, piece, start, length, ids_crc32``. NULL and empty texts are one piece, the end id.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).ids
+        encode = encoder(tokenizer, words).ids
         end = end_id.to_bytes(4, "little")
         for doc_ids, texts in (part for batch in batches for part in texts_of(batch, 128)):
             out = {name: [] for name in _PIECES.names}
@@ -115,6 +117,7 @@ def pack_documents(
     end_id: int = 0,
     open_bins: int = 512,
     pieces_per_task: int = 100_000,
+    words: int = WORDS,
 ) -> DataFrame:
     """Pack all documents into sequences of at most ``capacity`` tokens.
 
@@ -122,8 +125,9 @@ def pack_documents(
     without gaps. Repeated rows and NULL ids are packed like any others; columns other than
     ``doc_id`` and ``text`` are not looked at; an empty table gives no rows. Texts are encoded where
     they are read. Only the pieces' lengths move: about ``pieces_per_task`` of them, dealt evenly,
-    to each packing task, so that its last open bins are few among those it fills.
+    to each packing task, so that its last open bins are few among those it fills. ``words`` bounds
+    what a Python worker remembers of the encoding and changes no row.
     """
-    pieces = stored(token_pieces(docs, tokenizer, capacity, end_id), "pieces")
+    pieces = stored(token_pieces(docs, tokenizer, capacity, end_id, words), "pieces")
     tasks = max(1, -(-pieces.count() // pieces_per_task))
     return best_fit(pieces.repartition(tasks), capacity, open_bins)

@@ -14,6 +14,8 @@ _CUT = re.compile(r" (?=\S)").split
 # Words that are certain to be cut into their letters and the marks after them.
 _PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]{0,3})").fullmatch
 _LONGEST = 64
+# How many words an encoder remembers in a generation: two of them take about 170 MB.
+WORDS = 500_000
 
 
 def byte_letters() -> dict[int, str]:
@@ -33,7 +35,7 @@ class WordEncoder:
     such as a special one, is left to the library whole, which makes it that token's id.
     """
 
-    def __init__(self, path: str, words: int = 500_000):
+    def __init__(self, path: str, words: int = WORDS):
         single_thread()
         from tokenizers import Tokenizer
 
@@ -112,11 +114,11 @@ class _Known(dict):
         return ids
 
 
-_encoders: dict[str, WordEncoder] = {}
+_encoders: dict[tuple[str, int], WordEncoder] = {}
 
 
-def encoder(path: str) -> WordEncoder:
-    """The Python worker's encoder of a tokenizer file."""
-    if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
-    return _encoders[path]
+def encoder(path: str, words: int = WORDS) -> WordEncoder:
+    """The Python worker's encoder of a tokenizer file that remembers so many words."""
+    if (path, words) not in _encoders:
+        _encoders[path, words] = WordEncoder(path, words)
+    return _encoders[path, words]

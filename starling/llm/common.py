@@ -126,12 +126,16 @@ def tree_sum(vectors: DataFrame, column: str, dtype: str, size: int) -> np.ndarr
         if total is not None:
             yield total
 
-    zero = np.zeros(size, dtype=dtype)
+    # None is where each sum starts, as a vector of zeros would travel with every task.
+    def plus(one: np.ndarray | None, two: np.ndarray | None) -> np.ndarray | None:
+        return two if one is None else one if two is None else one + two
+
+    total = None
     with bounded_batches(vectors.sparkSession):
         rdd = vectors.select(column).rdd.mapPartitions(add_up)
-        if rdd.getNumPartitions() == 0:
-            return zero
-        return rdd.treeAggregate(zero, lambda a, b: a + b, lambda a, b: a + b, 3)
+        if rdd.getNumPartitions():
+            total = rdd.treeAggregate(None, plus, plus, 3)
+    return np.zeros(size, dtype=dtype) if total is None else total
 
 
 def batch_of(schema: pa.Schema, columns: dict[str, object]) -> pa.RecordBatch:

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..operators.joins import replicate
+from ..operators.joins import held_bytes, replicate
 from .common import alone, batch_of, byte_words, stored, texts_of, tree_sum
 from .components import components
 
@@ -21,6 +21,8 @@ _BUCKET_BITS = 20
 # Rows without an id get numbers from here on, above all ids.
 _NO_ID = 1 << 62
 _WORDS_HELD = 1 << 17
+# What is copied to every executor, at most.
+_COPIED_BYTES = 64 << 20
 # A bucket's share of all sets that are compared; a task holds two buckets.
 _CELL_BYTES = 16 << 20
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -198,8 +200,12 @@ def grouped_prefixes(keyed: DataFrame, frequencies: np.ndarray, k: int, threshol
     return keyed.mapInArrow(run, _GROUPED_SQL)
 
 
-def _sets_of(keyed: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """The whole sets of the documents in ``wanted`` (column ``doc``), made from their texts again."""
+def _sets_of(keyed: DataFrame, pairs: DataFrame, k: int, at_most: int) -> DataFrame:
+    """The whole sets of the documents in ``pairs`` (``a`` and ``b``), made from their texts again."""
+    ids = pairs.select(F.col("a").alias("doc")).union(pairs.select("b")).distinct()
+    # Ids that may be too many to copy are measured and then joined.
+    wanted = ids if at_most <= _COPIED_BYTES else stored(ids, "wanted")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for docs, texts in (part for batch in batches for part in texts_of(batch)):
             sets = [grams(t, k).tobytes() for t in texts]
@@ -207,23 +213,27 @@ def _sets_of(keyed: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
                 "doc": docs, "digest": [blake2b(s, digest_size=16).digest() for s in sets], "grams": sets,
             })
 
-    # The ids are copied to the executors up to 64 MB by measurement; above that, texts are shuffled.
-    some = keyed.join(replicate(wanted, 64 << 20), "doc", "left_semi")
+    # The ids are copied to the executors up to 64 MB; above that, texts are shuffled.
+    some = keyed.join(replicate(wanted, _COPIED_BYTES, at_most), "doc", "left_semi")
     return some.select("doc", "text").mapInArrow(run, _SETS_SQL)
 
 
-def _close(pairs: DataFrame, rows: DataFrame, threshold: Threshold) -> DataFrame:
+def _close(pairs: DataFrame, rows: DataFrame, threshold: Threshold, at_most: int) -> DataFrame:
     """The rows of ``pairs`` (``a, a_digest, b, b_digest``) that the odd buckets of their sets do not rule out.
 
-    These are a sixteenth of a set or less, so few pairs are left for which whole sets travel.
+    These are a sixteenth of a set or less, so few pairs are left for which whole sets travel. ``pairs``
+    hold ``at_most`` so many bytes, and so do the ids of both sides, or of some of the pairs; what is
+    copied of them is measured by itself only where these may be too many.
     """
+    ends = pairs.select(F.col("a").alias("doc"), F.col("a_digest").alias("digest")).union(
+        pairs.select("b", "b_digest")).distinct()
+    some = rows.select("doc", "digest", "n", "odd").join(
+        replicate(ends, _COPIED_BYTES, 2 * at_most), ["doc", "digest"], "left_semi")
+    # Rows of one class and one id have equal sets. Both sides take the same rows, so these move once.
+    known = some.groupBy("doc", "digest").agg(F.first("n").alias("n"), F.first("odd").alias("odd"))
+
     def side(name: str) -> DataFrame:
-        mine = pairs.select(F.col(name).alias("doc"), F.col(f"{name}_digest").alias("digest")).distinct()
-        some = rows.select("doc", "digest", "n", "odd").join(replicate(mine, 64 << 20), ["doc", "digest"], "left_semi")
-        # Rows of one class and one id have equal sets.
-        return some.groupBy(F.col("doc").alias(name), F.col("digest").alias(f"{name}_digest")).agg(
-            F.first("n").alias(f"{name}_n"), F.first("odd").alias(f"{name}_odd")
-        )
+        return known.toDF(name, f"{name}_digest", f"{name}_n", f"{name}_odd")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a, a_digest, b, b_digest, *sets in (part for batch in batches for part in texts_of(batch)):
@@ -235,20 +245,17 @@ def _close(pairs: DataFrame, rows: DataFrame, threshold: Threshold) -> DataFrame
     return stored(both.select(*_PAIRS.names, "a_n", "b_n", "a_odd", "b_odd").mapInArrow(run, _PAIRS_SQL), "close")
 
 
-def verified(pairs: DataFrame, keyed: DataFrame, k: int, threshold: Threshold) -> DataFrame:
+def verified(pairs: DataFrame, keyed: DataFrame, k: int, threshold: Threshold, at_most: int) -> DataFrame:
     """The pairs ``a, a_digest, b, b_digest`` whose whole sets are similar enough: ``a, b``.
 
     Sets are joined to the side that repeats first, so a set that many others are compared with is
-    not what the second shuffle deals by.
+    not what the second shuffle deals by; they are the same rows for both sides, and move once.
+    ``at_most`` is as in ``_close``.
     """
-    ids = pairs.select(F.col("a").alias("doc")).union(pairs.select("b")).distinct()
-    sets = stored(_sets_of(keyed, stored(ids, "wanted"), k), "sets")
+    sets = stored(_sets_of(keyed, pairs, k, at_most), "sets")
 
     def side(name: str) -> DataFrame:
-        mine = pairs.select(F.col(name).alias("doc"), F.col(f"{name}_digest").alias("digest")).distinct()
-        return sets.join(replicate(mine, 64 << 20), ["doc", "digest"], "left_semi").select(
-            F.col("doc").alias(name), F.col("digest").alias(f"{name}_digest"), F.col("grams").alias(f"{name}_grams")
-        )
+        return sets.toDF(name, f"{name}_digest", f"{name}_grams")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for first, second, *sets in (part for batch in batches for part in texts_of(batch)):
@@ -265,14 +272,16 @@ def verified(pairs: DataFrame, keyed: DataFrame, k: int, threshold: Threshold) -
     return both.select("a", "b", "a_grams", "b_grams").mapInArrow(run, "a long, b long")
 
 
-def _verified_by_cell(pairs: DataFrame, keyed: DataFrame, k: int, threshold: Threshold) -> DataFrame:
+def _verified_by_cell(
+    pairs: DataFrame, keyed: DataFrame, k: int, threshold: Threshold, at_most: int
+) -> DataFrame:
     """The rows of ``pairs`` (``a, a_digest, b, b_digest``) whose whole sets are similar enough.
 
     Classes fall into buckets and pairs into cells of two buckets. A set goes once to each cell that
     compares it, however many pairs it has there, and a task holds one cell's sets at a time.
+    ``at_most`` is as in ``_close``.
     """
-    ids = pairs.select(F.col("a").alias("doc")).union(pairs.select("b")).distinct()
-    sets = stored(_sets_of(keyed, stored(ids, "wanted"), k), "sets")
+    sets = stored(_sets_of(keyed, pairs, k, at_most), "sets")
     held = sets.agg(F.sum(F.length("grams"))).first()[0] or 0
     spread = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(-(-held // _CELL_BYTES), 2 * math.isqrt(spread) + 2)
@@ -369,8 +378,10 @@ def similarity_join(docs: DataFrame, k: int = 5, part: int = 80, whole: int = 10
         .join(two.withColumnRenamed("group", "group2"), "group2").where(near).select("a", "a_digest", "b", "b_digest")
     )
     inside = one.join(two, "group").where("a_digest < b_digest").where(near).select(*across.columns)
-    pairs = _close(stored(across.unionByName(inside), "pairs"), rows, threshold)
-    return Linked(rows, classes, stored(_verified_by_cell(pairs, keyed, k, threshold), "links"))
+    pairs = stored(across.unionByName(inside), "pairs")
+    size = held_bytes(pairs)
+    close = _close(pairs, rows, threshold, size)
+    return Linked(rows, classes, stored(_verified_by_cell(close, keyed, k, threshold, size), "links"))
 
 
 def jaccard_links(docs: DataFrame, k: int = 5, part: int = 80, whole: int = 100) -> DataFrame:
@@ -501,8 +512,10 @@ def _link_to_front(
     outside = one.join(near.join(first, "b"), "group").where(close).select("a", "a_digest", "b", "b_digest")
     inside = one.where("a_digest <> group_digest").join(first.withColumn("group", F.col("b")), "group").where(
         close).select(*outside.columns)
-    pairs = _close(stored(outside.unionByName(inside), "pairs"), rows, threshold)
-    return stored(verified(pairs, keyed, k, threshold), "links")
+    pairs = stored(outside.unionByName(inside), "pairs")
+    size = held_bytes(pairs)
+    close = _close(pairs, rows, threshold, size)
+    return stored(verified(close, keyed, k, threshold, size), "links")
 
 
 def _side(members: DataFrame, side: str, names: dict[str, str]) -> DataFrame:
@@ -565,7 +578,7 @@ def _link_across(
     heads = stored(
         labelled.groupBy("label").agg(F.min(F.struct("digest", *_PARITY)).alias("head"), F.count(F.lit(1)).alias("held"))
         .select("label", "held", *[F.col(f"head.{c}").alias(f"{c}_head") for c in _PARITY]), "heads")
-    several = replicate(heads.where("held > 1").drop("held"), 64 << 20)
+    several = replicate(heads.where("held > 1").drop("held"), _COPIED_BYTES)
     labelled = labelled.join(several, "label", "left").withColumn(
         "off", F.coalesce(_apart("", "_head"), F.lit(0))).select(*labelled.columns, "off")
     before = F.lag("token").over(Window.partitionBy("group").orderBy("place", "token"))
@@ -594,8 +607,10 @@ def _link_across(
         ))
         .select("a", "a_digest", "b", "b_digest").distinct()
     )
-    close = _close(stored(pairs, "pairs"), rows, threshold)
-    return stored(verified(close, keyed, k, threshold), "links")
+    pairs = stored(pairs, "pairs")
+    size = held_bytes(pairs)
+    close = _close(pairs, rows, threshold, size)
+    return stored(verified(close, keyed, k, threshold, size), "links")
 
 
 def one_of_each(docs: DataFrame, k: int = 5, part: int = 80, whole: int = 100) -> DataFrame:
@@ -618,10 +633,10 @@ def one_of_each(docs: DataFrame, k: int = 5, part: int = 80, whole: int = 100) -
         near = stored(
             found.join(found.where("component_id < doc_id").select("component_id").distinct(), "component_id")
             .select("doc_id", "component_id"), "near")
-        known = rows.select("doc_id", "id").join(replicate(near, 64 << 20), "doc_id")
+        known = rows.select("doc_id", "id").join(replicate(near, _COPIED_BYTES), "doc_id")
         first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "doc_id")).alias("first")
         stays = known.groupBy("component_id").agg(first).select(F.col("first.doc_id").alias("doc_id"))
         return near.select("doc_id").join(stays, "doc_id", "left_anti").select(F.col("doc_id").alias(row))
 
     gone = alone(docs.sparkSession, "gone", others)
-    return numbered.join(replicate(gone, 64 << 20), row, "left_anti").select(*docs.columns)
+    return numbered.join(replicate(gone, _COPIED_BYTES), row, "left_anti").select(*docs.columns)

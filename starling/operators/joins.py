@@ -100,14 +100,20 @@ def row_bytes(df: DataFrame) -> Column:
     return reduce(lambda a, b: a + b, text, F.lit(16 + 8 * len(df.columns)))
 
 
-def replicate(df: DataFrame, max_bytes: int = 64 << 20) -> DataFrame:
+def held_bytes(df: DataFrame) -> int:
+    """Estimated size of ``df`` held in memory, from one pass over it."""
+    return df.agg(F.sum(row_bytes(df).cast("bigint")).alias("size")).first()["size"] or 0
+
+
+def replicate(df: DataFrame, max_bytes: int = 64 << 20, at_most: int | None = None) -> DataFrame:
     """Ask for a copy of ``df`` on every executor, provided its measured size allows it.
 
     One pass over ``df`` sums up its size. Above ``max_bytes`` it comes back without the hint and
-    joins as any large table does: shuffled, with hot partitions split at run time.
+    joins as any large table does: shuffled, with hot partitions split at run time. ``at_most`` is a
+    size that ``df`` is known not to exceed: where that one fits, the pass is spared.
     """
-    size = df.agg(F.sum(row_bytes(df).cast("bigint")).alias("size")).first()["size"] or 0
-    return F.broadcast(df) if size <= max_bytes else df
+    known = at_most is not None and at_most <= max_bytes
+    return F.broadcast(df) if known or held_bytes(df) <= max_bytes else df
 
 
 def star_join(

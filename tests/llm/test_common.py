@@ -34,3 +34,11 @@ def test_a_session_that_says_how_large_batches_are_is_heeded(spark):
         assert spark.conf.get(NAME) == "1000000"
     finally:
         spark.conf.unset(NAME)
+
+
+def test_vectors_are_summed_from_nothing(spark):
+    """Nothing as large as a vector goes out with the tasks, and tasks without rows add nothing."""
+    vectors = spark.range(0, 3, 1, 3).where("id > 0").selectExpr("unhex(repeat('0100000000000000', 1000)) AS vector")
+    assert (tree_sum(vectors, "vector", "<i8", 1000) == np.full(1000, 2)).all()
+    none = tree_sum(vectors.where("1 = 0"), "vector", "<i8", 1000)
+    assert none.dtype == np.dtype("<i8") and (none == np.zeros(1000)).all()

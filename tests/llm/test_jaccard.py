@@ -5,7 +5,8 @@ import pytest
 
 import numpy as np
 from starling.llm.components import components
-from starling.llm import jaccard
+from starling.llm import components as components_module, jaccard
+from starling.operators import joins
 from starling.llm.jaccard import (
     _apart_by, grams, jaccard_components, jaccard_links, odd_buckets, one_of_each, parity, similarity_join,
 )
@@ -147,6 +148,41 @@ def test_components(spark):
     assert found == {x: find(x) for x in list(parent) if find(x) != x}
 
 
+def test_edges_that_are_stars_take_no_round(spark, monkeypatch):
+    steps, plain = [], components_module.stored
+
+    def counted(df, label):
+        steps.append(label)
+        return plain(df, label)
+
+    monkeypatch.setattr(components_module, "stored", counted)
+    stars = [(9, 1), (1, 7), (5, 1), (30, 20), (20, 31), (8, 8), (9, 1)]
+    found = sorted(tuple(r) for r in components(spark.createDataFrame(stars, "a long, b long")).collect())
+    assert found == [(5, 1), (7, 1), (9, 1), (30, 20), (31, 20)] and len(steps) == 1
+    found = components(spark.createDataFrame([(3, 2), (2, 1), (6, 5), (6, 4)], "a long, b long")).collect()
+    assert sorted(tuple(r) for r in found) == [(2, 1), (3, 1), (5, 4), (6, 4)] and len(steps) > 2
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+@pytest.mark.parametrize("copied", [64 << 20, 100])
+def test_pairs_are_measured_once_a_step(small_batches, monkeypatch, copied):
+    """What is copied is measured by itself only where the pairs are too many; links are the same."""
+    measured, plain = [], joins.held_bytes
+
+    def counted(df):
+        measured.append(df.columns)
+        return plain(df)
+
+    monkeypatch.setattr(joins, "held_bytes", counted)
+    monkeypatch.setattr(jaccard, "held_bytes", counted)
+    monkeypatch.setattr(jaccard, "_COPIED_BYTES", copied)
+    rows = near_copies()
+    docs = small_batches.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert got(jaccard_components(docs, 4, 85, 100)) == expected(rows, 4, 85, 100)
+    assert measured.count(["a", "a_digest", "b", "b_digest"]) == 2
+    assert (len(measured) == 3) == (copied > 100)
+
+
 def test_parities_never_rule_out_a_link():
     """They differ in at most as many buckets as there are shingles in one set only."""
     rnd = np.random.default_rng(11)
